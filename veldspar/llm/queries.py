@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import confusables, lines, packing
+from . import confusables, leakage, lines, packing
 
 QUERIES = {
     "p3_found": lines.p3_found,
     "p8_pack": packing.p8_pack,
     "p8_token_counts": packing.p8_token_counts,
+    "p9_found": leakage.p9_found,
     "p10_found": confusables.p10_found,
     "p10_groups": confusables.p10_groups,
     "p10_plain": confusables.p10_plain,
