@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from . import confusables, leakage, lines, packing
+from . import confusables, leakage, lines, mojibake, packing
 
 QUERIES = {
+    "p1_found": mojibake.p1_found,
+    "p1_restored": mojibake.p1_restored,
     "p3_found": lines.p3_found,
     "p8_pack": packing.p8_pack,
     "p8_token_counts": packing.p8_token_counts,
