@@ -22,20 +22,20 @@ from pyspark.sql import types as T
 from ..runtime import first_rows, table
 
 #: A restored line must cost so much less than the received one; each step costs STEP; paths of at most DEPTH steps.
-MARGIN, STEP, DEPTH = 1.2, 0.3, 3
+MARGIN, STEP, DEPTH = 0.7, 0.3, 3
 
 # Weights of character kinds and of neighbourhoods that ordinary text hardly has.
 #: A run of lost, control or unassigned characters, of whatever length.
 RUN_COST = 3.0
-KIND_COST = {"s": 0.3, "S": 0.03, "b": 1.5, "y": 1.2, "f": 1.6, "j": 1.6, "i": 0.2, "h": 0.05, "k": 0.05, "c": 0.05, "C": 0.06, "g": 0.5, "o": 0.6, "e": 0.1, "E": 0.15}
+KIND_COST = {"s": 0.3, "S": 0.03, "b": 1.5, "y": 1.2, "f": 1.6, "j": 1.6, "i": 0.2, "h": 0.05, "k": 0.05, "c": 0.05, "C": 0.06, "g": 0.5, "o": 0.6, "e": 0.1, "E": 0.15, "z": 0.15}
 PAIR_COST = [
-    (re.compile("[eE](?=[sSQ])"), 2.0), (re.compile("a(?=E)|[sS](?=[sS])|(?<=[hijkwxf])\\?"), 1.5),
-    (re.compile("[eE](?=[eE])|[aeEcCy](?=[sSbx][aeEcCy])"), 1.0),
-    (re.compile("[eEsS](?=q)(?!e?q )|[cCy](?=[aAeE])|[aAeE](?=[cCy])|c(?=C)|[hij](?=[aAeE])|[aAeE](?=[hij])|k(?=[ijf])|[ijf](?=k)"), 0.8),
+    (re.compile("[eE](?=[sSQz])|o(?=[aAeE])|(?<=[aAeE])o"), 2.0), (re.compile("a(?=E)|[sS](?=[sS])|(?<=[hijkwxf])\\?"), 1.5), (re.compile("c(?=C)"), 1.2),
+    (re.compile("[hij](?=[aAeE])|[aAeE](?=[hij])"), 1.1), (re.compile("[aAeEcCy](?=[sSbx][aeEcCy])"), 1.0), (re.compile("[eE](?=[eE])"), 0.4),
+    (re.compile("[eEsS](?=q)(?!e?q )|[cCy](?=[aAeE])|[aAeE](?=[cCy])|k(?=[ijf])|[ijf](?=k)"), 0.8),
 ]
 _X_RUN = re.compile("x+")
 #: A line without any of these kinds and neighbours, and with few rare characters, is taken as it is.
-_GATE = re.compile(r"[xfbyjo]|[eE][eEqsSQ]|[aAcC]s|s[aAeEcCsq]|[aeEcC]S[aeEcC]|aE|[cCy][aAeE]|[aAeE][cCy]|cC|[hijkw]\?|[hij][aAeE]|aq[aA]")
+_GATE = re.compile(r"[xfbyjo]|[eE][sSQz]|E[qz]|[eE]{3}|[aAcCeE]s|s[aAeEcCsq]|[aeEcC]S[aeEcC]|aE|[cCy][aAeE]|[aAeE][cCy]|cC|[hijkw]\?|[hij][aAeE]")
 _LONE = re.compile("[ÂÃ](?![A-Za-zÀ-ÿ])")
 _RUSSIAN = set("абвгдеёжзийклмнопрстуфхцчшщъыьэюя")
 _QUOTES = "«»„“”‘’–—…•·"
@@ -89,6 +89,10 @@ class _Kinds(dict):
             return "g"
         if name.startswith("LATIN") and cat[0] == "L":
             return "e" if c.islower() else "E"
+        if c in "ŠŒŽšœžŸƒ":
+            return "z"
+        if c in "\ufb01\ufb02":
+            return "s"
         if c in "©€£°™®§±½¼¾²³×÷":
             return "S"
         if cat[0] in "SP" or cat in ("No", "Lo", "Lm") and code < 256:
@@ -134,15 +138,16 @@ PAGES = {name: _Bytes(_page(name)) for name in ("cp1252", "latin-1", "cp1250", "
 WIDE = ("gbk", "cp932", "big5")
 _UTF8 = re.compile("[\xc2-\xdf][\x80-\xbf]|[\xe0-\xef][\x80-\xbf]{2}|[\xf0-\xf4][\x80-\xbf]{3}")
 TWO_BYTE_PAIRS = [(a, b) for a in WIDE for b in WIDE if a != b]
+#: One-byte pages taken for each other, as the page that was used and the one that was meant.
+SWAPS = [("koi8-r", "cp1251"), ("cp1251", "koi8-r"), ("cp866", "cp1251"), ("cp1251", "cp866"), ("mac_cyrillic", "cp1251"), ("cp1251", "cp1252"), ("mac_roman", "cp1252"), ("cp437", "cp1252"), ("cp850", "cp1252"), ("koi8-r", "cp1252"), ("cp1253", "cp1252"), ("cp1255", "cp1252")]
 #: Targets of a line whose bytes were read by a one-byte page, other than UTF-8.
 LEGACY = ("gbk", "cp932", "cp1251", "big5", "koi8-r", "mac_roman", "cp850")
 _SPACED = re.compile("(?<=[ÃÂ]) ")
 _ESCAPED = re.compile(r"&(?:#\d{2,6}|#x[0-9a-fA-F]{2,5}|[A-Za-z]{2,8}\d?);|\\u[0-9a-fA-F]{4}|%[C-F][0-9A-F]%[89AB][0-9A-F]")
 _LOST = re.compile("(?<=[\u4e00-\u9fff\uff00-\uffef\ufffd])\\?")
-_ONE_BYTE = re.compile("[eEsSQqxbcCyg]")
+_ONE_BYTE = re.compile("[eEsSQqxbcCygzo]")
 _TWO_BYTE = re.compile("[hijkf]")
-_LEGACY_KIND = re.compile("[eEsSQbx].*[eEsSQbxq]", re.S)
-_CYRILLIC_KIND = re.compile("y|[cC].*[cC]", re.S)
+_LEGACY_KIND = re.compile("[eEsSQbxzo].*[eEsSQbxqzo]", re.S)
 _HIGH = re.compile("[\x80-\xff]")
 
 
@@ -264,8 +269,8 @@ def steps(s: str) -> Iterator[str]:
                 if (t := _legacy(s, p, b)) is not None:
                     yield t
                     break
-    if _CYRILLIC_KIND.search(k):
-        for a, b in (("koi8-r", "cp1251"), ("cp1251", "koi8-r"), ("cp866", "cp1251"), ("cp1251", "cp866")):
+    if not valid:
+        for a, b in SWAPS:
             if (t := _swap(s, a, b)) is not None:
                 yield t
 
@@ -303,7 +308,7 @@ def restore_line(line: str) -> str:
                 best, best_cost = t, ct
                 if start - ct >= MARGIN and looks_plain(t):
                     return t
-            if ct < c:
+            if ct < c + 2.5:
                 heapq.heappush(queue, (ct, depth + 1, t))
     return best if start - best_cost >= MARGIN else line
 
