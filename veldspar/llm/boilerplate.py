@@ -29,7 +29,7 @@ _LETTER = re.compile(r"[^\W\d_]")
 _END = re.compile("[.!…。！；;][\"'”’»」』）)\\]]*$")
 _PARTS = re.compile(r"\s+[·|/»>›•–-]\s+|\s*[|»›]\s*")
 _BULLET = re.compile(r"(?:[•*·\-–]|\d{1,2}[.)、])\s+")
-_CJK = re.compile("[぀-ヿ㐀-鿿]")
+_CJK = re.compile("[\u3040-ヿ㐀-鿿]")
 _NAME = re.compile(r"(?:\b[^\W\d_]\.\s+)?\b[A-ZÀ-ÞŽА-ЯЁ][\w’-]+(?:\s+(?:&\s+)?[A-ZÀ-ÞŽА-ЯЁ][\w’-]+)*")
 _COLON = re.compile("^([^：:]{2,12}[：:]).{1,24}$")
 
@@ -131,11 +131,12 @@ def _distinct_elements(parsed: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-def host_templates(parsed: DataFrame, keys: list[str]) -> DataFrame:
+def host_templates(parsed: DataFrame, keys: list[str], edges: bool = True) -> DataFrame:
     """(host, e, leads): hashes of a host's template elements; leads: what follows it are its items.
 
     An element's share is taken on the host and over all hosts that have it, so that sub-headings, which
-    are rare on every host, aren't taken for template where a host has few pages.
+    are rare on every host, aren't taken for template where a host has few pages. edges: rarer elements
+    that never stand within an article are template too.
     """
     pages = materialize(parsed.groupBy("host").agg(F.count(F.lit(1)).alias("pages")), "hosts")
     per = _distinct_elements(parsed, keys).groupBy("host", "e").agg(
@@ -150,7 +151,7 @@ def host_templates(parsed: DataFrame, keys: list[str]) -> DataFrame:
     share, pooled = F.col("n") / F.col("pages"), F.col("n_all") / F.col("pages_all")
     often = (F.col("n_all") >= TEMPLATE_PAGES) & (share >= TEMPLATE_SHARE) & (pooled >= TEMPLATE_SHARE)
     outside = (F.col("n_all") >= TEMPLATE_PAGES) & (pooled >= EDGE_SHARE) & (F.col("inner_all") <= 0.05 * F.col("n_all")) & (F.col("k") != PARAGRAPH)
-    return x.filter((often | outside) & (F.col("k") != FIGURE)).select("host", "e", (F.col("leads_all") >= 0.5 * F.greatest(F.col("late_all"), F.lit(1))).alias("leads"))
+    return x.filter(((often | outside) if edges else often) & (F.col("k") != FIGURE)).select("host", "e", (F.col("leads_all") >= 0.5 * F.greatest(F.col("late_all"), F.lit(1))).alias("leads"))
 
 
 def boilerplate_lines(pages: DataFrame, keys: list[str], host: str, title: str, text: str) -> DataFrame:
@@ -178,6 +179,18 @@ def boilerplate_lines(pages: DataFrame, keys: list[str], host: str, title: str,
     return x.filter(F.col("_t") | (F.col("_event").isNull() & (F.col("_list") == 1))).select(*keys, F.col("no").cast("long").alias("line_no"))
 
 
+def template_lines(pages: DataFrame, keys: list[str], host: str, title: str, text: str) -> DataFrame:
+    """(keys, line_no): lines that a host repeats on many pages, navigation rows, and the headline."""
+    parsed = materialize(page_lines(pages, keys, host, title, text).withColumnRenamed(host, "host"), "pages")
+    templates = bounded_broadcast(materialize(host_templates(parsed, keys, edges=False).select("host", "e").distinct(), "templates"))
+    x = parsed.select(*keys, "host", F.explode("lines").alias("l")).select(*keys, "host", "l.*")
+    for n, e in enumerate(("h", "g")):
+        t = templates.select(F.col("host").alias(f"_h{n}"), F.col("e").alias(f"_e{n}"))
+        x = x.join(t, (F.col("host") == F.col(f"_h{n}")) & (F.col(e) == F.col(f"_e{n}")), "left")
+    gone = F.col("title") | F.col("_e0").isNotNull() | F.col("_e1").isNotNull() | (F.col("k") == NAV)
+    return x.filter(gone).select(*keys, F.col("no").cast("long").alias("line_no"))
+
+
 def web_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(item_table, item_id, source_id, title, text) of extracted pages and of signals taken from web pages."""
     p = table(spark, sf_dir, "extracted_page").dropDuplicates(["page_id"])

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from . import confusables, leakage, lines, mojibake, packing
+from . import confusables, leakage, lines, mojibake, packing, residue
 
 QUERIES = {
     "p1_found": mojibake.p1_found,
     "p1_restored": mojibake.p1_restored,
     "p3_found": lines.p3_found,
+    "p5_found": residue.p5_found,
+    "p6_found": residue.p6_found,
     "p8_pack": packing.p8_pack,
     "p8_token_counts": packing.p8_token_counts,
     "p9_found": leakage.p9_found,
