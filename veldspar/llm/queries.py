@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import confusables, leakage, lines, mojibake, packing, residue
+from . import confusables, incremental, leakage, lines, mojibake, packing, residue
 
 QUERIES = {
     "p1_found": mojibake.p1_found,
     "p1_restored": mojibake.p1_restored,
+    "p2_found": incremental.p2_found,
     "p3_found": lines.p3_found,
     "p5_found": residue.p5_found,
     "p6_found": residue.p6_found,
