@@ -11,6 +11,7 @@ import hashlib
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -34,7 +35,6 @@ _NAME = re.compile(r"(?:\b[^\W\d_]\.\s+)?\b[A-ZÀ-ÞŽА-ЯЁ][\w’-]+(?:\s+(?:
 _COLON = re.compile("^([^：:]{2,12}[：:]).{1,24}$")
 
 PARAGRAPH, FIGURE, ITEM, BULLET, NAV, BLANK = 1, 2, 3, 4, 5, 0
-_LINES = "array<struct<no:int,h:bigint,g:bigint,k:tinyint,place:tinyint,next:tinyint,title:boolean>>"
 
 
 def _hash(s: str) -> int:
@@ -104,24 +104,27 @@ def parse_page(text: str | None, title: str | None) -> list[tuple]:
 
 
 def page_lines(pages: DataFrame, keys: list[str], host: str, title: str, text: str) -> DataFrame:
-    """(keys, host, lines): the parsed lines of each page, as one array."""
+    """(keys, host, lines): the parsed lines of each page, as one array; the host column becomes 'host'."""
     types = dict(pages.dtypes)
-    schema = ", ".join(f"{c} {types[c]}" for c in [*keys, host]) + f", lines {_LINES}"
+    columns = {"no": "int", "h": "long", "g": "long", "k": "int", "place": "int", "next": "int", "title": "int"}
+    schema = ", ".join(f"{c} {types[c]}" for c in keys) + f", host {types[host]}, " + ", ".join(f"{c} array<{t}>" for c, t in columns.items())
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names = ["no", "h", "g", "k", "place", "next", "title"]
         for pdf in batches:
-            out = pdf[[*keys, host]].copy()
-            out["lines"] = [[dict(zip(names, r, strict=True)) for r in parse_page(x, t)] for x, t in zip(pdf[text], pdf[title], strict=True)]
+            parsed = [np.array(parse_page(x, t), dtype=np.int64).reshape(-1, 7) for x, t in zip(pdf[text], pdf[title], strict=True)]
+            out = pdf[[*keys, host]].rename(columns={host: "host"})
+            for i, (c, t) in enumerate(columns.items()):
+                out[c] = [p[:, i].astype(np.int32 if t == "int" else np.int64) for p in parsed]
             yield out
 
-    return pages.select(*keys, host, title, text).mapInPandas(run, schema)
+    x = pages.select(*keys, host, title, text).mapInPandas(run, schema)
+    return x.select(*keys, "host", F.arrays_zip(*columns).alias("lines"))
 
 
 def _distinct_elements(parsed: DataFrame, keys: list[str]) -> DataFrame:
     """One row per page and element hash, of lines and of groups, with what is said of the element there."""
     line = F.explode("lines").alias("l")
-    x = parsed.select(*keys, "host", line).filter("not l.title")
+    x = parsed.select(*keys, "host", line).filter("l.title = 0")
     both = F.explode(F.array_distinct(F.array(F.col("l.h"), F.col("l.g")))).alias("e")
     x = x.select(*keys, "host", both, F.col("l.k").alias("k"), F.col("l.place").alias("place"), F.col("l.next").alias("next"))
     # Repeats of an element within a page count once; the map side combines before the page's rows meet.
@@ -160,16 +163,21 @@ def boilerplate_lines(pages: DataFrame, keys: list[str], host: str, title: str,
     Null and empty texts have none; a page without a host shares no template and keeps its lines but
     navigation rows. Repeated pages must be dropped before. Lines leave the map side as hashes.
     """
-    parsed = materialize(page_lines(pages, keys, host, title, text).withColumnRenamed(host, "host"), "pages")
+    return lines_of(materialize(page_lines(pages, keys, host, title, text), "pages"), keys)
+
+
+def lines_of(parsed: DataFrame, keys: list[str]) -> DataFrame:
+    """boilerplate_lines() of pages that are parsed already."""
     templates = bounded_broadcast(materialize(host_templates(parsed, keys), "templates"))
     x = parsed.select(*keys, "host", F.explode("lines").alias("l")).select(*keys, "host", "l.*")
     line = templates.select(F.col("host").alias("_h1"), F.col("e").alias("_e1"), F.col("leads").alias("_lead1"))
     group = templates.select(F.col("host").alias("_h2"), F.col("e").alias("_e2"), F.col("leads").alias("_lead2"))
     x = x.join(line, (F.col("host") == F.col("_h1")) & (F.col("h") == F.col("_e1")), "left")
     x = x.join(group, (F.col("host") == F.col("_h2")) & (F.col("g") == F.col("_e2")), "left")
-    template = ~F.col("title") & ((F.col("_e1").isNotNull()) | F.col("_e2").isNotNull() | (F.col("k") == NAV))
+    headline = F.col("title") == 1
+    template = ~headline & ((F.col("_e1").isNotNull()) | F.col("_e2").isNotNull() | (F.col("k") == NAV))
     leads = template & (F.col("place") > 0) & F.coalesce(F.col("_lead1"), F.col("_lead2"), F.lit(False))
-    x = x.withColumn("_t", template).withColumn("_event", F.when(leads, 1).when(template | ~F.col("k").isin(ITEM, BULLET) | F.col("title"), 0))
+    x = x.withColumn("_t", template).withColumn("_event", F.when(leads, 1).when(template | ~F.col("k").isin(ITEM, BULLET) | headline, 0))
     # Items of another kind than the list began with are none of its.
     page = Window.partitionBy(*keys).orderBy("no")
     other = (F.col("k") == BULLET) & (F.lag("k").over(page) == ITEM) & ~F.coalesce(F.lag("_t").over(page), F.lit(True))
@@ -181,13 +189,17 @@ def boilerplate_lines(pages: DataFrame, keys: list[str], host: str, title: str,
 
 def template_lines(pages: DataFrame, keys: list[str], host: str, title: str, text: str) -> DataFrame:
     """(keys, line_no): lines that a host repeats on many pages, navigation rows, and the headline."""
-    parsed = materialize(page_lines(pages, keys, host, title, text).withColumnRenamed(host, "host"), "pages")
+    return template_lines_of(materialize(page_lines(pages, keys, host, title, text), "pages"), keys)
+
+
+def template_lines_of(parsed: DataFrame, keys: list[str]) -> DataFrame:
+    """template_lines() of pages that are parsed already."""
     templates = bounded_broadcast(materialize(host_templates(parsed, keys, edges=False).select("host", "e").distinct(), "templates"))
     x = parsed.select(*keys, "host", F.explode("lines").alias("l")).select(*keys, "host", "l.*")
     for n, e in enumerate(("h", "g")):
         t = templates.select(F.col("host").alias(f"_h{n}"), F.col("e").alias(f"_e{n}"))
         x = x.join(t, (F.col("host") == F.col(f"_h{n}")) & (F.col(e) == F.col(f"_e{n}")), "left")
-    gone = F.col("title") | F.col("_e0").isNotNull() | F.col("_e1").isNotNull() | (F.col("k") == NAV)
+    gone = (F.col("title") == 1) | F.col("_e0").isNotNull() | F.col("_e1").isNotNull() | (F.col("k") == NAV)
     return x.filter(gone).select(*keys, F.col("no").cast("long").alias("line_no"))
 
 

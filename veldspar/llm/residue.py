@@ -165,12 +165,10 @@ class ExemplarIndex:
             for t in b:
                 self.postings[t].append(i)
 
-    def weigh(self, window: str) -> tuple[int, float]:
-        """(tokens of the window, its TF-IDF containment in its best exemplar)."""
-        bag = Counter(tokens(window))
+    def containment(self, window: list[str]) -> float:
+        """TF-IDF containment of a window's tokens in its best exemplar."""
+        bag = Counter(window)
         total = sum(n * self.idf.get(t, self.default) for t, n in bag.items())
-        if not total:
-            return 0, 0.0
         score: dict[int, float] = defaultdict(float)
         kinds: dict[int, int] = defaultdict(int)
         part: dict[int, float] = defaultdict(float)
@@ -179,12 +177,8 @@ class ExemplarIndex:
                 score[i] += n * self.idf[t]
                 part[i] += self.idf[t]
                 kinds[i] += 1
-        best = 0.0
-        for i, s in score.items():
-            # One stray word of a long exemplar is no retrieval.
-            if kinds[i] >= 4 or part[i] >= 0.25 * self.size[i]:
-                best = max(best, s / total)
-        return sum(bag.values()), best
+        # One stray word of a long exemplar is no retrieval.
+        return max((s / total for i, s in score.items() if kinds[i] >= 4 or part[i] >= 0.25 * self.size[i]), default=0.0)
 
     def is_residue(self, text: str | None, name: str | None = None) -> bool:
         """Whether the text is, for the most part, residue or holds unfilled slots or raw values.
@@ -197,14 +191,15 @@ class ExemplarIndex:
             return True
         if name and len(name) > 2:
             text = re.sub(re.escape(name), "\n", text, flags=re.I)
-        hit = whole = 0
-        for w in _WINDOW.split(text):
-            if not w or not w.strip():
-                continue
-            n, c = self.weigh(w)
-            whole += n
-            if c >= CONTAINMENT:
-                hit += n
+        windows = [w for x in _WINDOW.split(text) if x and (w := tokens(x))]
+        whole = left = sum(map(len, windows))
+        hit = 0
+        for w in windows:
+            left -= len(w)
+            if sum(t in self.idf for t in w) >= 0.5 * len(w) and self.containment(w) >= CONTAINMENT:
+                hit += len(w)
+            if hit >= COVERAGE * whole or hit + left < COVERAGE * whole:
+                break
         if hit and hit >= COVERAGE * whole:
             return True
         return bool(VALUE.search(text)) and not _USED.search(text)
@@ -251,32 +246,47 @@ def residue_rows(records: DataFrame, keys: list[str], text: str, index: Exemplar
     return records.select(*keys, text, *([name] if name else [])).mapInPandas(run, ", ".join(f"{k} {types[k]}" for k in keys))
 
 
-def body_text(pages: DataFrame, keys: list[str], host: str, title: str, text: str) -> DataFrame:
+def body_text(pages: DataFrame, parsed: DataFrame, keys: list[str], host: str, text: str) -> DataFrame:
     """(keys, host, body): each page's text without what its host repeats on many pages and without its headline."""
-    drop = boilerplate.template_lines(pages, keys, host, title, text).groupBy(*keys).agg(F.collect_set("line_no").alias("_drop"))
+    drop = boilerplate.template_lines_of(parsed, keys).groupBy(*keys).agg(F.collect_set("line_no").alias("_drop"))
     x = pages.select(*keys, host, text).join(drop, keys, "left")
     keep = F.filter(F.split(F.col(text), "\n", -1), lambda line, i: ~F.coalesce(F.array_contains("_drop", (i + 1).cast("long")), F.lit(False)))
     return x.select(*keys, host, F.array_join(keep, "\n").alias("body"))
 
 
-def p5_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+KEYS = ["item_table", "item_id"]
+
+
+def p5_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "extracted_page").dropDuplicates(["page_id"])
+    return pages.select(F.lit("extracted_page").alias("item_table"), F.col("page_id").alias("item_id"), "source_id", "title", "text")
+
+
+def p5_records(spark: SparkSession, sf_dir: str, parsed: DataFrame | None = None) -> DataFrame:
     """(item_table, item_id, body, source_name): bodies of extracted pages and snippets."""
+    pages = p5_pages(spark, sf_dir)
+    if parsed is None:
+        parsed = materialize(boilerplate.page_lines(pages, KEYS, "source_id", "title", "text"), "pages")
     names = bounded_broadcast(table(spark, sf_dir, "inventory_source").select("source_id", "source_name").dropDuplicates(["source_id"]))
-    pages = table(spark, sf_dir, "extracted_page").dropDuplicates(["page_id"])
-    pages = pages.select(F.lit("extracted_page").alias("item_table"), F.col("page_id").alias("item_id"), "source_id", "title", "text")
     snippets = table(spark, sf_dir, "content_candidate").select(F.lit("content_candidate").alias("item_table"), F.col("candidate_key").alias("item_id"), "source_id", F.col("snippet").alias("body"))
-    bodies = body_text(pages, ["item_table", "item_id"], "source_id", "title", "text")
+    bodies = body_text(pages, parsed, KEYS, "source_id", "text")
     return materialize(bodies.unionByName(snippets).join(names, "source_id", "left").drop("source_id"), "bodies")
 
 
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = p5_records(spark, sf_dir)
-    return residue_rows(records, ["item_table", "item_id"], "body", exemplar_index(records, "body"), "source_name").distinct()
+    return residue_rows(records, KEYS, "body", exemplar_index(records, "body"), "source_name").distinct()
 
 
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines that are not main body, of pages that hold content: problem 5's cases are left out."""
+    """Lines that are not main body, of pages that hold content: problem 5's cases are left out.
+
+    Pages are parsed once, for this problem's templates and for the bodies that problem 5 judges.
+    """
     pages = boilerplate.web_pages(spark, sf_dir)
-    lines = boilerplate.boilerplate_lines(pages, ["item_table", "item_id"], "source_id", "title", "text")
-    cases = bounded_broadcast(materialize(p5_found(spark, sf_dir), "residue"))
-    return lines.join(cases, ["item_table", "item_id"], "left_anti").select("item_table", "item_id", "line_no")
+    parsed = materialize(boilerplate.page_lines(pages, KEYS, "source_id", "title", "text"), "pages")
+    records = p5_records(spark, sf_dir, parsed.filter("item_table = 'extracted_page'"))
+    index = exemplar_index(records, "body")
+    cases = residue_rows(records.filter("item_table = 'extracted_page'"), KEYS, "body", index, "source_name").distinct()
+    cases = bounded_broadcast(materialize(cases, "residue"))
+    return boilerplate.lines_of(parsed, KEYS).join(cases, KEYS, "left_anti").select(*KEYS, "line_no")
