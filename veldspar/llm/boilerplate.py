@@ -46,7 +46,7 @@ def line_form(line: str) -> str:
     return _SPACE.sub(" ", _DIGITS.sub("", line.lower())).strip()
 
 
-def _kind(line: str) -> int:
+def line_kind(line: str) -> int:
     s = line.strip()
     if not s:
         return BLANK
@@ -91,7 +91,7 @@ def parse_page(text: str | None, title: str | None) -> list[tuple]:
         if not raw.strip():
             continue
         line = restore(raw)
-        k = _kind(line)
+        k = line_kind(line)
         form = line_form(line)
         rows.append([no, _hash(form), _hash(_group_form(line, k, form)), k, 1, 0, want is not None and form == want, form])
     # Notices are short; the article begins and ends with its first and last paragraph of some length.
