@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import confusables, incremental, leakage, lines, mojibake, packing, residue
+from . import confusables, incremental, language, leakage, lines, mojibake, packing, residue
 
 QUERIES = {
     "p1_found": mojibake.p1_found,
@@ -11,6 +11,8 @@ QUERIES = {
     "p3_found": lines.p3_found,
     "p5_found": residue.p5_found,
     "p6_found": residue.p6_found,
+    "p7_found": language.p7_found,
+    "p7_documents": language.p7_documents,
     "p8_pack": packing.p8_pack,
     "p8_token_counts": packing.p8_token_counts,
     "p9_found": leakage.p9_found,
