@@ -55,9 +55,9 @@ def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFram
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Give executors of a cluster the package's code; in local mode they have it."""
+    """Give the executors the package's code, wherever the driver was started."""
     sc = spark.sparkContext
-    if sc.master.startswith("local[") or sc.master == "local" or getattr(sc, "_veldspar_shipped", False):
+    if getattr(sc, "_veldspar_shipped", False):
         return
     root = os.path.dirname(os.path.abspath(__file__))
     out = os.path.join(tempfile.mkdtemp(prefix="veldspar-zip-"), "veldspar.zip")
