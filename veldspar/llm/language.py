@@ -263,10 +263,8 @@ def segment_languages(rows: DataFrame, keys: list[str], text: str, model: Langua
                 if not row[-1]:
                     continue
                 by: dict[str, list[float]] = {}
-                for s in segments(restore(row[-1])):
-                    if s.count("�") > 0.05 * len(s):
-                        continue
-                    code, p = m.classify(s)
+                found = [s for s in segments(restore(row[-1])) if s.count("\ufffd") <= 0.05 * len(s)]
+                for s, (code, p) in zip(found, m.classify(found), strict=True):
                     if code:
                         got = by.setdefault(code, [0, 0, 0.0])
                         got[0] += 1
