@@ -36,7 +36,7 @@ def date_in_url(url: Column) -> Column:
     for f in forms:
         y, m, d = (F.regexp_extract(url, f, i) for i in (1, 2, 3))
         day = F.when(d == "", F.lit("01")).otherwise(F.lpad(d, 2, "0"))
-        ok = (y != "") & y.cast("int").between(2000, 2030) & m.cast("int").between(1, 12) & day.cast("int").between(1, 31)
+        ok = (y != "") & y.try_cast("int").between(2000, 2030) & m.try_cast("int").between(1, 12) & day.try_cast("int").between(1, 31)
         out.append(F.when(ok, F.concat_ws("-", y, F.lpad(m, 2, "0"), day)))
     return F.coalesce(*out)
 

@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 from ..operators import timestamps
+from . import dedupe_queries, rollup_queries, scalar_queries
 
-QUERIES = {
-    "p4_found": timestamps.p4_found,
-}
+QUERIES = {**dedupe_queries.QUERIES, **rollup_queries.QUERIES, **scalar_queries.QUERIES, "p4_found": timestamps.p4_found, "p4_normalized": timestamps.p4_normalized}
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {**dedupe_queries.SQL, **rollup_queries.SQL, **scalar_queries.SQL}
