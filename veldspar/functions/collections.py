@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 
 def rows_of_parallel_arrays(df: DataFrame, keep: list[str], arrays: list[str]) -> DataFrame:
-    """One row per position of arrays that belong together; shorter ones give nulls there, pos counts from 0."""
-    x = df.select(*keep, F.posexplode(F.arrays_zip(*arrays)).alias("pos", "z"))
+    """One row per position of arrays that belong together; shorter and missing ones give nulls there, pos counts from 0."""
+    types = dict(df.dtypes)
+    whole = df.select(*keep, *[F.coalesce(F.col(a), F.array().cast(types[a])).alias(a) for a in arrays])
+    x = whole.select(*keep, F.posexplode(F.arrays_zip(*arrays)).alias("pos", "z"))
     return x.select(*keep, "pos", *[F.col(f"z.{a}").alias(a) for a in arrays])
 
 

@@ -89,7 +89,7 @@ def columnar_filings(df: DataFrame, body: str, forms: list[str] | None = None, l
     """Rows of a submissions payload whose recent filings are parallel arrays. Rows without accession go; a limit counts kept rows."""
     names = ["accessionNumber", "filingDate", "reportDate", "form", "primaryDocument", "primaryDocDescription"]
     schema = f"cik string, entityName string, filings struct<recent: struct<{', '.join(f'{n}: array<string>' for n in names)}>>"
-    x = df.select(F.from_json(body, schema).alias("j")).select("j.cik", "j.entityName", *[F.col(f"j.filings.recent.{n}").alias(n) for n in names])
+    x = df.select(F.from_json(body, schema).alias("j")).select("j.cik", "j.entityName", *[F.coalesce(F.col(f"j.filings.recent.{n}"), F.array().cast("array<string>")).alias(n) for n in names])
     x = x.select("cik", "entityName", F.posexplode(F.arrays_zip(*names)).alias("pos", "z")).select("cik", "entityName", "pos", *[F.coalesce(F.col(f"z.{n}"), F.lit("")).alias(n) for n in names])
     x = x.filter("accessionNumber <> ''")
     if forms:
