@@ -60,3 +60,14 @@ def age_text(t: Column, as_of: Column) -> Column:
     s = F.unix_timestamp(as_of) - F.unix_timestamp(t)
     unit = lambda n, name: F.concat(F.floor(s / n).cast("string"), F.lit(f" {name} ago"))
     return F.when(t.isNull(), "never").when(s < 60, "just now").when(s < 3600, unit(60, "min")).when(s < 86400, unit(3600, "h")).otherwise(unit(86400, "d"))
+
+
+def freshness(day: Column, as_of: Column, days: int = 30) -> Column:
+    """fresh up to so many days, stale beyond, unknown for null and future days."""
+    age = F.datediff(as_of.cast("date"), day.cast("date"))
+    return F.when(age.isNull() | (age < 0), "unknown").when(age <= days, "fresh").otherwise("stale")
+
+
+def retry_wait(attempt: Column, factor: float = 1.5) -> Column:
+    """Seconds to wait before the attempt, counting from 0."""
+    return F.pow(F.lit(factor), attempt)

@@ -259,6 +259,56 @@ def rewrite_images(markdown: str | None, mapping: dict[str, str] | None) -> str
     return re.sub(r"(!\[[^\]]*\]\()([^)\s]+)(\))", lambda m: m[1] + mapping.get(m[2], m[2]) + m[3], markdown)
 
 
+#: Path segments that lead to a site's own pages rather than to articles.
+NAV_SEGMENTS = frozenset("about contact login signin signup register privacy terms cookie cookies help faq careers jobs subscribe newsletter rss tag tags category categories author authors search sitemap".split())
+_DATE_NEAR = re.compile(r"\d{4}[-/.]\d{1,2}[-/.]\d{1,2}|\d{4}年\d{1,2}月\d{1,2}日|(?:Jan|Feb|Mar|Apr|May|Jun|Jul|Aug|Sep|Oct|Nov|Dec)[a-z]*\.? \d{1,2},? \d{4}|\d{1,2} (?:Jan|Feb|Mar|Apr|May|Jun|Jul|Aug|Sep|Oct|Nov|Dec)[a-z]*\.? \d{4}")
+_ANCHOR = re.compile(r"<a\b[^>]*?href\s*=\s*[\"']?([^\"'\s>]+)[^>]*>(.*?)</a\s*>", re.I | re.S)
+
+
+def dated_anchors(markup: str | None, base: str | None = None, window: int = 100, limit: int | None = None) -> list[dict]:
+    """Anchors with the first date in the markup so many characters around them.
+
+    Fragments, scripts, mail and paths of a site's own pages are left out, titles have eight characters or more
+    and are cut at 200, each address counts once, the limit counts kept anchors.
+    """
+    out, seen = [], set()
+    for m in _ANCHOR.finditer(markup or ""):
+        href = entities.unescape(m[1]).strip()
+        title = " ".join(entities.unescape(re.sub(r"<[^>]+>", " ", m[2])).split())
+        if not href or href[0] == "#" or href.split(":")[0].lower() in ("javascript", "mailto", "tel") or len(title) < 8:
+            continue
+        url = urljoin(base or "", href)
+        if set(url.lower().split("?")[0].split("/")[3:]) & NAV_SEGMENTS or url in seen:
+            continue
+        seen.add(url)
+        near = _DATE_NEAR.search(markup, max(0, m.start() - window), min(len(markup), m.end() + window))
+        out.append({"title": title[:200], "url": url, "published": near[0] if near else None})
+        if limit and len(out) >= limit:
+            break
+    return out
+
+
+def best_container(markup: str | None, hints: tuple[str, ...] = ("content", "article", "post", "body")) -> str:
+    """The text of the hinted container of the highest score, its characters and twenty for each image; else article, else the page."""
+    root = parse(markup)
+    best, score = None, 0
+    for n in root.walk():
+        if n.tag in ("div", "section", "article", "main") and any(n.has(h) for h in hints):
+            t = n.text()
+            s = len(t) + 20 * len(find(n, "img"))
+            if s > score:
+                best, score = t, s
+    return best or next((n.text() for n in find(root, "article")), root.text())
+
+
+def without_blocks(text: str | None, words: list[str], short: int = 12, short_words: list[str] | None = None) -> str | None:
+    """text without lines that hold one of the words, or are short and hold one of the short words."""
+    if text is None:
+        return None
+    keep = [x for x in text.split("\n") if not any(w in x for w in words) and not (len(x.strip()) <= short and any(w in x for w in short_words or []))]
+    return "\n".join(keep)
+
+
 METADATA = T.StructType([T.StructField(k, T.StringType()) for k in ("title", "description", "author", "published", "language", "canonical_url", "site")])
 LINKS = T.ArrayType(T.StructType([T.StructField("text", T.StringType()), T.StructField("url", T.StringType())]))
 TABLE = T.ArrayType(T.StructType([T.StructField("table", T.IntegerType()), T.StructField("row", T.IntegerType()), T.StructField("header", T.BooleanType()), T.StructField("cells", T.ArrayType(T.StringType())), T.StructField("href", T.StringType())]))

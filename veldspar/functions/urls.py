@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
 import ipaddress
+import json
 from urllib.parse import parse_qsl, quote_plus, urlsplit, urlunsplit
 
 import pandas as pd
@@ -124,3 +126,16 @@ def media_type(extension: Column) -> Column:
 
 def normalized_title(title: Column) -> Column:
     return collapse_ws(F.lower(title))
+
+
+def record_extension(explicit: Column, paths: list[Column], raw_json: Column, mime: Column) -> Column:
+    """A record's file extension: as given, else of a path, else of a path within its JSON, else by media type."""
+    named = F.when(explicit.startswith("."), F.lower(explicit)).otherwise(F.concat(F.lit("."), F.lower(empty_as_null(explicit))))
+    inner = [file_extension(F.get_json_object(raw_json, p)) for p in ("$.path", "$.file_path", "$.url", "$.metadata.path")]
+    by_mime = F.create_map(*[F.lit(v) for kv in {"text/html": ".html", "text/markdown": ".md", "text/plain": ".txt", "application/pdf": ".pdf", "application/json": ".json"}.items() for v in kv])[mime]
+    return F.coalesce(named, *[file_extension(p) for p in paths], *inner, by_mime)
+
+
+def request_key(fields: dict[str, object]) -> str:
+    """SHA-256 of a request's fields as JSON with sorted keys: the exact key of a response cache."""
+    return hashlib.sha256(json.dumps(fields, sort_keys=True).encode()).hexdigest()

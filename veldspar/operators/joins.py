@@ -40,3 +40,16 @@ def used_and_unused(catalog: DataFrame, key: str, usages: DataFrame, usage_key:
     u = usages.select(F.col(usage_key).alias(key)).distinct()
     c = catalog.select(key).distinct()
     return c.join(u, key, "left_anti").withColumn("state", F.lit("unused")).unionByName(u.join(c, key, "left_anti").withColumn("state", F.lit("unknown")))
+
+
+def first_available(requests: DataFrame, providers: DataFrame) -> DataFrame:
+    """requests with the provider named, or else the available one of the lowest priority; error where there is none.
+
+    requests have (provider or null); providers (name, priority, available) are a table of a few rows.
+    """
+    ok = providers.filter("available")
+    best = ok.agg(F.min_by("name", "priority").alias("_best"))
+    x = requests.join(F.broadcast(ok.select(F.col("name").alias("_p"))), F.col("provider") == F.col("_p"), "left").join(F.broadcast(best), F.lit(True), "left")
+    chosen = F.when(F.col("provider").isNull(), F.col("_best")).otherwise(F.col("_p"))
+    out = x.withColumn("chosen", chosen)
+    return out.withColumn("error", F.when(F.col("chosen").isNull(), "no_provider")).drop("_p", "_best")

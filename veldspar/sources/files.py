@@ -96,3 +96,18 @@ def scan_documents(spark: SparkSession, path: str, glob: str = "*", max_document
     if max_documents:
         x = x.withColumn("_n", F.row_number().over(Window.orderBy("path"))).filter(F.col("_n") <= max_documents).drop("_n")
     return x
+
+
+def latest_file(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
+    """(path, modified) of the file written last; ties go to the greater path."""
+    x = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path).select("path", F.col("modificationTime").alias("modified"))
+    return x.agg(F.max(F.struct("modified", "path")).alias("m")).select("m.path", "m.modified").filter("path is not null")
+
+
+def signals_of_urls(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(signals, errors) of a table with url, text and notes: the text is text, notes or address; an address must be usable."""
+    from ..functions.urls import url_problem_udf
+
+    some = lambda *c: F.coalesce(*[F.nullif(trim_u(F.col(n)), F.lit("")) for n in c])
+    x = rows.withColumn("problem", url_problem_udf("url")).withColumn("raw_text", some("text", "notes", "url"))
+    return x.filter("problem is null").drop("problem"), x.filter("problem is not null").select("url", "problem")

@@ -77,3 +77,10 @@ def report_table(df: DataFrame, columns: list[str], order: list[str], max_rows:
     lines = ["| " + " | ".join(columns) + " |", "|" + "---|" * len(columns)]
     lines += ["| " + " | ".join(r[c] or "" for c in columns) + " |" for r in rows]
     return "\n".join([*lines, "", f"{n} rows"])
+
+
+def manifest(files: DataFrame, run_id: str, created_at: str) -> DataFrame:
+    """One row that lists a run's artifacts: (run_id, created_at, n, bytes, files as JSON by path)."""
+    entry = F.struct("path", "size", "sha256")
+    listed = F.to_json(F.array_sort(F.collect_list(entry)))
+    return files.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("size"), F.lit(0)).alias("bytes"), listed.alias("files")).select(F.lit(run_id).alias("run_id"), F.lit(created_at).alias("created_at"), "n", "bytes", "files")
