@@ -27,10 +27,10 @@ EDGE_SHARE = 0.008
 _DIGITS = re.compile("[0-9]+")
 _SPACE = re.compile(r"\s+")
 _LETTER = re.compile(r"[^\W\d_]")
-_END = re.compile("[.!…。！；;][\"'”’»」』）)\\]]*$")
+SENTENCE_END = re.compile("[.!…。！；;][\"'”’»」』）)\\]]*$")
 _PARTS = re.compile(r"\s+[·|/»>›•–-]\s+|\s*[|»›]\s*")
 _BULLET = re.compile(r"(?:[•*·\-–]|\d{1,2}[.)、])\s+")
-_CJK = re.compile("[\u3040-ヿ㐀-鿿]")
+CJK = re.compile("[\u3040-ヿ㐀-鿿]")
 _NAME = re.compile(r"(?:\b[^\W\d_]\.\s+)?\b[A-ZÀ-ÞŽА-ЯЁ][\w’-]+(?:\s+(?:&\s+)?[A-ZÀ-ÞŽА-ЯЁ][\w’-]+)*")
 _COLON = re.compile("^([^：:]{2,12}[：:]).{1,24}$")
 
@@ -52,14 +52,14 @@ def line_kind(line: str) -> int:
         return BLANK
     if "\t" in s:
         return FIGURE
-    wide = bool(_CJK.search(s))
+    wide = bool(CJK.search(s))
     parts = [p for p in _PARTS.split(s) if p.strip()]
-    if len(parts) >= 3 and max(map(len, parts)) <= (14 if wide else 34) and not _END.search(s):
+    if len(parts) >= 3 and max(map(len, parts)) <= (14 if wide else 34) and not SENTENCE_END.search(s):
         return NAV
-    if _BULLET.match(s) and not _END.search(s):
+    if _BULLET.match(s) and not SENTENCE_END.search(s):
         return BULLET
     long = len(s) > (70 if wide else 170)
-    if long or (_END.search(s) and len(s) >= (16 if wide else 40)):
+    if long or (SENTENCE_END.search(s) and len(s) >= (16 if wide else 40)):
         return PARAGRAPH
     return ITEM
 
@@ -95,7 +95,7 @@ def parse_page(text: str | None, title: str | None) -> list[tuple]:
         form = line_form(line)
         rows.append([no, _hash(form), _hash(_group_form(line, k, form)), k, 1, 0, want is not None and form == want, form])
     # Notices are short; the article begins and ends with its first and last paragraph of some length.
-    paragraphs = [i for i, r in enumerate(rows) if r[3] == PARAGRAPH and len(r[7]) >= (45 if _CJK.search(r[7]) else 110)]
+    paragraphs = [i for i, r in enumerate(rows) if r[3] == PARAGRAPH and len(r[7]) >= (45 if CJK.search(r[7]) else 110)]
     paragraphs = paragraphs or [i for i, r in enumerate(rows) if r[3] == PARAGRAPH]
     for i, r in enumerate(rows):
         r[4] = 0 if not paragraphs or i < paragraphs[0] else 2 if i > paragraphs[-1] else 1
