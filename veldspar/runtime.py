@@ -74,14 +74,19 @@ def ship_package(spark: SparkSession) -> None:
 def first_rows(df: DataFrame, key: str, order: str, *columns: str) -> DataFrame:
     """Of the rows of each key the one with the lowest order value, with the given columns.
 
-    min_by combines on the map side, so a key that is delivered again and again is no hot group.
-    Rows with a null key are dropped: they name no record. Ties of the order column are settled
-    by the columns' own values.
+    Keys of one row, nearly all, stay where they are; only the rows of keys that come again are moved, and
+    combined on the map side, so a key that is delivered again and again is no hot group. Where too
+    many keys come again for a broadcast, all rows are combined so. Rows with a null key are dropped: they name
+    no record. Ties of the order column are settled by the columns' own values.
     """
+    rows = df.filter(F.col(key).isNotNull())
+    again = materialize(rows.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select(key), "again")
+    if again.limit(BROADCAST_ROWS + 1).count() > BROADCAST_ROWS:
+        return _lowest(rows, key, order, columns)
+    once = rows.join(F.broadcast(again), key, "left_anti").select(key, *[F.col(c) for c in columns])
+    return once.unionByName(_lowest(rows.join(F.broadcast(again), key, "left_semi"), key, order, columns))
+
+
+def _lowest(rows: DataFrame, key: str, order: str, columns: tuple[str, ...]) -> DataFrame:
     picked = F.struct(F.col(order).alias("o"), *[F.col(c).alias(c) for c in columns])
-    return (
-        df.filter(F.col(key).isNotNull())
-        .groupBy(F.col(key))
-        .agg(F.min(picked).alias("r"))
-        .select(F.col(key), *[F.col(f"r.{c}").alias(c) for c in columns])
-    )
+    return rows.groupBy(F.col(key)).agg(F.min(picked).alias("r")).select(F.col(key), *[F.col(f"r.{c}").alias(c) for c in columns])
