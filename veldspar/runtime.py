@@ -9,7 +9,7 @@ import tempfile
 import uuid
 import zipfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Rows up to which a side may be broadcast; with rows of some hundred bytes that is well below 100 MB.
@@ -90,3 +90,19 @@ def first_rows(df: DataFrame, key: str, order: str, *columns: str) -> DataFrame:
 def _lowest(rows: DataFrame, key: str, order: str, columns: tuple[str, ...]) -> DataFrame:
     picked = F.struct(F.col(order).alias("o"), *[F.col(c).alias(c) for c in columns])
     return rows.groupBy(F.col(key)).agg(F.min(picked).alias("r")).select(F.col(key), *[F.col(f"r.{c}").alias(c) for c in columns])
+
+
+def only_first(df: DataFrame, key: str, order: str) -> DataFrame:
+    """The first row of each key by order, with all columns; rows with a null key are dropped.
+
+    As in first_rows(), keys of one row stay where they are. The rank of the others is cut on the map side. Of tied
+    rows any one is kept.
+    """
+    rows = df.filter(F.col(key).isNotNull())
+    again = materialize(rows.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select(key), "again")
+    rank = F.row_number().over(Window.partitionBy(key).orderBy(order))
+    if again.limit(BROADCAST_ROWS + 1).count() > BROADCAST_ROWS:
+        return rows.withColumn("_rank", rank).filter("_rank = 1").drop("_rank")
+    once = rows.join(F.broadcast(again), key, "left_anti")
+    multi = rows.join(F.broadcast(again), key, "left_semi").withColumn("_rank", rank).filter("_rank = 1").drop("_rank")
+    return once.unionByName(multi)
