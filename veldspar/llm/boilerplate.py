@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..runtime import bounded_broadcast, first_rows, materialize, table
+from ..runtime import bounded_broadcast, materialize, only_first, table
 from .mojibake import restore
 
 #: Share of a host's pages from which an element is template, and pages it must be on at least.
@@ -206,9 +206,8 @@ def template_lines_of(parsed: DataFrame, keys: list[str]) -> DataFrame:
 def web_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(item_table, item_id, source_id, title, text) of extracted pages and of signals taken from web pages."""
     p = table(spark, sf_dir, "extracted_page").dropDuplicates(["page_id"])
-    raw = table(spark, sf_dir, "raw_signal")
-    first = first_rows(raw.select("signal_id", "ingest_seq"), "signal_id", "ingest_seq", "ingest_seq")
-    s = raw.filter("collector = 'web_page'").join(first, ["signal_id", "ingest_seq"], "left_semi")
+    raw = table(spark, sf_dir, "raw_signal").select("signal_id", "ingest_seq", "source_id", "title", "raw_text", "collector")
+    s = only_first(raw, "signal_id", "ingest_seq").filter("collector = 'web_page'")
     return p.select(F.lit("extracted_page").alias("item_table"), F.col("page_id").alias("item_id"), "source_id", "title", "text").unionByName(
         s.select(F.lit("raw_signal").alias("item_table"), F.col("signal_id").alias("item_id"), "source_id", "title", F.col("raw_text").alias("text"))
     )

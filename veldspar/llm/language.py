@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..runtime import first_rows, materialize, table
+from ..runtime import materialize, only_first, table
 from .mojibake import restore
 
 LANGUAGES = ["en", "de", "fr", "es", "pt", "ru", "zh", "ja"]
@@ -278,10 +278,8 @@ def p7_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(signal_id, label, lang_code, segments, chars, confidence) of each signal's first row."""
     raw = table(spark, sf_dir, "raw_signal")
     model = fit_languages(table(spark, sf_dir, "documents"), "text", "lang", raw, "raw_text", "language")
-    x = raw.withColumn("label", label_column(F.col("language")))
-    x = segment_languages(x, ["signal_id", "ingest_seq", "label"], "raw_text", model)
-    first = first_rows(raw.select("signal_id", "ingest_seq"), "signal_id", "ingest_seq", "ingest_seq")
-    return materialize(x.join(first, ["signal_id", "ingest_seq"], "left_semi").drop("ingest_seq"), "segments")
+    x = only_first(raw.select("signal_id", "ingest_seq", "language", "raw_text"), "signal_id", "ingest_seq").withColumn("label", label_column(F.col("language")))
+    return materialize(segment_languages(x, ["signal_id", "label"], "raw_text", model), "segments")
 
 
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..runtime import first_rows, table
+from ..runtime import only_first, table
 
 #: A restored line must cost so much less than the received one; each step costs STEP; paths of at most DEPTH steps.
 MARGIN, STEP, DEPTH = 0.7, 0.3, 3
@@ -352,16 +352,9 @@ def garbled_fields(rows: DataFrame, key: str, fields: list[str]) -> DataFrame:
 
 
 def p1_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(signal_id, field_name, restored) of the affected fields.
-
-    Analysis comes before the choice of each signal's first row, so whole texts cross no shuffle: only
-    what is garbled does.
-    """
-    raw = table(spark, sf_dir, "raw_signal")
-    first = first_rows(raw.select("signal_id", "ingest_seq"), "signal_id", "ingest_seq", "ingest_seq")
-    hits = garbled_fields(raw.withColumn("_k", F.struct("signal_id", "ingest_seq")), "_k", ["title", "raw_text"])
-    hits = hits.select("_k.signal_id", "_k.ingest_seq", "field_name", "restored")
-    return hits.join(first, ["signal_id", "ingest_seq"], "left_semi").select("signal_id", "field_name", "restored")
+    """(signal_id, field_name, restored) of the affected fields of each signal's first row."""
+    raw = only_first(table(spark, sf_dir, "raw_signal").select("signal_id", "ingest_seq", "title", "raw_text"), "signal_id", "ingest_seq")
+    return garbled_fields(raw, "signal_id", ["title", "raw_text"])
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
