@@ -71,14 +71,16 @@ def test_prefixes_find_all_similar_texts():
         for i in range(0, len(e), 12):
             e[i] = inc._word_hash(words(rng, 1)[0] + "x")
         base.append(e)
-    arrays = [np.array(b) for b in base]
-    pre = [set(p.tolist()) for p in inc.prefix_tokens(arrays, np.array([], np.int64))]
+    size = np.array([len(b) for b in base])
+    row, token = inc.prefix_tokens(np.concatenate([np.array(b) for b in base]), size, np.array([], np.int64))
+    pre = [set(token[row == i].tolist()) for i in range(len(base))]
     for i in range(len(base)):
         for j in range(i):
             a, b = set(base[i]), set(base[j])
             if len(a & b) >= inc.UNCHANGED * max(len(a), len(b)):
                 assert pre[i] & pre[j]
-    assert [len(p) for p in inc.prefix_tokens([np.array([], np.int64)], np.array([1]))] == [0]
+    none = np.array([], np.int64)
+    assert len(inc.prefix_tokens(none, np.array([0]), np.array([1]))[0]) == 0
 
 
 def test_postings_probe_verify_against_brute_force(spark, tmp_path):
