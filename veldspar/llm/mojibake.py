@@ -35,8 +35,8 @@ PAIR_COST = [
 ]
 _X_RUN = re.compile("x+")
 #: A line without any of these kinds and neighbours, and with few rare characters, is taken as it is.
-_GATE = re.compile(r"[xfbyjo]|[eE][sSQz]|E[qz]|[eE]{3}|[aAcCeE]s|s[aAeEcCsq]|[aeEcC]S[aeEcC]|aE|[cCy][aAeE]|[aAeE][cCy]|cC|[hijkw]\?|[hij][aAeE]")
-_LONE = re.compile("[ÂÃ](?![A-Za-zÀ-ÿ])")
+_GATE = re.compile(r"[xfbyjo]|[eE][sSQz]|E[qz]|[eE]{3}|[aAcCeE]s|s[aAeEcCsq]|[aeEcC]S[aeEcC]|aE|[cCy][aAeE]|[aAeE][cCy]|cC|[hijkw]\?|[hij][aAeE]| E ")
+_LONE = re.compile("[ÂÃ](?![A-Za-zÀ-ÿ])|(?<= )[ÐÑ](?= )")
 _RUSSIAN = set("абвгдеёжзийклмнопрстуфхцчшщъыьэюя")
 _QUOTES = "«»„“”‘’–—…•·"
 _OPENERS = "¿¡"
