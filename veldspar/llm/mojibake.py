@@ -30,7 +30,7 @@ RUN_COST = 3.0
 KIND_COST = {"s": 0.3, "S": 0.03, "b": 1.5, "y": 1.2, "f": 1.6, "j": 1.6, "i": 0.2, "h": 0.05, "k": 0.05, "c": 0.05, "C": 0.06, "g": 0.5, "o": 0.6, "e": 0.1, "E": 0.15, "z": 0.15}
 PAIR_COST = [
     (re.compile("[eE](?=[sSQz])|o(?=[aAeE])|(?<=[aAeE])o"), 2.0), (re.compile("a(?=E)|[sS](?=[sS])|(?<=[hijkwxf])\\?"), 1.5), (re.compile("c(?=C)"), 1.2),
-    (re.compile("[hij](?=[aAeE])|[aAeE](?=[hij])"), 1.1), (re.compile("[aAeEcCy](?=[sSbx][aeEcCy])"), 1.0), (re.compile("[eE](?=[eE])"), 0.4),
+    (re.compile("[qQ](?=[qQ])|q(?=[zE] )"), 0.7), (re.compile("[hij](?=[aAeE])|[aAeE](?=[hij])"), 1.1), (re.compile("[aAeEcCy](?=[sSbx][aeEcCy])"), 1.0), (re.compile("[eE](?=[eE])"), 0.4),
     (re.compile("[eEsS](?=q)(?!e?q )|[cCy](?=[aAeE])|[aAeE](?=[cCy])|k(?=[ijf])|[ijf](?=k)"), 0.8),
 ]
 _X_RUN = re.compile("x+")
