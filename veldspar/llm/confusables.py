@@ -160,11 +160,14 @@ def plain_form(text: str | None) -> str | None:
     y = _MARKED_RE.sub(lambda m: unicodedata.normalize("NFC", m[0]), y)
 
     def compat(m: re.Match) -> str:
-        a, b = m.span()
-        beside = bool(_SCRIPTS["cjk"].search(y[max(0, a - 2) : b + 2].translate({k: None for k in range(0xFF01, 0xFF66)})))
-        new = "".join(_compat_plain(c, script == "cjk", beside) for c in m[0])
         # Half-width kana and their sound marks are one letter.
-        return unicodedata.normalize("NFKC", m[0]) if script == "cjk" and "ｦ" <= m[0][:1] <= "ﾟ" and len(m[0]) > 1 else new
+        if script == "cjk" and "\uff66" <= m[0][:1] <= "\uff9f" and len(m[0]) > 1:
+            return unicodedata.normalize("NFKC", m[0])
+        out = []
+        for i, ch in enumerate(m[0], m.start()):
+            beside = any(_SCRIPTS["cjk"].match(z) and not "\uff00" < z < "\uff66" for z in y[max(0, i - 1) : i] + y[i + 1 : i + 2])
+            out.append(_compat_plain(ch, script == "cjk", beside))
+        return "".join(out)
 
     y = _COMPAT_RE.sub(compat, y)
     if script == "cjk" or not re.search("[Ͱ-ԯ]", y):
