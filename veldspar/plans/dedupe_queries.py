@@ -213,3 +213,14 @@ def metadata_coalesce(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "content_candidate").groupBy("candidate_key").agg(F.min("url").alias("url"), F.min("title").alias("title"))
     p = table(spark, sf_dir, "extracted_page").groupBy("url").agg(F.min("title").alias("title"))
     return joins.coalesce_join(c, p, "url", ["title"]).select("candidate_key", "title")
+
+
+@query("archive_run_health")
+def archive_run_health(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The candidate items as one archiving run against the seen documents and the extracted pages, by source."""
+    from . import pipelines
+
+    c = table(spark, sf_dir, "candidate_item").select(F.col("source").alias("source_id"), F.col("ingest_seq").alias("pos"), "title", "url", "published")
+    pages = table(spark, sf_dir, "extracted_page").select("url", "text", "title", F.array_join("errors", ";").alias("error"))
+    run = pipelines.archive_run(c, table(spark, sf_dir, "seen_documents"), pages, "run", "2025-12-01")
+    return run.health
