@@ -1,3 +1,4 @@
+import hashlib
 import random
 
 import numpy as np
@@ -116,7 +117,11 @@ def test_titles(spark, a, b, same):
 
 def test_addresses(spark):
     u = ["https://WWW.x.example/a/?utm_source=q#top", "http://x.example/a", "https://x.example/a?b=1&a=2", "https://x.example/a/?a=2&ref=z&b=1", "https://x.example/A", None, "", "nothing"]
-    got = [r[0] for r in spark.createDataFrame([(x,) for x in u], "u string").select(inc.address(F.col("u"))).collect()]
+    rows = inc.with_url_keys(spark.createDataFrame([(x,) for x in u], "u string"), "u").collect()
+    got = [r["a"] for r in rows]
+    sha = lambda x: hashlib.sha256(x.encode()).hexdigest()[:16]
+    assert (rows[0]["u1"], rows[0]["u2"]) == (sha("https://www.x.example/a/?utm_source=q"), sha("https://www.x.example/a"))
+    assert (rows[1]["u1"], rows[1]["u2"]) == (sha("http://x.example/a"), None)
     assert got[0] == got[1] and got[2] == got[3] and got[4] != got[0] and got[5:] == [None, None, None]
 
 
