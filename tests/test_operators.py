@@ -38,6 +38,17 @@ def test_greedy_new_equals_a_loop(spark):
     assert rows(dedupe.greedy_new(df, ["u", "c"], "i", history), "i") == sorted(want, key=str)
 
 
+def chain(spark, n):
+    """Row i shares its address with the row before and its title with the row after, or the other way round."""
+    return spark.createDataFrame([(i, (i + 1) // 2, i // 2) for i in range(n)], "i int, u int, c int")
+
+
+def test_greedy_new_settles_long_chains(spark, monkeypatch):
+    assert rows(dedupe.greedy_new(chain(spark, 450), ["u", "c"], "i"), "i") == sorted([(i,) for i in range(0, 450, 2)], key=str)
+    monkeypatch.setattr(dedupe, "ON_DRIVER", 0)
+    assert rows(dedupe.greedy_new(chain(spark, 46), ["u", "c"], "i"), "i") == sorted([(i,) for i in range(0, 46, 2)], key=str)
+
+
 def test_seen_lookup_masks_the_fallback(spark):
     st = spark.createDataFrame([("u1", "t1", "failed", 1), ("u2", "t1", "saved", 2), ("u3", None, "partial", 1), ("u3", None, "failed", 0)], "u string, t string, status string, at int")
     b = spark.createDataFrame([(1, "u1", "t1"), (2, "zz", "t1"), (3, "u3", None), (4, None, None)], "i int, u string, t string")

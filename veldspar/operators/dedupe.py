@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from ..runtime import materialize
 
+#: Rounds after which a rest of at most so many keys is settled by a loop on the driver.
+ROUNDS, ON_DRIVER = 8, 100_000
+
 
 def mark_first(df: DataFrame, key: Column, order: list[str], flag: str = "is_first") -> DataFrame:
     """df with a flag: true on the first row of each key by order, and on every row without a key.
@@ -38,32 +41,67 @@ def two_phase(df: DataFrame, first_key: Column, second_key: Column, order: list[
     return y.withColumn("duplicate_of_phase", phase).drop("_a", "_b", "_k2")
 
 
-def greedy_new(df: DataFrame, keys: list[str], order: str, history: DataFrame | None = None, max_rounds: int = 200) -> DataFrame:
+def _loop(look: list, marks: list) -> list[tuple]:
+    """one_by_one() of rows (_o, k) as a plain loop."""
+    mine: dict = {}
+    for o, k in marks:
+        mine.setdefault(o, []).append(k)
+    asked: dict = {}
+    for o, k in look:
+        asked.setdefault(o, []).append(k)
+    taken: set = set()
+    out = []
+    for o in sorted(asked):
+        if taken.isdisjoint(asked[o]):
+            out.append((o,))
+            taken.update(mine.get(o, ()))
+    return out
+
+
+def one_by_one(look: DataFrame, marks: DataFrame | None = None) -> DataFrame:
+    """(_o) of the rows that a loop in order of _o would accept: no earlier accepted row marks a key that they look up.
+
+    look, marks: (_o, k), the keys that a row looks up and those it marks once accepted; without marks they
+    are the same. Each round settles the rows that no open earlier row can block, and those blocked by
+    them, at least the earliest. A long chain settles few rows a round, so once at most ON_DRIVER keys are
+    open after ROUNDS rounds the driver runs the loop over them; nothing is left unsettled.
+    """
+    open_ = materialize(look, "greedy")
+    mine = open_ if marks is None else materialize(marks, "greedy")
+    accepted = open_.select("_o").limit(0)
+    rounds = 0
+    while (left := open_.limit(ON_DRIVER + 1).count()) > 0:
+        if rounds >= ROUNDS and left <= ON_DRIVER:
+            rest = _loop(open_.select("_o", "k").collect(), mine.select("_o", "k").collect())
+            return accepted.unionByName(open_.sparkSession.createDataFrame(rest, open_.select("_o").schema))
+        first = mine.groupBy("k").agg(F.min("_o").alias("m"))
+        free = F.min(F.col("m").isNull() | (F.col("_o") <= F.col("m")))
+        wins = materialize(open_.join(first, "k", "left").groupBy("_o").agg(free.alias("w")).filter("w").select("_o"), "greedy")
+        taken = mine.join(wins, "_o", "left_semi").groupBy("k").agg(F.min("_o").alias("m"))
+        lost = open_.join(taken, "k").filter("_o > m").select("_o")
+        settled = materialize(lost.unionByName(wins).distinct(), "greedy")
+        accepted = accepted.unionByName(wins)
+        rounds += 1
+        if rounds % 20 == 0:
+            accepted = materialize(accepted, "greedy")
+        open_ = materialize(open_.join(settled, "_o", "left_anti"), "greedy")
+        mine = open_ if marks is None else materialize(mine.join(settled, "_o", "left_anti"), "greedy")
+    return accepted
+
+
+def greedy_new(df: DataFrame, keys: list[str], order: str, history: DataFrame | None = None) -> DataFrame:
     """The rows that are new in order: none of their keys is in the history or on an earlier new row.
 
     A row that isn't new passes no key on, so this is neither distinct by one key after the other nor by
-    connected rows. Each round settles the rows that are first for all their keys among the
-    open ones, and with them the rows that share a key with those. history has a column k of
-    keys, each as 'name=value'. Null keys bind nothing; order must be unique.
+    connected rows. history has a column k of keys, each as 'name=value'. Null keys bind nothing; order
+    must be unique.
     """
     tagged = F.array_compact(F.array(*[F.when(F.col(k).isNotNull(), F.concat(F.lit(k + "="), F.col(k).cast("string"))) for k in keys]))
     open_ = df.select(F.col(order).alias("_o"), F.explode_outer(tagged).alias("k"))
     if history is not None:
         known = open_.join(history.select("k").distinct(), "k", "left_semi").select("_o").distinct()
         open_ = open_.join(known, "_o", "left_anti")
-    accepted = materialize(open_.filter("k is null").select("_o"), "greedy")
-    open_ = materialize(open_.filter("k is not null"), "greedy")
-    for _ in range(max_rounds):
-        if open_.limit(1).count() == 0:
-            break
-        first = open_.groupBy("k").agg(F.min("_o").alias("m"))
-        x = open_.join(first, "k")
-        wins = x.groupBy("_o").agg(F.min(F.col("_o") == F.col("m")).alias("w")).filter("w").select("_o")
-        wins = materialize(wins, "greedy")
-        taken = open_.join(wins, "_o", "left_semi").select("k").distinct()
-        lost = open_.join(taken, "k", "left_semi").select("_o").distinct()
-        accepted = accepted.unionByName(wins)
-        open_ = materialize(open_.join(lost, "_o", "left_anti"), "greedy")
+    accepted = materialize(open_.filter("k is null").select("_o"), "greedy").unionByName(one_by_one(open_.filter("k is not null")))
     return df.join(accepted.withColumnRenamed("_o", order), order, "left_semi")
 
 
