@@ -64,6 +64,25 @@ def test_test_sets_beyond_a_block_are_taken_in_blocks(spark, monkeypatch):
     assert sorted(r[1] for r in lk.leaked_items(docs, "doc_id", "text", items, "item_id", "passage").collect()) == [0, 1, 2, 3, 4]
 
 
+def test_passages_that_many_items_share_leak_all_of_them(spark, monkeypatch):
+    other = "A wholly different opening stands before it in this one of the suites. "
+    docs = spark.createDataFrame([(1, "Intro. " + PASSAGE), (2, "Nothing of it. " * 9)], "doc_id long, text string")
+    data = [*[(i, PASSAGE) for i in range(6)], *[(6, PASSAGE)] * 5, *[(i, other + PASSAGE) for i in range(7, 12)], (12, lk.sentences(PASSAGE)[1])]
+    items = spark.createDataFrame(data, "item_id long, passage string")
+    whole = sorted(tuple(r) for r in lk.leaked_items(docs, "doc_id", "text", items, "item_id", "passage").collect())
+    assert whole == [(1, i) for i in range(13)]
+    monkeypatch.setattr(lk, "BLOCK_BYTES", 600)
+    assert sorted(tuple(r) for r in lk.leaked_items(docs, "doc_id", "text", items, "item_id", "passage").collect()) == whole
+
+
+def test_a_stock_phrase_of_many_items_is_no_leak():
+    stock = "Choose the one answer that fits the text above best. "
+    items = [(i, stock + w + " grew for a third month in a row near the old harbour. " + w[::-1] + " fell again on the day after.") for i, w in enumerate(("Copperstocks", "Wheatprices", "Steelorders", "Chipdemand", "Shipfreights"))]
+    index = lk.PassageIndex(items)
+    assert index.leaks("Intro words. " + stock + "And then something else that no test has ever said follows here.") == set()
+    assert index.leaks("Intro words. " + items[2][1]) == {2}
+
+
 def test_prefixes_find_all_similar_texts():
     rng = random.Random(2)
     base = [[inc._word_hash(w) for w in words(rng, 90)] for _ in range(40)]

@@ -98,35 +98,48 @@ def sentences(text: str) -> list[str]:
 
 
 class PassageIndex:
-    """Inverted index of the winnowed fingerprints of test passages, by sentence."""
+    """Inverted index of the winnowed fingerprints of test passages, by sentence; equal sentences are one entry."""
 
     def __init__(self, items: list[tuple[int, str]]):
-        self.item, self.no, self.size, self.small = [], [], [], []
+        self.size, self.small = [], []
+        #: Items of one sentence, by sentence; items with the second sentence of a pair after the first, by first and second.
+        self.alone: dict[int, set] = {}
+        self.pairs: dict[int, dict[int, set]] = {}
         hashes, owner, place = [], [], []
-        for item, passage in items:
-            for no, s in enumerate(sentences(passage)):
-                b = np.frombuffer(fold(s), np.uint8)
-                h = gram_hashes(b, GRAM)
-                if not len(h):
-                    continue
-                p = winnow(h)
-                hashes.append(h[p])
-                owner.append(np.full(len(p), len(self.item)))
-                place.append(p)
-                self.item.append(item)
-                self.no.append(no)
-                self.size.append(len(b))
-                self.small.append(np.unique(gram_hashes(b, SMALL)))
+        known: dict[bytes, int] = {}
+        for item, passage in dict.fromkeys(items):
+            parts = sentences(passage)
+            before = None
+            for s in parts:
+                f = fold(s)
+                i = known.get(f)
+                if i is None:
+                    b = np.frombuffer(f, np.uint8)
+                    h = gram_hashes(b, GRAM)
+                    if not len(h):
+                        continue
+                    i = known[f] = len(self.size)
+                    p = winnow(h)
+                    hashes.append(h[p])
+                    owner.append(np.full(len(p), i))
+                    place.append(p)
+                    self.size.append(len(b))
+                    self.small.append(np.unique(gram_hashes(b, SMALL)))
+                if len(parts) == 1:
+                    self.alone.setdefault(i, set()).add(item)
+                if before is not None:
+                    self.pairs.setdefault(before, {}).setdefault(i, set()).add(item)
+                before = i
         h = np.concatenate(hashes) if hashes else np.empty(0, np.uint64)
         order = np.argsort(h, kind="stable")
         self.hash = h[order]
         self.owner = np.concatenate(owner)[order] if hashes else np.empty(0, np.int64)
         self.place = np.concatenate(place)[order] if hashes else np.empty(0, np.int64)
         self.keys, self.start, self.count = np.unique(self.hash, return_index=True, return_counts=True)
-        last = {}
-        for i, x in enumerate(self.item):
-            last[x] = max(last.get(x, 0), self.no[i])
-        self.single = {x for x, n in last.items() if n == 0}
+        self.single = np.zeros(len(self.size), bool)
+        self.single[list(self.alone)] = True
+        both = [(s, t) for s, after in self.pairs.items() for t in after]
+        self.ahead, self.behind = np.array(both, np.int64).reshape(-1, 2).T
 
     def leaks(self, text: str) -> set[int]:
         """The items that text leaks."""
@@ -141,16 +154,23 @@ class PassageIndex:
         at, pos = at[hit], pos[hit]
         if not len(at):
             return set()
+        # Every hit counts, however many test sentences share its fingerprint; what a stock phrase hits by
+        # itself is told apart when the sentences are held against the text.
         n = self.count[at]
-        # A fingerprint that many test sentences share is a stock phrase and says little by itself: a
-        # sentence is looked at where a fingerprint shared by few of them hits, and then with all its text.
-        few = n <= 3
-        at, pos, n = at[few], pos[few], n[few]
-        if not len(at):
-            return set()
         rep = np.repeat(np.arange(len(at)), n)
         entry = self.start[at][rep] + np.arange(len(rep)) - np.repeat(np.cumsum(n) - n, n)
         owner, shift = self.owner[entry], pos[rep] - self.place[entry]
+        # Of the sentences hit, those that are all of a passage or have a neighbour that is hit can make a leak.
+        here = np.zeros(len(self.size), bool)
+        here[owner] = True
+        both = here[self.ahead] & here[self.behind]
+        useful = self.single.copy()
+        useful[self.ahead[both]] = True
+        useful[self.behind[both]] = True
+        can = useful[owner]
+        owner, shift = owner[can], shift[can]
+        if not len(owner):
+            return set()
         order = np.lexsort((shift, owner))
         owner, shift = owner[order], shift[order]
         cuts = np.flatnonzero((np.diff(owner) != 0) | (np.diff(shift) > 48)) + 1
@@ -167,25 +187,32 @@ class PassageIndex:
                 if grams is None:
                     grams = gram_hashes(b, SMALL)
                 region = grams[max(0, span[0] - 24) : span[1] + 24]
-                shares[s, span[0]] = float(np.isin(self.small[s], region).mean()) if len(region) else 0.0
+                small = self.small[s]
+                where = np.minimum(np.searchsorted(small, region), len(small) - 1)
+                there = np.zeros(len(small), bool)
+                there[where[small[where] == region]] = True
+                shares[s, span[0]] = float(there.mean())
             return shares[s, span[0]]
 
-        out = set()
+        def pair(s: int, t: int) -> bool:
+            for after in spans[t]:
+                for x in spans[s]:
+                    if -80 <= after[0] - x[1] <= BETWEEN and (one := share(s, x)) >= SENTENCE_SHARE and (two := share(t, after)) >= SENTENCE_SHARE:
+                        n1, n2 = len(self.small[s]), len(self.small[t])
+                        if (one * n1 + two * n2) / (n1 + n2) >= PAIR_SHARE:
+                            return True
+            return False
+
+        out: set = set()
         for s, here in spans.items():
-            item = self.item[s]
-            if item in out:
-                continue
-            if item in self.single:
-                if any(share(s, x) >= PAIR_SHARE for x in here):
-                    out.add(item)
-                continue
+            alone = self.alone.get(s)
+            if alone and not alone <= out and any(share(s, x) >= PAIR_SHARE for x in here):
+                out |= alone
             # Only a sentence whose neighbour hits beside it is extended: one alone is no leak.
-            for after in spans.get(s + 1, ()) if s + 1 < len(self.item) and self.item[s + 1] == item else ():
-                for x in here:
-                    if -80 <= after[0] - x[1] <= BETWEEN and (one := share(s, x)) >= SENTENCE_SHARE and (two := share(s + 1, after)) >= SENTENCE_SHARE:
-                        n1, n2 = len(self.small[s]), len(self.small[s + 1])
-                        if (one * n1 + two * n2) / (n1 + n2) >= PAIR_SHARE:
-                            out.add(item)
+            follow = self.pairs.get(s, {})
+            for t in follow.keys() & spans.keys():
+                if not follow[t] <= out and pair(s, t):
+                    out |= follow[t]
         return out
 
 
@@ -197,7 +224,7 @@ def leaked_items(docs: DataFrame, key: str, text: str, items: DataFrame, item_ke
     """
     spark = docs.sparkSession
     doc_type, item_type = dict(docs.dtypes)[key], dict(items.dtypes)[item_key]
-    rows = items.filter(F.col(passage).isNotNull() & F.col(item_key).isNotNull()).select(F.col(item_key).alias("i"), F.col(passage).alias("p"), F.octet_length(passage).alias("n"))
+    rows = items.filter(F.col(passage).isNotNull() & F.col(item_key).isNotNull()).select(F.col(item_key).alias("i"), F.col(passage).alias("p"), F.octet_length(passage).alias("n")).distinct()
     blocks: list[list[tuple]] = [[]]
     size = 0
     parts = []
