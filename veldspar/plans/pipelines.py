@@ -13,6 +13,27 @@ from ..operators import dedupe, state
 from ..runtime import materialize
 
 
+def _with_repeats(x: DataFrame, seen: DataFrame) -> DataFrame:
+    """x with outcome 'duplicate' where an earlier candidate that ended saved or partial has marked its keys.
+
+    Looked up are the candidate's address and title; marked are the address and the document's title, which
+    the page may have changed. An address the state knows keeps the title it has there.
+    """
+    key = lambda name, c: F.concat(F.lit(name), F.col(c))
+    pairs = lambda df, *keys: df.select(F.col("pos").alias("_o"), F.explode(F.array_compact(F.array(*keys))).alias("k"))
+    by_title = F.when(~F.col("matched_by").eqNullSafe("url_hash"), key("t=", "title_hash"))
+    look = materialize(pairs(x, key("u=", "url_hash"), by_title), "look")
+    final = x.filter(F.col("outcome").isin("saved", "partial"))
+    known = seen.filter(F.col("url_hash").isNotNull()).select("url_hash", F.col("title_hash").alias("_t")).distinct()
+    final = final.select("pos", "url_hash", "matched_by", urls.title_key(F.col("source_id"), F.col("title"), F.col("published")).alias("_new")).join(known, "url_hash", "left")
+    title = F.when(F.col("matched_by").eqNullSafe("url_hash"), key("t=", "_t")).otherwise(key("t=", "_new"))
+    marks = materialize(pairs(final, key("u=", "url_hash"), title).distinct(), "marks")
+    accepted = materialize(dedupe.one_by_one(look.join(final.select(F.col("pos").alias("_o")).distinct(), "_o", "left_semi"), marks), "accepted")
+    first = marks.join(accepted, "_o", "left_semi").groupBy("k").agg(F.min("_o").alias("m"))
+    again = look.join(first, "k").filter("_o > m").select(F.col("_o").alias("pos")).distinct().withColumn("_again", F.lit(True))
+    return x.join(again, "pos", "left").withColumn("outcome", F.when(F.col("_again"), "duplicate").otherwise(F.col("outcome"))).drop("_again")
+
+
 @dataclass
 class RunTables:
     """What a run leaves behind. outcomes: one row per candidate with its outcome; the others are made of it."""
@@ -27,23 +48,23 @@ class RunTables:
 def archive_run(candidates: DataFrame, seen: DataFrame, pages: DataFrame, run_id: str, checked_at: str, high: int = 1500, medium: int = 300, low: int = 30) -> RunTables:
     """Run candidates (source_id, pos, title, url, published) against seen documents and fetched pages (url, text, title, error).
 
-    A candidate repeats an earlier one of the run by its address, or is seen by address and then by title; the
-    others are saved, partial where the page is short or empty, or failed where there is no page or an error.
-    Repeats and seen candidates are skipped before pages are joined, so an outcome never depends on order of work.
+    A candidate is a duplicate if an earlier one of the run with its address, or with its title where the state
+    doesn't know its address, ended saved or partial; else it is skipped if the state has it as accepted; the others are
+    saved, partial where the page is short or empty, or failed where there is no page or an error. A failed or skipped
+    candidate marks nothing, so the next one is tried. pos must be unique.
     """
     c = candidates.select("source_id", "pos", "title", "url", "published", urls.url_hash(urls.url_without_tracking("url")).alias("url_hash"), urls.title_key(F.col("source_id"), F.col("title"), F.col("published")).alias("title_hash"))
-    c = dedupe.mark_first(c, F.col("url_hash"), ["pos"])
     c = state.seen_lookup(c, seen, "url_hash", "title_hash")
     p = pages.select(urls.url_hash(urls.url_without_tracking("url")).alias("url_hash"), F.col("text"), F.col("title").alias("page_title"), F.col("error"))
     p = state.latest(p, ["url_hash"], F.length(F.coalesce("text", F.lit(""))).desc(), F.col("text"))
     x = c.join(p, "url_hash", "left")
     quality = tx.quality_by_length(tx.char_count(tx.trim_u(F.col("text"))), high, medium, low)
     error = F.coalesce(F.nullif(F.col("error"), F.lit("")), F.when(F.col("text").isNull(), "no content fetched"))
-    outcome = (
-        F.when(~F.col("is_first"), "duplicate").when(F.col("is_seen"), "skipped").when(error.isNotNull(), "failed").when(quality.isin("empty", "low"), "partial").otherwise("saved")
-    )
+    outcome = F.when(F.col("is_seen"), "skipped").when(error.isNotNull(), "failed").when(quality.isin("empty", "low"), "partial").otherwise("saved")
     x = x.withColumn("quality", quality).withColumn("error", error).withColumn("outcome", outcome).withColumn("title", F.coalesce(F.nullif("page_title", F.lit("")), "title"))
-    x = materialize(x.drop("page_title", "is_first", "is_seen", "matched_by"), "run")
+    x = materialize(x.drop("page_title", "is_seen"), "run")
+    x = _with_repeats(x, seen).drop("matched_by")
+    x = materialize(x, "run")
     documents = x.filter(F.col("outcome").isin("saved", "partial")).withColumn("content_hash", tx.hash_text(F.col("text"), 32)).withColumn("path", urls.archive_path(F.col("published"), F.lit(checked_at), F.col("source_id"), F.col("title")))
     failed = x.filter("outcome = 'failed'").select("source_id", "url", "url_hash", "error", classify.error_class(F.col("error")).alias("error_class"), F.lit(run_id).alias("run_id"))
     n = lambda *o: F.count_if(F.col("outcome").isin(*o))
