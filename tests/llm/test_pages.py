@@ -108,6 +108,20 @@ def test_residue(spark):
     assert rs.residue_rows(df.limit(0), ["i"], "t", rs.exemplar_index(df.limit(0), "t")).count() == 0
 
 
+def test_error_pages_that_a_host_serves_often_are_residue(spark):
+    story = "The lender {} in the old harbour raised its forecast for the year number {} after a long meeting of all of its owners on the day before.\nTwo buyers of freight {} told the desk {} that demand for copper would slow down in the months that follow."
+    notice = "Please enable JavaScript to view this page."
+    wall = [(i, "h", "Story", "Please enable JavaScript to view this page. Turn on JavaScript and reload.") for i in range(10)]
+    real = [(i, "h", f"Title {i}", story.format(*[f"{w}{'abcdefghijklmnopqrst'[i - 10]}x" for w in ("one", "two", "three", "four")]) + "\n" + notice) for i in range(10, 30)]
+    odd = [(30, "g", "{{ headline }}", "{{ headline }}"), (31, "g", "Page not found", "Page not found"), (32, "g", "Copper rises", "Copper rises")]
+    pages = spark.createDataFrame(wall + real + odd, "i int, host string, title string, text string")
+    parsed = bp.page_lines(pages, ["i"], "host", "title", "text")
+    records = rs.body_text(pages, parsed, ["i"], "host", "text")
+    assert records.filter("i < 10 and body <> ''").count() == 0
+    got = sorted(r[0] for r in rs.residue_rows(records, ["i"], "body", rs.exemplar_index(records, "body"), None, "aside").collect())
+    assert got == [*range(10), 30, 31]
+
+
 def test_found_queries_on_small_tables(spark, small):
     p5, p6 = rs.p5_found(spark, small), rs.p6_found(spark, small)
     assert p5.columns == ["item_table", "item_id"] and p6.columns == ["item_table", "item_id", "line_no"]

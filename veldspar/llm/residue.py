@@ -160,6 +160,9 @@ class ExemplarIndex:
         self.default = math.log(1 + self.n)
         self.idf = {t: math.log(1 + self.n / (1 + df.get(t, 0))) for b in bags for t in b}
         self.size = [sum(self.idf[t] for t in b) for b in bags]
+        #: Whole sentences of exemplars: residue by themselves, however small a part of their exemplar they are.
+        self.whole = {w for x in lines for part in _WINDOW.split(x) if part and len(w := tuple(tokens(part))) >= 3}
+        self._asides: dict[tuple, tuple[int, bool]] = {}
         self.postings: dict[str, list[int]] = defaultdict(list)
         for i, b in enumerate(bags):
             for t in b:
@@ -180,29 +183,55 @@ class ExemplarIndex:
         # One stray word of a long exemplar is no retrieval.
         return max((s / total for i, s in score.items() if kinds[i] >= 4 or part[i] >= 0.25 * self.size[i]), default=0.0)
 
-    def is_residue(self, text: str | None, name: str | None = None) -> bool:
+    def _is_exemplar(self, window: list[str]) -> bool:
+        return tuple(window) in self.whole or (sum(t in self.idf for t in window) >= 0.5 * len(window) and self.containment(window) >= CONTAINMENT)
+
+    def _hits(self, line: str) -> int:
+        """Tokens of a line's windows that are residue."""
+        return sum(len(w) for x in _WINDOW.split(line) if x and (w := tokens(x)) and self._is_exemplar(w))
+
+    def _aside_hits(self, line: str, name: str | None) -> tuple[int, bool]:
+        """(tokens of residue windows, whether a slot or filler) of a site's own line; sites repeat their lines, so they are kept."""
+        got = self._asides.get((line, name))
+        if got is None:
+            if len(self._asides) > 100_000:
+                self._asides.clear()
+            plain = re.sub(re.escape(name), "\n", line, flags=re.I) if name and len(name) > 2 else line
+            got = self._asides[line, name] = (self._hits(plain), bool(SLOT.search(line) or _RUN.search(line)))
+        return got
+
+    def is_residue(self, text: str | None, name: str | None = None, aside: str | None = None) -> bool:
         """Whether the text is, for the most part, residue or holds unfilled slots or raw values.
 
-        name: the source's own name, which counts neither way.
+        name: the source's own name, which counts neither way. aside: lines that the site repeats and the
+        headline; they are judged too, but only what is residue of them counts as part of the text.
         """
-        if not text or not text.strip():
+        text, aside = text or "", aside or ""
+        if not text.strip() and not aside.strip():
             return False
         if SLOT.search(text) or _RUN.search(text):
             return True
+        hit = 0
+        for line in aside.split("\n"):
+            if line.strip():
+                n, slot = self._aside_hits(line, name)
+                if slot:
+                    return True
+                hit += n
         if name and len(name) > 2:
             text = re.sub(re.escape(name), "\n", text, flags=re.I)
         windows = [w for x in _WINDOW.split(text) if x and (w := tokens(x))]
-        whole = left = sum(map(len, windows))
-        hit = 0
+        left = sum(map(len, windows))
+        whole = left + hit
         for w in windows:
             left -= len(w)
-            if sum(t in self.idf for t in w) >= 0.5 * len(w) and self.containment(w) >= CONTAINMENT:
+            if self._is_exemplar(w):
                 hit += len(w)
             if hit >= COVERAGE * whole or hit + left < COVERAGE * whole:
                 break
         if hit and hit >= COVERAGE * whole:
             return True
-        return bool(VALUE.search(text)) and not _USED.search(text)
+        return any(VALUE.search(x) and not _USED.search(x) for x in (text, aside))
 
 
 #: The same words used as words.
@@ -233,25 +262,30 @@ def exemplar_index(texts: DataFrame, text: str, extra: list[str] | None = None)
     return ExemplarIndex(lines, df, df.pop("", 0))
 
 
-def residue_rows(records: DataFrame, keys: list[str], text: str, index: ExemplarIndex, name: str | None = None) -> DataFrame:
-    """The keys of the records whose text is residue; null, empty and blank texts are none; repeated rows stay."""
+def residue_rows(records: DataFrame, keys: list[str], text: str, index: ExemplarIndex, name: str | None = None, aside: str | None = None) -> DataFrame:
+    """The keys of the records whose text is residue; null, empty and blank texts are none; repeated rows stay.
+
+    name, aside: columns of the source's own name and of the site's own lines, see is_residue().
+    """
     types = dict(records.dtypes)
     shared = records.sparkSession.sparkContext.broadcast(index)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            names = pdf[name] if name else [None] * len(pdf)
-            yield pdf.loc[[shared.value.is_residue(t, n) for t, n in zip(pdf[text], names, strict=True)], keys]
+            names, asides = (pdf[c] if c else [None] * len(pdf) for c in (name, aside))
+            yield pdf.loc[[shared.value.is_residue(t, n, x) for t, n, x in zip(pdf[text], names, asides, strict=True)], keys]
 
-    return records.select(*keys, text, *([name] if name else [])).mapInPandas(run, ", ".join(f"{k} {types[k]}" for k in keys))
+    return records.select(*keys, text, *[c for c in (name, aside) if c]).mapInPandas(run, ", ".join(f"{k} {types[k]}" for k in keys))
 
 
 def body_text(pages: DataFrame, parsed: DataFrame, keys: list[str], host: str, text: str) -> DataFrame:
-    """(keys, host, body): each page's text without what its host repeats on many pages and without its headline."""
+    """(keys, host, body, aside): each page's text without what its host repeats on many pages and without its headline, and those lines."""
     drop = boilerplate.template_lines_of(parsed, keys).groupBy(*keys).agg(F.collect_set("line_no").alias("_drop"))
     x = pages.select(*keys, host, text).join(drop, keys, "left")
-    keep = F.filter(F.split(F.col(text), "\n", -1), lambda line, i: ~F.coalesce(F.array_contains("_drop", (i + 1).cast("long")), F.lit(False)))
-    return x.select(*keys, host, F.array_join(keep, "\n").alias("body"))
+    lines = F.split(F.col(text), "\n", -1)
+    gone = lambda i: F.coalesce(F.array_contains("_drop", (i + 1).cast("long")), F.lit(False))
+    body, aside = F.filter(lines, lambda line, i: ~gone(i)), F.filter(lines, lambda line, i: gone(i))
+    return x.select(*keys, host, F.array_join(body, "\n").alias("body"), F.array_join(aside, "\n").alias("aside"))
 
 
 KEYS = ["item_table", "item_id"]
@@ -263,19 +297,19 @@ def p5_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p5_records(spark: SparkSession, sf_dir: str, parsed: DataFrame | None = None) -> DataFrame:
-    """(item_table, item_id, body, source_name): bodies of extracted pages and snippets."""
+    """(item_table, item_id, body, aside, source_name): bodies and site lines of extracted pages, and snippets."""
     pages = p5_pages(spark, sf_dir)
     if parsed is None:
         parsed = materialize(boilerplate.page_lines(pages, KEYS, "source_id", "title", "text"), "pages")
     names = bounded_broadcast(table(spark, sf_dir, "inventory_source").select("source_id", "source_name").dropDuplicates(["source_id"]))
-    snippets = table(spark, sf_dir, "content_candidate").select(F.lit("content_candidate").alias("item_table"), F.col("candidate_key").alias("item_id"), "source_id", F.col("snippet").alias("body"))
+    snippets = table(spark, sf_dir, "content_candidate").select(F.lit("content_candidate").alias("item_table"), F.col("candidate_key").alias("item_id"), "source_id", F.col("snippet").alias("body"), F.lit(None).cast("string").alias("aside"))
     bodies = body_text(pages, parsed, KEYS, "source_id", "text")
     return materialize(bodies.unionByName(snippets).join(names, "source_id", "left").drop("source_id"), "bodies")
 
 
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = p5_records(spark, sf_dir)
-    return residue_rows(records, KEYS, "body", exemplar_index(records, "body"), "source_name").distinct()
+    return residue_rows(records, KEYS, "body", exemplar_index(records, "body"), "source_name", "aside").distinct()
 
 
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -287,6 +321,6 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     parsed = materialize(boilerplate.page_lines(pages, KEYS, "source_id", "title", "text"), "pages")
     records = p5_records(spark, sf_dir, parsed.filter("item_table = 'extracted_page'"))
     index = exemplar_index(records, "body")
-    cases = residue_rows(records.filter("item_table = 'extracted_page'"), KEYS, "body", index, "source_name").distinct()
+    cases = residue_rows(records.filter("item_table = 'extracted_page'"), KEYS, "body", index, "source_name", "aside").distinct()
     cases = bounded_broadcast(materialize(cases, "residue"))
     return boilerplate.lines_of(parsed, KEYS).join(cases, KEYS, "left_anti").select(*KEYS, "line_no")
