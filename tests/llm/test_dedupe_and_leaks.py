@@ -124,6 +124,25 @@ def test_postings_probe_verify_against_brute_force(spark, tmp_path):
     assert freq == brute
 
 
+def test_overlapping_equals_the_full_join_on_a_narrow_vocabulary(spark, monkeypatch):
+    rng = random.Random(5)
+    stock = words(rng, 400)
+    docs = [[f"{w}" for w in rng.sample(stock, 60)] + words(rng, rng.randrange(0, 9)) for _ in range(40)] + [words(rng, k) for k in (1, 2, 3, 5, 8)]
+    # Rare words differ and edits are scattered: no pair of rare words and few shingles are left.
+    docs += [[("n" + w if k % 10 in (0, 3, 6) or k >= 60 else w) for k, w in enumerate(d)] for d in docs[:45]]
+    docs += [[("n" + w if k % 10 in (0, 3, 6, 8) else w) for k, w in enumerate(d)] for d in docs[:45]]
+    data = [(i, [inc._word_hash(w) for w in d]) for i, d in enumerate(docs)]
+    sets = [set(w) for _, w in data]
+    want = {(i, j) for i in range(45, len(docs)) for j in range(i) if len(sets[i] & sets[j]) / max(len(sets[i]), len(sets[j])) >= inc.UNCHANGED}
+    df = spark.createDataFrame(data, "s long, w array<int>")
+    for block in (inc.BLOCK_WORDS, 2_000):
+        monkeypatch.setattr(inc, "BLOCK_WORDS", block)
+        got = inc.overlapping(df, df.filter("s >= 45"), "s", "w").collect()
+        assert {(r["seq"], r["other"]) for r in got} == want and len(got) == len(want) >= 40
+    post = inc.postings(df, [inc._word_hash(w) for w in stock], "s", "w")
+    assert len({(r["seq"], r["other"]) for r in inc.probe(post.filter("seq >= 45"), post).collect()} & want) < len(want)
+
+
 @pytest.mark.parametrize("a,b,same", [
     ("Why copper rose 5.1% at Zan Group", "[PDF] why  copper rose 5.1% at Zan Group - Velmor Desk", True), ("Why copper rose 5.1% at Zan Group", "Update: Why coper rose 5.1% at Zan Group…", True),
     ("Why copper rose 5.1% at Zan Group", "Why copper rose 5.2% at Zan Group", False), ("Why copper rose 5.1% at Zan Group", "Why copper rose 5.1% at Bextul Group", False),
