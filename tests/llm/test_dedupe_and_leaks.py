@@ -1,5 +1,6 @@
 import hashlib
 import random
+import shutil
 
 import numpy as np
 import pytest
@@ -83,64 +84,73 @@ def test_a_stock_phrase_of_many_items_is_no_leak():
     assert index.leaks("Intro words. " + items[2][1]) == {2}
 
 
-def test_prefixes_find_all_similar_texts():
-    rng = random.Random(2)
-    base = [[inc._word_hash(w) for w in words(rng, 90)] for _ in range(40)]
-    for b in base[:20]:
-        e = list(b)
-        for i in range(0, len(e), 12):
-            e[i] = inc._word_hash(words(rng, 1)[0] + "x")
-        base.append(e)
-    size = np.array([len(b) for b in base])
-    row, token = inc.prefix_tokens(np.concatenate([np.array(b) for b in base]), size, np.array([], np.int64))
-    pre = [set(token[row == i].tolist()) for i in range(len(base))]
-    for i in range(len(base)):
-        for j in range(i):
-            a, b = set(base[i]), set(base[j])
-            if len(a & b) >= inc.UNCHANGED * max(len(a), len(b)):
-                assert pre[i] & pre[j]
-    none = np.array([], np.int64)
-    assert len(inc.prefix_tokens(none, np.array([0]), np.array([1]))[0]) == 0
-
-
-def test_postings_probe_verify_against_brute_force(spark, tmp_path):
-    rng = random.Random(7)
-    docs = [words(rng, 70) for _ in range(30)]
-    docs += [[w if rng.random() > 0.1 else "zz" + w for w in docs[i]] for i in range(10)]
-    data = [(i, [inc._word_hash(w) for w in d]) for i, d in enumerate(docs)]
-    df = spark.createDataFrame(data, "s long, w array<int>")
-    post = inc.postings(df, [], "s", "w")
-    inc.append_postings(post.filter("seq < 30"), str(tmp_path / "index"))
-    inc.append_postings(post.filter("seq >= 30"), str(tmp_path / "index"))
-    index = spark.read.parquet(str(tmp_path / "index")).select("token", "seq", "n")
-    pairs = inc.verify(inc.probe(post.filter("seq >= 30"), index), df, "s", "w")
-    want = {(i, j) for i in range(30, 40) for j in range(i) if len(set(data[i][1]) & set(data[j][1])) >= inc.UNCHANGED * max(len(set(data[i][1])), len(set(data[j][1])))}
-    assert {(r["seq"], r["other"]) for r in pairs.collect()} == want and len(want) >= 8
-    freq = {r["x"]: r["n"] for r in inc.word_frequencies(df, "w").collect()}
-    brute = {}
-    for _, w in data:
-        for x in set(w):
-            brute[x] = brute.get(x, 0) + 1
-    assert freq == brute
+def like(a, b):
+    return len(a & b) / max(len(a), len(b), 1) >= inc.UNCHANGED
 
 
-def test_overlapping_equals_the_full_join_on_a_narrow_vocabulary(spark, monkeypatch):
-    rng = random.Random(5)
+def narrow_texts(rng):
+    """Texts of a narrow vocabulary and edited ones of them: rare words differ and edits are scattered, so no rare pairs and few shingles are left."""
     stock = words(rng, 400)
     docs = [[f"{w}" for w in rng.sample(stock, 60)] + words(rng, rng.randrange(0, 9)) for _ in range(40)] + [words(rng, k) for k in (1, 2, 3, 5, 8)]
-    # Rare words differ and edits are scattered: no pair of rare words and few shingles are left.
     docs += [[("n" + w if k % 10 in (0, 3, 6) or k >= 60 else w) for k, w in enumerate(d)] for d in docs[:45]]
     docs += [[("n" + w if k % 10 in (0, 3, 6, 8) else w) for k, w in enumerate(d)] for d in docs[:45]]
-    data = [(i, [inc._word_hash(w) for w in d]) for i, d in enumerate(docs)]
+    return docs
+
+
+def test_overlapping_equals_the_full_join_on_a_narrow_vocabulary(spark, monkeypatch):
+    docs = narrow_texts(random.Random(5))
+    data = [(i, sorted({inc._word_hash(w) for w in d})) for i, d in enumerate(docs)]
     sets = [set(w) for _, w in data]
-    want = {(i, j) for i in range(45, len(docs)) for j in range(i) if len(sets[i] & sets[j]) / max(len(sets[i]), len(sets[j])) >= inc.UNCHANGED}
-    df = spark.createDataFrame(data, "s long, w array<int>")
-    for block in (inc.BLOCK_WORDS, 2_000):
-        monkeypatch.setattr(inc, "BLOCK_WORDS", block)
-        got = inc.overlapping(df, df.filter("s >= 45"), "s", "w").collect()
+    want = {(i, j) for i in range(45, len(docs)) for j in range(i) if like(sets[i], sets[j])}
+    df = spark.createDataFrame(data, "seq long, w array<int>")
+    freq = {r["x"]: r["n"] for r in inc.word_frequencies(df, "w").collect()}
+    assert freq == {x: sum(x in s for s in sets) for x in set().union(*sets)}
+    ordered = inc.WordOrder(np.array(list(freq)), np.array(list(freq.values()))).apply(df.selectExpr("'' AS signal_id", "seq", "0L AS copy", "w")).select("seq", "w")
+    for chunk in (inc.CHUNK_WORDS, 2_000):
+        monkeypatch.setattr(inc, "CHUNK_WORDS", chunk)
+        got = inc.overlapping(ordered, ordered.filter("seq >= 45")).collect()
         assert {(r["seq"], r["other"]) for r in got} == want and len(got) == len(want) >= 40
-    post = inc.postings(df, [inc._word_hash(w) for w in stock], "s", "w")
-    assert len({(r["seq"], r["other"]) for r in inc.probe(post.filter("seq >= 45"), post).collect()} & want) < len(want)
+
+
+def lines_of_texts(spark, rows):
+    return inc.read_lines(spark.createDataFrame(rows, "signal_id string, seq long, grp string, raw_text string"), "raw_text")
+
+
+def test_batches_are_folded_into_a_kept_index_without_reading_history(spark, tmp_path):
+    docs = [(f"s{i}", i, f"g{i % 3}", f"Notice of g{i % 3}\n" + " ".join(d) + ". It is a paragraph of some length that ends so.") for i, d in enumerate(narrow_texts(random.Random(5)))]
+    docs += [("c1", 200, "g1", docs[7][3]), ("c2", 201, "g2", docs[7][3]), ("n1", 202, "g1", None), ("n2", 203, None, ""), ("c3", 204, None, docs[130][3])]
+    lines_of_texts(spark, docs[:45]).write.parquet(str(tmp_path / "history"))
+    inc.TextIndex(spark, str(tmp_path / "index")).fold(spark.read.parquet(str(tmp_path / "history")), probe=False)
+    shutil.rmtree(tmp_path / "history")
+    got = []
+    for a, b in ((45, 90), (90, len(docs))):
+        # A new process finds the index by its path; nothing but the batch and the index is there to read.
+        found = inc.TextIndex(spark, str(tmp_path / "index")).fold(lines_of_texts(spark, docs[a:b]))
+        got += [(r["signal_id"], r["other"]) for r in found.collect()]
+    sets = {s: {inc._word_hash(w) for w in inc._WORD.findall((t or "").split("\n")[-1].lower())} for s, _, _, t in docs}
+    firsts, want = {}, set()
+    for s, n, _, t in docs:
+        if not sets[s]:
+            continue
+        key = t.split("\n")[-1]
+        if key in firsts and n >= 45:
+            want.add((s, firsts[key]))
+        elif key not in firsts:
+            if n >= 45:
+                want |= {(s, m) for k, m in firsts.items() if like(sets[s], {inc._word_hash(w) for w in inc._WORD.findall(k.lower())})}
+            firsts[key] = n
+    assert len(got) == len(set(got)) and set(got) == want and len(want) > 40
+    empty = inc.TextIndex(spark, str(tmp_path / "empty"))
+    assert empty.fold(lines_of_texts(spark, docs[:1]).limit(0)).count() == 0
+    assert empty.fold(lines_of_texts(spark, docs[:2])).count() == 0
+
+
+def test_lines_of_texts():
+    forms, prose, size, w = inc.text_lines("Call 55 now\n\n  call  66 NOW \n---\nA first sentence ends here. And another one follows it")
+    assert forms[0] == forms[1] != 0 and forms[2] == 0 and prose == [False, False, False, True] and sum(size) == len(w) and size[2] == 0
+    assert inc.text_lines(None) == inc.text_lines("") == ([], [], [], [])
+    a = [np.array(x) for x in (forms, prose, size, w)]
+    assert len(inc.main_words(*a, None)) == size[3] and len(inc.main_words(*a, np.array([forms[3]]))) == size[0] + size[1]
 
 
 @pytest.mark.parametrize("a,b,same", [
