@@ -34,19 +34,21 @@ def test_gram_hashes_equal_for_equal_grams_only():
 PASSAGE = "The lender in Quilstad raised its forecast by 41.7 points on Monday. Two buyers of Velmor Freight told R. Oskban that chip demand would slow down. Copper stocks near Tovhaven grew for the third month in a row. The auditor of Brizan Mutual left after the holiday."
 
 
-def leak(text):
-    return lk.PassageIndex([(1, PASSAGE), (2, "Nothing here is shared with anything else at all. It has two sentences of its own making.")]).leaks(text)
+def leaks(spark, texts, items):
+    """The items that each text leaks."""
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    got = lk.leaked_items(docs, "doc_id", "text", spark.createDataFrame(items, "item_id long, passage string"), "item_id", "passage").collect()
+    assert len(got) == len(set(got))
+    return [{r["item_id"] for r in got if r["doc_id"] == i} for i in range(len(texts))]
 
 
-def test_leaks_and_near_misses():
+def test_leaks_and_near_misses(spark):
     s = lk.sentences(PASSAGE)
     assert len(s) == 4
-    assert leak("Intro. " + PASSAGE + " Outro.") == {1}
-    assert leak("x " + s[1] + s[2]) == {1}
-    assert leak("x " + s[1].upper() + " An extra sentence is put in between them here. " + s[2].replace("month", "mоnth")) == {1}
-    assert leak(s[1].replace("buyers", "also buyers") + s[2].replace("third", "fourth")) == {1}
-    assert leak("x " + s[1]) == set() and leak(s[0] + "and then a lot of text. " * 60 + s[1]) == set()
-    assert leak(s[0] + s[2]) == set() and leak("") == set() and leak("short") == set()
+    yes = ["Intro. " + PASSAGE + " Outro.", "x " + s[1] + s[2], "x " + s[1].upper() + " An extra sentence is put in between them here. " + s[2].replace("month", "mоnth"), s[1].replace("buyers", "also buyers") + s[2].replace("third", "fourth")]
+    no = ["x " + s[1], s[0] + "and then a lot of text. " * 60 + s[1], s[0] + s[2], "", "short"]
+    items = [(1, PASSAGE), (2, "Nothing here is shared with anything else at all. It has two sentences of its own making.")]
+    assert leaks(spark, yes + no, items) == [{1}] * len(yes) + [set()] * len(no)
 
 
 def test_leaked_items_table(spark):
@@ -58,30 +60,23 @@ def test_leaked_items_table(spark):
     assert lk.leaked_items(docs, "doc_id", "text", items.limit(0), "item_id", "passage").count() == 0
 
 
-def test_test_sets_beyond_a_block_are_taken_in_blocks(spark, monkeypatch):
-    monkeypatch.setattr(lk, "BLOCK_BYTES", 300)
-    docs = spark.createDataFrame([(1, PASSAGE)], "doc_id long, text string")
-    items = spark.createDataFrame([(i, PASSAGE) for i in range(5)], "item_id long, passage string")
-    assert sorted(r[1] for r in lk.leaked_items(docs, "doc_id", "text", items, "item_id", "passage").collect()) == [0, 1, 2, 3, 4]
-
-
-def test_passages_that_many_items_share_leak_all_of_them(spark, monkeypatch):
+@pytest.mark.parametrize("n", [1, 4, 50, 1000])
+def test_passages_that_many_items_share_leak_all_of_them(spark, monkeypatch, n):
     other = "A wholly different opening stands before it in this one of the suites. "
-    docs = spark.createDataFrame([(1, "Intro. " + PASSAGE), (2, "Nothing of it. " * 9)], "doc_id long, text string")
-    data = [*[(i, PASSAGE) for i in range(6)], *[(6, PASSAGE)] * 5, *[(i, other + PASSAGE) for i in range(7, 12)], (12, lk.sentences(PASSAGE)[1])]
-    items = spark.createDataFrame(data, "item_id long, passage string")
-    whole = sorted(tuple(r) for r in lk.leaked_items(docs, "doc_id", "text", items, "item_id", "passage").collect())
-    assert whole == [(1, i) for i in range(13)]
-    monkeypatch.setattr(lk, "BLOCK_BYTES", 600)
-    assert sorted(tuple(r) for r in lk.leaked_items(docs, "doc_id", "text", items, "item_id", "passage").collect()) == whole
+    data = [*[(i, PASSAGE) for i in range(n)], *[(n, PASSAGE)] * 5, *[(i, other + PASSAGE) for i in range(n + 1, n + 6)], (n + 6, lk.sentences(PASSAGE)[1])]
+    texts = ["Intro. " + PASSAGE, "Nothing of it. " * 9]
+    want = [set(range(n + 7)), set()]
+    assert leaks(spark, texts, data) == want
+    if n == 50:
+        # Beyond the bound of the tasks' filter the join does all.
+        monkeypatch.setattr(lk, "FILTER_HASHES", 3)
+        assert leaks(spark, texts, data) == want
 
 
-def test_a_stock_phrase_of_many_items_is_no_leak():
+def test_a_stock_phrase_of_many_items_is_no_leak(spark):
     stock = "Choose the one answer that fits the text above best. "
     items = [(i, stock + w + " grew for a third month in a row near the old harbour. " + w[::-1] + " fell again on the day after.") for i, w in enumerate(("Copperstocks", "Wheatprices", "Steelorders", "Chipdemand", "Shipfreights"))]
-    index = lk.PassageIndex(items)
-    assert index.leaks("Intro words. " + stock + "And then something else that no test has ever said follows here.") == set()
-    assert index.leaks("Intro words. " + items[2][1]) == {2}
+    assert leaks(spark, ["Intro words. " + stock + "And then something else that no test has ever said follows here.", "Intro words. " + items[2][1]], items) == [set(), {2}]
 
 
 def like(a, b):
