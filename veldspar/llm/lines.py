@@ -48,23 +48,22 @@ def _xlogx(x: Column) -> Column:
 
 
 def repeated_forms(hashed: DataFrame, min_share: float = MIN_SHARE, min_docs: int = MIN_DOCS, fdr: float = FDR) -> DataFrame:
-    """(grp, h1, h2, n, n_docs, n_out, llr, significant): forms in enough documents of a group.
+    """(grp, h1, h2, n, n_docs, n_out, llr, reason): forms in enough documents of a group.
 
-    n counts distinct documents of the group with the form, n_out those outside. significant: the
-    excess over the outside is real at the false-discovery rate fdr, tested over all forms that come in
-    two or more documents of a group. A form that is as frequent everywhere has no excess; it is kept
-    and marked so, for the share decides.
+    n counts distinct documents of the group with the form, n_out those outside, single ones too. reason 'excess':
+    the excess over the outside is real at the false-discovery rate fdr, tested over all forms that come in
+    two or more documents of a group. reason 'share': the form is as frequent outside, which is no excess, but
+    it is repeated within the group all the same; this clause adds what the test alone would leave.
     """
     docs = hashed.groupBy("grp").agg(F.count(F.lit(1)).alias("n_docs"))
     uniq = F.array_distinct(F.transform("lines", lambda x: F.struct(x["h1"].alias("h1"), x["h2"].alias("h2"))))
     one = hashed.filter("grp is not null").select("grp", F.explode(uniq).alias("f")).select("grp", "f.h1", "f.h2")
     # Partial aggregation sends one row per form, task and group: a form of a third of all rows is no hot key.
-    counts = one.groupBy("h1", "h2", "grp").agg(F.count(F.lit(1)).alias("n")).filter("n >= 2")
-    counts = materialize(counts, "forms")
+    counts = materialize(one.groupBy("h1", "h2", "grp").agg(F.count(F.lit(1)).alias("n")), "forms")
     docs = materialize(docs, "docs")
     total = docs.agg(F.sum("n_docs")).first()[0] or 0
     every = counts.groupBy("h1", "h2").agg(F.sum("n").alias("n_all"))
-    x = counts.join(every, ["h1", "h2"]).join(bounded_broadcast(docs), "grp").withColumn("all_docs", F.lit(total))
+    x = counts.filter("n >= 2").join(every.filter("n_all >= 2"), ["h1", "h2"]).join(bounded_broadcast(docs), "grp").withColumn("all_docs", F.lit(total))
     a, b = F.col("n").cast("double"), (F.col("n_all") - F.col("n")).cast("double")
     na, nb = F.col("n_docs").cast("double"), (F.col("all_docs") - F.col("n_docs")).cast("double")
     k = a + b
@@ -85,18 +84,18 @@ def repeated_forms(hashed: DataFrame, min_share: float = MIN_SHARE, min_docs: in
         if math.erfc(math.sqrt(max(bin_, 0.0) / 2)) <= fdr * seen / max(tests, 1):
             cut = bin_
     enough = (F.col("n") >= min_docs) & (F.col("n") >= F.col("n_docs") * F.lit(min_share))
-    return x.filter(enough).withColumn("significant", F.col("bin") >= F.lit(float(cut))).drop("bin")
+    return x.filter(enough).withColumn("reason", F.when(F.col("bin") >= F.lit(float(cut)), "excess").otherwise("share")).drop("bin")
 
 
 def repeated_lines(hashed: DataFrame, key: str, **rule) -> DataFrame:
-    """(key, line_no, significant): every line of every document whose form is repeated in its group.
+    """(key, line_no, reason): every line of every document whose form is repeated in its group.
 
     Forms that are kept number at most 1/min_share lines per document and group, so their table is
     joined as a broadcast while it is small and by key with runtime skew handling beyond.
     """
-    forms = bounded_broadcast(materialize(repeated_forms(hashed, **rule).select("grp", "h1", "h2", "significant"), "kept"))
+    forms = bounded_broadcast(materialize(repeated_forms(hashed, **rule).select("grp", "h1", "h2", "reason"), "kept"))
     lines = hashed.filter("grp is not null").select(key, "grp", F.explode("lines").alias("l")).select(key, "grp", "l.no", "l.h1", "l.h2")
-    return lines.join(forms, ["grp", "h1", "h2"]).select(key, F.col("no").cast("long").alias("line_no"), "significant")
+    return lines.join(forms, ["grp", "h1", "h2"]).select(key, F.col("no").cast("long").alias("line_no"), "reason")
 
 
 def remove_repeated_lines(docs: DataFrame, key: str, group: str, text: str, **rule) -> DataFrame:
