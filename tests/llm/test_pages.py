@@ -39,8 +39,21 @@ def test_likelihood_ratio_is_the_usual_one(spark):
     r = [r for r in ln.repeated_forms(ln.line_hashes(df, "id", "s", "t")).collect() if r["n"] == 20][0]
     ll = lambda k, n, p: k * math.log(p) + (n - k) * math.log(1 - p)
     want = 2 * (ll(20, 40, 0.5) + ll(1, 60, 1 / 60) - ll(20, 40, 0.21) - ll(1, 60, 0.21))
-    # The one line outside comes on a single document of its group and so isn't counted there.
-    assert r["significant"] and r["llr"] > 0.9 * want
+    assert r["reason"] == "excess" and r["n_out"] == 1 and abs(r["llr"] - want) < 1e-9
+
+
+def test_a_line_of_all_sources_is_kept_for_its_share(spark):
+    docs = [(i, "abcdefghij"[i % 10], f"All rights reserved\nown {chr(97 + i % 26) * (i + 1)}") for i in range(100)]
+    hashed = ln.line_hashes(spark.createDataFrame(docs, "id int, s string, t string"), "id", "s", "t")
+    got = [r.asDict() for r in ln.repeated_forms(hashed).collect()]
+    assert len(got) == 10 and {r["reason"] for r in got} == {"share"} and {(r["n"], r["n_out"]) for r in got} == {(10, 90)}
+    assert ln.repeated_lines(hashed, "id").filter("line_no = 1").count() == 100
+
+
+def test_a_form_once_in_each_of_many_sources_counts_outside(spark):
+    docs = [(i, f"s{i}", "One form") for i in range(35)] + [(100 + i, "z", "One form") for i in range(4)]
+    got = [r.asDict() for r in ln.repeated_forms(ln.line_hashes(spark.createDataFrame(docs, "id int, s string, t string"), "id", "s", "t")).collect()]
+    assert [(r["grp"], r["n"], r["n_out"], r["reason"]) for r in got] == [("z", 4, 35, "share")]
 
 
 def test_packing_equals_naive_first_fit(spark):
@@ -95,6 +108,23 @@ def test_boilerplate_of_synthetic_sites(spark):
     assert bp.boilerplate_lines(df.limit(0), ["id"], "host", "title", "text").count() == 0
 
 
+def test_navigation_rows_need_a_count(spark):
+    body = "A paragraph of the article that is long enough to be one, with many words in it, and it ends here as it should do."
+    once = ("x", "solo", None, f"Rye | Oats | Barley\n{body}")
+    rows = [(f"p{i}", "host", None, f"Home | Markets | Search | part {i}\n{body.replace('many', 'm' * (i + 2))}") for i in range(4)] + [once]
+    df = spark.createDataFrame(rows, "id string, host string, title string, text string")
+    assert {tuple(r) for r in bp.boilerplate_lines(df, ["id"], "host", "title", "text").collect()} == {(f"p{i}", 1) for i in range(4)}
+
+
+def test_single_occurrences_count_over_hosts(spark):
+    body = "A paragraph number {} of the article that is long enough to be one, with many words in it, and it ends here as it should do."
+    word = lambda i: "".join(chr(97 + int(c)) for c in str(i)) * 3
+    rows = [(f"{h}{i}", h, None, ("Weekly letter\n" if i == 0 else "") + body.format(word(h + str(i) if False else 97 * i + ord(h)))) for h in "abcde" for i in range(5)]
+    df = spark.createDataFrame(rows, "id string, host string, title string, text string")
+    # One page of five on each host: 20 percent on the host and over all hosts.
+    assert {tuple(r) for r in bp.boilerplate_lines(df, ["id"], "host", "title", "text").collect()} == {(f"{h}0", 1) for h in "abcde"}
+
+
 RESIDUE = ["Please enable JavaScript to view this page.", "PAGE NOT FOUND. The page you were looking for may have moved.", "Real text of the firm {{ company }} goes on here.", "价格${price}上升。", "Lorem ipsum dolor sit amet elit magna.", "xxxxx xxxx xxxxxx xxx", "Veuillez activer JavaScript pour afficher cette page.", "请开启JavaScript后重新加载页面。", "502 Bad Gateway nginx/1.2", "Growth was NaN percent for the firm."]
 REAL = ["Form 500 and form 403 are due at Norpim Capital by Friday.", "The set {a, b, c} in the method note holds the largest lenders.", "The price target of [10.3] in brackets is the old one.", "“Not found on any map,” joked the manager about the office, where staff now work.", "The hotel is under construction and will not open before spring.", "", None, "   "]
 
@@ -102,10 +132,16 @@ REAL = ["Form 500 and form 403 are due at Norpim Capital by Friday.", "The set {
 def test_residue(spark):
     rows = [(i, t) for i, t in enumerate(RESIDUE + REAL)] + [(99, "A normal sentence about freight and copper. " * 4000)]
     df = spark.createDataFrame(rows, "i int, t string").withColumn("n", F.lit(1))
-    index = rs.exemplar_index(df, "t")
+    known = rs.exemplars(spark)
+    index = rs.exemplar_index(df, "t", known)
     got = sorted(r[0] for r in rs.residue_rows(df, ["i"], "t", index).collect())
     assert got == list(range(len(RESIDUE)))
-    assert rs.residue_rows(df.limit(0), ["i"], "t", rs.exemplar_index(df.limit(0), "t")).count() == 0
+    assert rs.residue_rows(df.limit(0), ["i"], "t", rs.exemplar_index(df.limit(0), "t", known)).count() == 0
+    own = known.unionByName(spark.createDataFrame([("en", "own", "Kindly supply your story in this box.")], "lang string, kind string, text string"))
+    extra = spark.createDataFrame([(1, "Kindly supply your story in this box")], "i int, t string")
+    assert rs.residue_rows(extra, ["i"], "t", rs.exemplar_index(df, "t", known)).count() == 0
+    assert rs.residue_rows(extra, ["i"], "t", rs.exemplar_index(df, "t", own)).count() == 1
+    assert index.containment(rs.tokens("Error establishing a database connection This content is not available in your region")) > 0.9
 
 
 def test_error_pages_that_a_host_serves_often_are_residue(spark):
@@ -115,10 +151,9 @@ def test_error_pages_that_a_host_serves_often_are_residue(spark):
     real = [(i, "h", f"Title {i}", story.format(*[f"{w}{'abcdefghijklmnopqrst'[i - 10]}x" for w in ("one", "two", "three", "four")]) + "\n" + notice) for i in range(10, 30)]
     odd = [(30, "g", "{{ headline }}", "{{ headline }}"), (31, "g", "Page not found", "Page not found"), (32, "g", "Copper rises", "Copper rises")]
     pages = spark.createDataFrame(wall + real + odd, "i int, host string, title string, text string")
-    parsed = bp.page_lines(pages, ["i"], "host", "title", "text")
-    records = rs.body_text(pages, parsed, ["i"], "host", "text")
+    records = rs.bodies(bp.page_lines(pages, ["i"], "host", "title", "text", ["text"]), ["i"], "text")
     assert records.filter("i < 10 and body <> ''").count() == 0
-    got = sorted(r[0] for r in rs.residue_rows(records, ["i"], "body", rs.exemplar_index(records, "body"), None, "aside").collect())
+    got = sorted(r[0] for r in rs.residue_rows(records, ["i"], "body", rs.exemplar_index(records, "body", rs.exemplars(spark)), None, "aside").collect())
     assert got == [*range(10), 30, 31]
 
 

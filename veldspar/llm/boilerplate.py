@@ -7,16 +7,16 @@ host, and those that recur across many pages of a host are its template and dele
 
 from __future__ import annotations
 
-import hashlib
 import re
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..runtime import bounded_broadcast, materialize, only_first, table
+from ..runtime import bounded_broadcast, materialize, only_first, ship_package, table
 from .mojibake import restore
 
 #: Share of a host's pages from which an element is template, and pages it must be on at least.
@@ -38,7 +38,7 @@ PARAGRAPH, FIGURE, ITEM, BULLET, NAV, BLANK = 1, 2, 3, 4, 5, 0
 
 
 def _hash(s: str) -> int:
-    return int.from_bytes(hashlib.blake2b(s.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big", signed=True)
+    return xxhash.xxh3_64_intdigest(s.encode("utf-8", "surrogatepass")) - (1 << 63)
 
 
 def line_form(line: str) -> str:
@@ -78,6 +78,24 @@ def _group_form(line: str, kind: int, form: str) -> str:
     return form
 
 
+class _Elements(dict):
+    """Line to (hash, group hash, kind, length of a paragraph of the article, else 0); sites repeat their lines, so they are kept."""
+
+    def __missing__(self, line: str) -> tuple[int, int, int, bool, str]:
+        if len(self) > 100_000:
+            self.clear()
+        k, form = line_kind(line), line_form(line)
+        # Notices are short; paragraphs of the article have some length.
+        long = k == PARAGRAPH and len(form) >= (45 if CJK.search(form) else 110)
+        got = (_hash(form), _hash(_group_form(line, k, form)), k, long, form)
+        if len(line) <= 200:
+            self[line] = got
+        return got
+
+
+_ELEMENTS = _Elements()
+
+
 def parse_page(text: str | None, title: str | None) -> list[tuple]:
     """(no, hash, group hash, kind, place, kind of the next line, is the title) of each non-blank line.
 
@@ -85,46 +103,45 @@ def parse_page(text: str | None, title: str | None) -> list[tuple]:
     """
     if not text:
         return []
-    rows = []
     want = line_form(restore(title)) if title else None
-    for no, raw in enumerate(text.split("\n"), 1):
-        if not raw.strip():
-            continue
-        line = restore(raw)
-        k = line_kind(line)
-        form = line_form(line)
-        rows.append([no, _hash(form), _hash(_group_form(line, k, form)), k, 1, 0, want is not None and form == want, form])
-    # Notices are short; the article begins and ends with its first and last paragraph of some length.
-    paragraphs = [i for i, r in enumerate(rows) if r[3] == PARAGRAPH and len(r[7]) >= (45 if CJK.search(r[7]) else 110)]
-    paragraphs = paragraphs or [i for i, r in enumerate(rows) if r[3] == PARAGRAPH]
-    for i, r in enumerate(rows):
-        r[4] = 0 if not paragraphs or i < paragraphs[0] else 2 if i > paragraphs[-1] else 1
-        r[5] = rows[i + 1][3] if i + 1 < len(rows) else 0
-    return [tuple(r[:7]) for r in rows]
-
-
-def page_lines(pages: DataFrame, keys: list[str], host: str, title: str, text: str) -> DataFrame:
-    """(keys, host, lines): the parsed lines of each page, as one array; the host column becomes 'host'."""
+    lines = text.split("\n")
+    restored = lines if text.isascii() else [restore(x) for x in lines]
+    rows = [(no, *_ELEMENTS[line]) for no, line in enumerate(restored, 1) if line.strip()]
+    # The article begins and ends with its first and last paragraph of some length.
+    paragraphs = [i for i, r in enumerate(rows) if r[4]] or [i for i, r in enumerate(rows) if r[3] == PARAGRAPH]
+    first, last = (paragraphs[0], paragraphs[-1]) if paragraphs else (len(rows), -1)
+    follow = [r[3] for r in rows[1:]] + [0]
+    return [(r[0], r[1], r[2], r[3], 0 if i < first else 2 if i > last else 1, f, want is not None and r[5] == want) for i, (r, f) in enumerate(zip(rows, follow, strict=True))]
+
+
+COLUMNS = {"no": "int", "h": "long", "g": "long", "k": "int", "place": "int", "next": "int", "title": "int"}
+
+
+def _lists(values: np.ndarray, size: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(size)]).astype(np.int32)), pa.array(values))
+
+
+def page_lines(pages: DataFrame, keys: list[str], host: str, title: str, text: str, keep: list[str] | None = None) -> DataFrame:
+    """(keys, host, keep, one array for each of COLUMNS): the parsed lines of each page; the host column becomes 'host'."""
+    ship_package(pages.sparkSession)
     types = dict(pages.dtypes)
-    columns = {"no": "int", "h": "long", "g": "long", "k": "int", "place": "int", "next": "int", "title": "int"}
-    schema = ", ".join(f"{c} {types[c]}" for c in keys) + f", host {types[host]}, " + ", ".join(f"{c} array<{t}>" for c, t in columns.items())
+    kept = [*keys, host, *(keep or [])]
+    schema = ", ".join(f"{'host' if c == host else c} {types[c]}" for c in kept) + ", " + ", ".join(f"{c} array<{t}>" for c, t in COLUMNS.items())
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            parsed = [np.array(parse_page(x, t), dtype=np.int64).reshape(-1, 7) for x, t in zip(pdf[text], pdf[title], strict=True)]
-            out = pdf[[*keys, host]].rename(columns={host: "host"})
-            for i, (c, t) in enumerate(columns.items()):
-                out[c] = [p[:, i].astype(np.int32 if t == "int" else np.int64) for p in parsed]
-            yield out
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            parsed = [parse_page(x, t) for x, t in zip(b.column(len(kept) + 1).to_pylist(), b.column(len(kept)).to_pylist(), strict=True)]
+            size = np.array([len(p) for p in parsed], np.int64)
+            flat = np.array([r for p in parsed for r in p], dtype=np.int64).reshape(-1, 7)
+            lists = [_lists(flat[:, i].astype(np.int32 if t == "int" else np.int64), size) for i, t in enumerate(COLUMNS.values())]
+            yield pa.RecordBatch.from_arrays([*b.columns[: len(kept)], *lists], [*("host" if c == host else c for c in kept), *COLUMNS])
 
-    x = pages.select(*keys, host, title, text).mapInPandas(run, schema)
-    return x.select(*keys, "host", F.arrays_zip(*columns).alias("lines"))
+    return pages.select(*kept, title, text).mapInArrow(run, schema)
 
 
 def _distinct_elements(parsed: DataFrame, keys: list[str]) -> DataFrame:
     """One row per page and element hash, of lines and of groups, with what is said of the element there."""
-    line = F.explode("lines").alias("l")
-    x = parsed.select(*keys, "host", line).filter("l.title = 0")
+    x = parsed.select(*keys, "host", F.explode(F.arrays_zip("h", "g", "k", "place", "next", "title")).alias("l")).filter("l.title = 0")
     both = F.explode(F.array_distinct(F.array(F.col("l.h"), F.col("l.g")))).alias("e")
     x = x.select(*keys, "host", both, F.col("l.k").alias("k"), F.col("l.place").alias("place"), F.col("l.next").alias("next"))
     # Repeats of an element within a page count once; the map side combines before the page's rows meet.
@@ -139,68 +156,94 @@ def host_templates(parsed: DataFrame, keys: list[str], edges: bool = True) -> Da
 
     An element's share is taken on the host and over all hosts that have it, so that sub-headings, which
     are rare on every host, aren't taken for template where a host has few pages. edges: rarer elements
-    that never stand within an article are template too.
+    that never stand within an article are template too, and so are navigation rows that come back at all.
     """
-    pages = materialize(parsed.groupBy("host").agg(F.count(F.lit(1)).alias("pages")), "hosts")
+    pages = parsed.groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
     per = _distinct_elements(parsed, keys).groupBy("host", "e").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("edge").alias("edge"), F.sum("inner").alias("inner"), F.sum("leads").alias("leads"), F.sum("late").alias("late"), F.max("k").alias("k")
-    )
-    per = materialize(per.filter("n >= 2"), "elements").join(bounded_broadcast(pages), "host")
-    pool = per.groupBy("e").agg(
-        F.sum("n").alias("n_all"), F.sum("pages").alias("pages_all"), F.count(F.lit(1)).alias("hosts"), F.sum("leads").alias("leads_all"),
-        F.sum("late").alias("late_all"), F.sum("edge").alias("edge_all"), F.sum("inner").alias("inner_all"),
+        F.count(F.lit(1)).alias("n"), F.sum("inner").alias("inner"), F.sum("leads").alias("leads"), F.sum("late").alias("late"), F.max("k").alias("k")
     )
-    x = per.join(pool, "e")
+    per = materialize(per.join(pages, "host"), "elements")
+    # All occurrences count, single ones too; most elements are on one page of one host and end here.
+    pool = per.groupBy("e").agg(F.sum("n").alias("n_all"), F.sum("pages").alias("pages_all"), F.sum("leads").alias("leads_all"), F.sum("late").alias("late_all"), F.sum("inner").alias("inner_all"))
+    x = per.join(pool.filter(f"n_all >= {TEMPLATE_PAGES}"), "e")
     share, pooled = F.col("n") / F.col("pages"), F.col("n_all") / F.col("pages_all")
-    often = (F.col("n_all") >= TEMPLATE_PAGES) & (share >= TEMPLATE_SHARE) & (pooled >= TEMPLATE_SHARE)
-    outside = (F.col("n_all") >= TEMPLATE_PAGES) & (pooled >= EDGE_SHARE) & (F.col("inner_all") <= 0.05 * F.col("n_all")) & (F.col("k") != PARAGRAPH)
+    often = (share >= TEMPLATE_SHARE) & (pooled >= TEMPLATE_SHARE)
+    outside = ((pooled >= EDGE_SHARE) | (F.col("k") == NAV)) & (F.col("inner_all") <= 0.05 * F.col("n_all")) & (F.col("k") != PARAGRAPH)
     return x.filter(((often | outside) if edges else often) & (F.col("k") != FIGURE)).select("host", "e", (F.col("leads_all") >= 0.5 * F.greatest(F.col("late_all"), F.lit(1))).alias("leads"))
 
 
+def with_templates(parsed: DataFrame, keys: list[str], edges: bool = True) -> DataFrame:
+    """parsed with the template elements of its host as the arrays te and tl; null for a page without a host or of a host without any."""
+    t = host_templates(parsed, keys, edges).groupBy("host").agg(F.collect_list(F.struct("e", "leads")).alias("_t"))
+    t = bounded_broadcast(materialize(t.select("host", F.col("_t.e").alias("te"), F.col("_t.leads").alias("tl")), "templates"))
+    return parsed.join(t, "host", "left")
+
+
+class HostTemplates:
+    """The template elements of a host."""
+
+    def __init__(self, elements: list[int] | None, leads: list[bool] | None):
+        self.leads = dict(zip(elements or [], leads or [], strict=True))
+
+    def boilerplate(self, rows: list[tuple]) -> list[int]:
+        """The line numbers that are not main body, of the rows of parse_page()."""
+        out = []
+        in_list, before, was_template = False, None, True
+        for no, h, g, k, place, _, title in rows:
+            lead = self.leads.get(h)
+            template = not title and (lead is not None or g in self.leads)
+            # Items of another kind than the list began with are none of its.
+            other = k == BULLET and before == ITEM and not was_template
+            if template:
+                out.append(no)
+                in_list = place > 0 and (lead if lead is not None else self.leads[g])
+            elif title or k not in (ITEM, BULLET):
+                in_list = False
+            elif other:
+                in_list = False
+            elif in_list:
+                out.append(no)
+            before, was_template = k, template
+        return out
+
+    def site_lines(self, rows: list[tuple]) -> list[int]:
+        """The line numbers that the site repeats, and those of the headline."""
+        return [no for no, h, g, _, _, _, title in rows if title or h in self.leads or g in self.leads]
+
+
+def page_rows(batch: pa.RecordBatch) -> Iterator[tuple[HostTemplates, list[tuple]]]:
+    """(templates of the host, parsed lines) of each row of with_templates()."""
+    known: dict = {}
+    columns = [batch.column(c).to_pylist() for c in ("host", *COLUMNS)]
+    te, tl = batch.column("te"), batch.column("tl")
+    for i, (host, *lists) in enumerate(zip(*columns, strict=True)):
+        if host not in known:
+            known[host] = HostTemplates(te[i].as_py(), tl[i].as_py())
+        yield known[host], list(zip(*(x or [] for x in lists), strict=True))
+
+
 def boilerplate_lines(pages: DataFrame, keys: list[str], host: str, title: str, text: str) -> DataFrame:
     """(keys, line_no): the non-blank lines of each page that are not main body.
 
-    Null and empty texts have none; a page without a host shares no template and keeps its lines but
-    navigation rows. Repeated pages must be dropped before. Lines leave the map side as hashes.
+    Null and empty texts have none; a page without a host shares no template and keeps its lines.
+    Repeated pages must be dropped before. Elements leave the map side as hashes; pages stay where they are.
     """
     return lines_of(materialize(page_lines(pages, keys, host, title, text), "pages"), keys)
 
 
 def lines_of(parsed: DataFrame, keys: list[str]) -> DataFrame:
     """boilerplate_lines() of pages that are parsed already."""
-    templates = bounded_broadcast(materialize(host_templates(parsed, keys), "templates"))
-    x = parsed.select(*keys, "host", F.explode("lines").alias("l")).select(*keys, "host", "l.*")
-    line = templates.select(F.col("host").alias("_h1"), F.col("e").alias("_e1"), F.col("leads").alias("_lead1"))
-    group = templates.select(F.col("host").alias("_h2"), F.col("e").alias("_e2"), F.col("leads").alias("_lead2"))
-    x = x.join(line, (F.col("host") == F.col("_h1")) & (F.col("h") == F.col("_e1")), "left")
-    x = x.join(group, (F.col("host") == F.col("_h2")) & (F.col("g") == F.col("_e2")), "left")
-    headline = F.col("title") == 1
-    template = ~headline & ((F.col("_e1").isNotNull()) | F.col("_e2").isNotNull() | (F.col("k") == NAV))
-    leads = template & (F.col("place") > 0) & F.coalesce(F.col("_lead1"), F.col("_lead2"), F.lit(False))
-    x = x.withColumn("_t", template).withColumn("_event", F.when(leads, 1).when(template | ~F.col("k").isin(ITEM, BULLET) | headline, 0))
-    # Items of another kind than the list began with are none of its.
-    page = Window.partitionBy(*keys).orderBy("no")
-    other = (F.col("k") == BULLET) & (F.lag("k").over(page) == ITEM) & ~F.coalesce(F.lag("_t").over(page), F.lit(True))
-    x = x.withColumn("_event", F.when(other & F.col("_event").isNull(), 0).otherwise(F.col("_event")))
-    before = Window.partitionBy(*keys).orderBy("no").rowsBetween(Window.unboundedPreceding, -1)
-    x = x.withColumn("_list", F.coalesce(F.last("_event", ignorenulls=True).over(before), F.lit(0)))
-    return x.filter(F.col("_t") | (F.col("_event").isNull() & (F.col("_list") == 1))).select(*keys, F.col("no").cast("long").alias("line_no"))
-
-
-def template_lines(pages: DataFrame, keys: list[str], host: str, title: str, text: str) -> DataFrame:
-    """(keys, line_no): lines that a host repeats on many pages, navigation rows, and the headline."""
-    return template_lines_of(materialize(page_lines(pages, keys, host, title, text), "pages"), keys)
-
-
-def template_lines_of(parsed: DataFrame, keys: list[str]) -> DataFrame:
-    """template_lines() of pages that are parsed already."""
-    templates = bounded_broadcast(materialize(host_templates(parsed, keys, edges=False).select("host", "e").distinct(), "templates"))
-    x = parsed.select(*keys, "host", F.explode("lines").alias("l")).select(*keys, "host", "l.*")
-    for n, e in enumerate(("h", "g")):
-        t = templates.select(F.col("host").alias(f"_h{n}"), F.col("e").alias(f"_e{n}"))
-        x = x.join(t, (F.col("host") == F.col(f"_h{n}")) & (F.col(e) == F.col(f"_e{n}")), "left")
-    gone = (F.col("title") == 1) | F.col("_e0").isNotNull() | F.col("_e1").isNotNull() | (F.col("k") == NAV)
-    return x.filter(gone).select(*keys, F.col("no").cast("long").alias("line_no"))
+    types = dict(parsed.dtypes)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = [t.boilerplate(rows) for t, rows in page_rows(b)]
+            size = np.array([len(x) for x in found], np.int64)
+            owner = pa.array(np.repeat(np.arange(len(found)), size))
+            yield pa.RecordBatch.from_arrays([*(b.column(k).take(owner) for k in keys), pa.array([n for x in found for n in x], pa.int64())], [*keys, "line_no"])
+
+    x = with_templates(parsed, keys).select(*keys, "host", *COLUMNS, "te", "tl")
+    return x.mapInArrow(run, ", ".join(f"{k} {types[k]}" for k in keys) + ", line_no long")
 
 
 def web_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
