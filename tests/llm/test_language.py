@@ -15,6 +15,15 @@ def test_held_out_accuracy(model):
     assert n > 200 and right >= 0.98
 
 
+def test_no_sentence_is_both_trained_on_and_held_out(monkeypatch):
+    rows = [(f"The number {chr(97 + i % 26)}{chr(97 + i // 26)} of them rose.", "en") for i in range(60)] + [(f"Die Zahl {chr(97 + i % 26)}{chr(97 + i // 26)} davon stieg.", "de") for i in range(60)]
+    seen = []
+    real = lg.gram_ids
+    monkeypatch.setattr(lg, "gram_ids", lambda t: seen.append(t) or real(t))
+    m = lg.LanguageModel.fit(rows * 3, [8] * 360)
+    assert len(seen) == len(set(seen)) == 120 and m.held_out[1] == 24
+
+
 def test_same_rows_give_the_same_model():
     rows = [("The cat sat on the mat today.", "en"), ("Der Hund lief in das Haus hinein.", "de")] * 20
     a, b = lg.LanguageModel.fit(rows), lg.LanguageModel.fit(list(reversed(rows)))
@@ -43,6 +52,11 @@ def test_segment_languages(spark, model):
         assert 0.5 < r["confidence"] <= 1
         got.setdefault(r["k"], set()).add(r["lang_code"])
     assert got == {1: {"en"}, 2: {"en", "de"}, 6: {"en"}, 7: {"de"}}
+    by_segment = [tuple(r)[:2] + (r["lang_code"],) for r in lg.segment_rows(df, ["k"], "t", model).filter("k < 6").collect()]
+    assert sorted(by_segment) == [(1, 1, "en"), (2, 1, "en"), (2, 2, "de")]
+    unsure = lg.LanguageModel(model.scores, model.temperature, 1.1)
+    rejected = [tuple(r) for r in lg.segment_languages(df.filter("k in (2, 3, 5)"), ["k"], "t", unsure).collect()]
+    assert [(r[0], r[1], r[2]) for r in rejected] == [(2, None, 2)]
     assert lg.segment_languages(df.limit(0), ["k"], "t", model).count() == 0
 
 

@@ -8,7 +8,6 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -16,15 +15,17 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..runtime import materialize, only_first, table
+from ..runtime import materialize, only_first, ship_package, table
 from .mojibake import restore
 
 LANGUAGES = ["en", "de", "fr", "es", "pt", "ru", "zh", "ja"]
 BUCKETS, DIM, GRAMS = 1 << 15, 16, (2, 4)
-#: Labelled sentences of each language that the model is fitted on at most, and the share held out for calibration.
-SAMPLE_SENTENCES, HELD_OUT = 2500, 0.2
-#: Signals of each label among which sentences that recur are sought at most, and in how many of them they must.
-SAMPLE_SIGNALS, RECUR = 500, 3
+#: Labelled sentences of each language, of so many characters at most, that the model is fitted on at most, and the share held out for calibration.
+SAMPLE_SENTENCES, SENTENCE_CHARS, HELD_OUT = 2500, 1000, 0.2
+#: Labelled texts of each language from which sentences are drawn at most, and signals of each label among which recurring ones are sought.
+SAMPLE_TEXTS, SAMPLE_SIGNALS = 500, 500
+#: Sentences that recur in so many of these signals are learnt too, each so often in a round of training; so many of each label at most.
+RECUR, RECUR_WEIGHT, SAMPLE_RECURRING = 3, 8, 500
 EPOCHS, RATE, BATCH, SEED = 4, 0.6, 64, 13
 #: Held-out precision that segments above the rejection threshold must have, and the least threshold.
 PRECISION, LEAST_CONFIDENCE = 0.998, 0.8
@@ -145,14 +146,22 @@ class LanguageModel:
         return [(LANGUAGES[i] if c >= self.threshold else None, float(c)) for i, c in zip(k, top, strict=True)]
 
     @classmethod
-    def fit(cls, rows: list[tuple[str, str]]) -> LanguageModel:
-        """Train on (sentence, language code) rows; the same rows give the same model."""
+    def fit(cls, rows: list[tuple[str, str]], weights: list[int] | None = None) -> LanguageModel:
+        """Train on (sentence, language code) rows; the same rows give the same model.
+
+        A sentence is either trained on or held out: repeats are dropped before the split, and a weight repeats a
+        row in training only.
+        """
         rng = np.random.default_rng(SEED)
-        rows = sorted(rows)
+        weight = dict(zip(rows, weights or [1] * len(rows), strict=True))
+        rows = sorted({s: (s, code) for s, code in sorted(weight)}.values())
         order = rng.permutation(len(rows))
         ids = [gram_ids(rows[i][0]) for i in order]
         y = np.array([LANGUAGES.index(rows[i][1]) for i in order])
-        cut = int(len(ids) * (1 - HELD_OUT)) if len(ids) > 50 else len(ids)
+        kept = int(len(ids) * (1 - HELD_OUT)) if len(ids) > 50 else len(ids)
+        held = [(ids[i], y[i]) for i in range(kept, len(ids))]
+        again = np.repeat(np.arange(kept), [weight[rows[order[i]]] for i in range(kept)])
+        ids, y, cut = [ids[i] for i in again], y[again], len(again)
         emb = rng.uniform(-1 / DIM, 1 / DIM, (BUCKETS, DIM)).astype(np.float32)
         w = np.zeros((DIM, len(LANGUAGES)), np.float32)
         steps = max(1, EPOCHS * ((cut + BATCH - 1) // BATCH))
@@ -175,7 +184,6 @@ class LanguageModel:
                 w -= rate * (mean.T @ p) / len(idx) * 8
                 np.add.at(emb, flat, (-rate * np.repeat(grad, sizes, axis=0)).astype(np.float32))
         model = cls(emb @ w, 1.0, 0.0)
-        held = [(ids[i], y[i]) for i in range(cut, len(ids))]
         if held:
             z = np.stack([model.scores[g].mean(axis=0) for g, _ in held]).astype(np.float64)
             t = np.array([k for _, k in held])
@@ -205,68 +213,91 @@ def label_column(label: Column) -> Column:
     return F.when(~nothing, F.coalesce(known[x], known[first], F.lit("other")))
 
 
-def _by_label(rows: DataFrame, text: str, label: str, each: int) -> DataFrame:
-    """(l, t): of each language the rows of the lowest text hashes, so many at most, each cut for the sample only."""
-    x = rows.select(F.col(text).alias("t"), label_column(F.col(label)).alias("l")).filter(F.col("l").isin(*LANGUAGES) & F.col("t").isNotNull())
+def sentence_rows(rows: DataFrame, text: str, label: str, each: int) -> DataFrame:
+    """(l, s): the whole sentences, up to SENTENCE_CHARS, of a sample of rows whose label names a language: of each the rows of the lowest text hashes, so many at most."""
+    ship_package(rows.sparkSession)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            yield pd.DataFrame([(code, s) for code, t in zip(pdf["l"], pdf["t"], strict=True) for s in segments(t) if len(s) <= SENTENCE_CHARS], columns=["l", "s"])
+
+    x = rows.select(label_column(F.col(label)).alias("l"), F.col(text).alias("t")).filter(F.col("l").isin(*LANGUAGES) & F.col("t").isNotNull())
     # The rank is cut on the map side already, so no label's rows meet in one task.
-    rank = F.row_number().over(Window.partitionBy("l").orderBy(F.xxhash64("t"), F.length("t")))
-    return x.withColumn("n", rank).filter(F.col("n") <= each).select("l", F.substring("t", 1, 6000).alias("t"))
+    x = x.withColumn("n", F.row_number().over(Window.partitionBy("l").orderBy(F.xxhash64("t"), F.length("t")))).filter(F.col("n") <= each)
+    return x.select("l", "t").mapInPandas(run, "l string, s string")
+
+
+def _least(rows: DataFrame, each: int) -> list[tuple[str, str]]:
+    """(sentence, language): of each language the sentences of the lowest hashes, so many at most. The rank is cut on the map side already."""
+    rank = F.row_number().over(Window.partitionBy("l").orderBy(F.xxhash64("s"), "s"))
+    return [(r["s"], r["l"]) for r in rows.withColumn("n", rank).filter(F.col("n") <= each).select("l", "s").collect()]
 
 
 def fit_languages(labelled: DataFrame, text: str, label: str, noisy: DataFrame | None = None, noisy_text: str = "", noisy_label: str = "") -> LanguageModel:
     """Fit the model on a bounded sample of labelled rows.
 
-    labelled gives SAMPLE_SENTENCES sentences of each language at most. noisy, whose labels may be wrong,
-    gives sentences that recur in RECUR or more of SAMPLE_SIGNALS rows of a label, each with the
+    labelled gives SAMPLE_SENTENCES sentences of each language at most, drawn from the whole texts of SAMPLE_TEXTS rows. noisy, whose labels may be wrong,
+    gives SAMPLE_RECURRING sentences of each that recur in RECUR or more of SAMPLE_SIGNALS rows, each with the
     label most of these rows have: so the model also knows how sites speak. An empty table gives a model that
     rejects everything.
     """
-    rows: list[tuple[str, str]] = []
-    count = dict.fromkeys(LANGUAGES, 0)
-    for r in _by_label(labelled, text, label, SAMPLE_SENTENCES // 5).collect():
-        for s in segments(r["t"]):
-            if count[r["l"]] < SAMPLE_SENTENCES:
-                count[r["l"]] += 1
-                rows.append((s, r["l"]))
+    rows = _least(sentence_rows(labelled, text, label, SAMPLE_TEXTS), SAMPLE_SENTENCES)
     if not rows:
         return LanguageModel(np.zeros((BUCKETS, len(LANGUAGES))), 1.0, 1.1)
+    weights = [1] * len(rows)
     if noisy is not None:
-        seen: dict[str, Counter] = defaultdict(Counter)
-        for r in _by_label(noisy, noisy_text, noisy_label, SAMPLE_SIGNALS).collect():
-            for s in {s.translate(_NO_DIGITS) for s in segments(r["t"])}:
-                seen[s][r["l"]] += 1
-        for s, c in seen.items():
-            code, n = c.most_common(1)[0]
-            if n >= RECUR and n >= 0.6 * c.total():
-                rows += [(s, code)] * 8
-    return LanguageModel.fit(rows)
+        counts = sentence_rows(noisy, noisy_text, noisy_label, SAMPLE_SIGNALS).withColumn("s", F.translate("s", "0123456789", "")).groupBy("s", "l").agg(F.count(F.lit(1)).alias("n"))
+        top = counts.groupBy("s").agg(F.max_by("l", F.struct("n", "l")).alias("l"), F.max("n").alias("n"), F.sum("n").alias("all")).filter((F.col("n") >= RECUR) & (F.col("n") >= 0.6 * F.col("all")))
+        more = _least(top.select("l", "s"), SAMPLE_RECURRING)
+        rows, weights = rows + more, weights + [RECUR_WEIGHT] * len(more)
+    return LanguageModel.fit(rows, weights)
+
+
+def _classified(text: str, model: LanguageModel) -> list[tuple[int, str, str | None, float]]:
+    """(number, sentence, language, confidence) of the whole sentences of a text; garbled lines are restored first, what stays lost is left out."""
+    found = [(i, s) for i, s in enumerate(segments(restore(text)), 1) if s.count("\ufffd") <= 0.05 * len(s)]
+    return [(i, s, code, p) for (i, s), (code, p) in zip(found, model.classify([s for _, s in found]), strict=True)]
+
+
+def segment_rows(rows: DataFrame, keys: list[str], text: str, model: LanguageModel) -> DataFrame:
+    """(keys, segment_no, chars, lang_code, confidence): one row per whole sentence of each text; lang_code is null below the threshold."""
+    types = dict(rows.dtypes)
+    shared = rows.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            out = [(*row[:-1], i, len(s), code, p) for row in zip(*[pdf[k] for k in keys], pdf[text], strict=True) if row[-1] for i, s, code, p in _classified(row[-1], shared.value)]
+            yield pd.DataFrame(out, columns=[*keys, "segment_no", "chars", "lang_code", "confidence"])
+
+    schema = ", ".join(f"{k} {types[k]}" for k in keys) + ", segment_no int, chars int, lang_code string, confidence double"
+    return rows.select(*keys, text).mapInPandas(run, schema)
 
 
 def segment_languages(rows: DataFrame, keys: list[str], text: str, model: LanguageModel) -> DataFrame:
     """(keys, lang_code, segments, chars, confidence): the languages of each text's whole sentences.
 
     Garbled lines are restored first, so they count as what they were written in. A sentence below the
-    threshold of confidence counts for no language. confidence is the mean over the sentences of the
-    language. Null and empty texts and texts without a sentence give no row.
+    threshold of confidence counts for no language; a text all of whose sentences are below it has one row with a null
+    language. confidence is the mean over the sentences of the language. Null and empty texts and texts without a
+    sentence give no row.
     """
     types = dict(rows.dtypes)
     shared = rows.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        m = shared.value
         for pdf in batches:
             out = []
             for row in zip(*[pdf[k] for k in keys], pdf[text], strict=True):
                 if not row[-1]:
                     continue
-                by: dict[str, list[float]] = {}
-                found = [s for s in segments(restore(row[-1])) if s.count("\ufffd") <= 0.05 * len(s)]
-                for s, (code, p) in zip(found, m.classify(found), strict=True):
-                    if code:
-                        got = by.setdefault(code, [0, 0, 0.0])
-                        got[0] += 1
-                        got[1] += len(s)
-                        got[2] += p
+                by: dict[str | None, list] = {}
+                for _, s, code, p in _classified(row[-1], shared.value):
+                    got = by.setdefault(code, [0, 0, 0.0])
+                    got[0] += 1
+                    got[1] += len(s)
+                    got[2] += p
+                if len(by) > 1:
+                    by.pop(None, None)
                 out += [(*row[:-1], c, int(n), int(k), p / n) for c, (n, k, p) in by.items()]
             yield pd.DataFrame(out, columns=[*keys, "lang_code", "segments", "chars", "confidence"])
 
@@ -274,22 +305,42 @@ def segment_languages(rows: DataFrame, keys: list[str], text: str, model: Langua
     return rows.select(*keys, text).mapInPandas(run, schema)
 
 
+_MODELS: dict[tuple[str, str], LanguageModel] = {}
+
+
+def language_model(spark: SparkSession, sf_dir: str) -> LanguageModel:
+    """The model of a data directory: fitted once a session and kept (some hundred kilobytes)."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _MODELS:
+        _MODELS[key] = fit_languages(table(spark, sf_dir, "documents"), "text", "lang", table(spark, sf_dir, "raw_signal"), "raw_text", "language")
+    return _MODELS[key]
+
+
+def p7_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(signal_id, label, raw_text) of each signal's first row."""
+    raw = table(spark, sf_dir, "raw_signal").select("signal_id", "ingest_seq", "language", "raw_text")
+    return only_first(raw, "signal_id", "ingest_seq").select("signal_id", label_column(F.col("language")).alias("label"), "raw_text")
+
+
 def p7_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(signal_id, label, lang_code, segments, chars, confidence) of each signal's first row."""
-    raw = table(spark, sf_dir, "raw_signal")
-    model = fit_languages(table(spark, sf_dir, "documents"), "text", "lang", raw, "raw_text", "language")
-    x = only_first(raw.select("signal_id", "ingest_seq", "language", "raw_text"), "signal_id", "ingest_seq").withColumn("label", label_column(F.col("language")))
-    return materialize(segment_languages(x, ["signal_id", "label"], "raw_text", model), "segments")
+    """(signal_id, segment_no, chars, lang_code, confidence): the language of each segment."""
+    return segment_rows(p7_signals(spark, sf_dir), ["signal_id"], "raw_text", language_model(spark, sf_dir))
+
+
+def p7_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(signal_id, label, lang_code, segments, chars, confidence), written once."""
+    return materialize(segment_languages(p7_signals(spark, sf_dir), ["signal_id", "label"], "raw_text", language_model(spark, sf_dir)), "segments")
 
 
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    x = p7_segments(spark, sf_dir)
+    x = p7_languages(spark, sf_dir).filter("lang_code is not null")
     doc = x.groupBy("signal_id").agg(F.first("label").alias("label"), F.collect_set("lang_code").alias("langs"))
     case = F.col("label").isNull() | (F.size("langs") > 1) | ~F.array_contains("langs", F.coalesce("label", F.lit("")))
     return doc.filter(case).select("signal_id", F.explode("langs").alias("lang_code"))
 
 
 def p7_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(signal_id, lang_code, confidence): each signal's main language, the one of most characters."""
-    x = p7_segments(spark, sf_dir)
-    return x.groupBy("signal_id").agg(F.max_by(F.struct("lang_code", "confidence"), F.struct("chars", "lang_code")).alias("r")).select("signal_id", "r.lang_code", "r.confidence")
+    """(signal_id, lang_code, confidence): each signal's main language, the one of most characters; null where none is sure or there is no sentence."""
+    x = p7_languages(spark, sf_dir)
+    best = x.groupBy("signal_id").agg(F.max_by(F.struct("lang_code", "confidence"), F.struct("chars", "lang_code")).alias("r")).select("signal_id", "r.lang_code", "r.confidence")
+    return p7_signals(spark, sf_dir).select("signal_id").join(best, "signal_id", "left")

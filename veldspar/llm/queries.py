@@ -13,6 +13,7 @@ QUERIES = {
     "p6_found": residue.p6_found,
     "p7_found": language.p7_found,
     "p7_documents": language.p7_documents,
+    "p7_segments": language.p7_segments,
     "p8_pack": packing.p8_pack,
     "p8_token_counts": packing.p8_token_counts,
     "p9_found": leakage.p9_found,
