@@ -31,11 +31,14 @@ KIND_COST = {"s": 0.3, "S": 0.03, "b": 1.5, "y": 1.2, "f": 1.6, "j": 1.6, "i": 0
 PAIR_COST = [
     (re.compile("[eE](?=[sSQz])|o(?=[aAeE])|(?<=[aAeE])o"), 2.0), (re.compile("a(?=E)|[sS](?=[sS])|(?<=[hijkwxf])\\?"), 1.5), (re.compile("c(?=C)"), 1.2),
     (re.compile("[qQ](?=[qQ])|q(?=[zE] )"), 0.7), (re.compile("[hij](?=[aAeE])|[aAeE](?=[hij])"), 1.1), (re.compile("[aAeEcCy](?=[sSbx][aeEcCy])"), 1.0), (re.compile("[eE](?=[eE])"), 0.4),
+    (re.compile("(?<=[^aAeE]A)E(?=aa)|(?<=^A)E(?=aa)|(?<= )[eEs](?=0)"), 1.2), (re.compile("[sS](?=S[a0])|(?<=[ a])sE(?=e)|g(?=E[eE])"), 1.5),
     (re.compile("[eEsS](?=q)(?!e?q )|[cCy](?=[aAeE])|[aAeE](?=[cCy])|k(?=[ijf])|[ijf](?=k)"), 0.8),
 ]
 _X_RUN = re.compile("x+")
+#: What an escape that stands for a letter or sign beyond ASCII, or hides another escape, costs.
+ESCAPE_COST = 1.2
 #: A line without any of these kinds and neighbours, and with few rare characters, is taken as it is.
-_GATE = re.compile(r"[xfbyjo]|[eE][sSQz]|E[qz]|[eE]{3}|[aAcCeE]s|s[aAeEcCsq]|[aeEcC]S[aeEcC]|aE|[cCy][aAeE]|[aAeE][cCy]|cC|[hijkw]\?|[hij][aAeE]| E ")
+_GATE = re.compile(r"[xfbyjo]|[eE][sSQz]|E[qz]|[eE]{3}|[aAcCeE]s|s[aAeEcCsq]|[aeEcC]S[aeEcC]|aE|[cCy][aAeE]|[aAeE][cCy]|cC|[hijkw]\?|[hij][aAeE]| E |AEaa|[sS]S[a0]|gE[eE]| [eEs]0")
 _LONE = re.compile("[ÂÃ](?![A-Za-zÀ-ÿ])|(?<= )[ÐÑ](?= )")
 _RUSSIAN = set("абвгдеёжзийклмнопрстуфхцчшщъыьэюя")
 _QUOTES = "«»„“”‘’–—…•·"
@@ -93,7 +96,7 @@ class _Kinds(dict):
             return "z"
         if c in "\ufb01\ufb02":
             return "s"
-        if c in "©€£°™®§±½¼¾²³×÷":
+        if c in "©€£¥°™®§±½¼¾²³×÷":
             return "S"
         if cat[0] in "SP" or cat in ("No", "Lo", "Lm") and code < 256:
             return "s" if code < 0x2100 or 0x2122 == code else "b"
@@ -103,14 +106,59 @@ class _Kinds(dict):
 _KINDS = _Kinds()
 
 
+_ESCAPED = re.compile(r"&(?:#\d{2,6}|#[xX][0-9a-fA-F]{2,5}|[A-Za-z]{2,8}\d?);|\\u[0-9a-fA-F]{4}|(?:%[C-F][0-9A-F](?:%[89AB][0-9A-F])+)+")
+#: The same for the scan of the JVM.
+ESCAPED = r"&(#\d{2,6}|#[xX][0-9a-fA-F]{2,5}|[A-Za-z]{2,8}\d?);|\\u[0-9a-fA-F]{4}|%[C-F][0-9A-F]%[89AB][0-9A-F]"
+_UNICODE_ESCAPE = re.compile(r"(?:\\u[0-9a-fA-F]{4})+")
+_PERCENT = re.compile(r"(?:%[0-9A-F]{2})+")
+
+
+def _unicode_escape(m: re.Match) -> str:
+    units = b"".join(bytes.fromhex(x) for x in m[0].split("\\u")[1:])
+    return units.decode("utf-16-be", "replace")
+
+
+def _percent(m: re.Match) -> str:
+    """The characters of percent escapes, which are right within addresses and stay there."""
+    word = m.string[m.string.rfind(" ", 0, m.start()) + 1 : m.start()]
+    if "/" in word or "www." in word or "?" in word:
+        return m[0]
+    try:
+        return bytes.fromhex(m[0].replace("%", "")).decode("utf-8")
+    except UnicodeDecodeError:
+        return m[0]
+
+
+def unescaped(text: str) -> Iterator[str]:
+    """text with one kind of escapes resolved, for each kind that it has."""
+    for kind, t in (("&", html.unescape), ("\\u", lambda x: _UNICODE_ESCAPE.sub(_unicode_escape, x)), ("%", lambda x: _PERCENT.sub(_percent, x))):
+        if kind in text and (got := t(text)) != text:
+            yield got
+
+
+def _escapes(text: str) -> int:
+    """How many escapes stand for something beyond ASCII or hide another escape: a plain &amp; or %20 is none."""
+    if "&" not in text and "\\u" not in text and "%" not in text:
+        return 0
+    n = 0
+    for m in _ESCAPED.finditer(text):
+        got = _percent(m) if m[0][0] == "%" else next(unescaped(m[0]), m[0])
+        if not got.isascii():
+            n += len(got)
+        elif got == "&" and re.match(r"#?\w{2,8};", text[m.end() : m.end() + 9]):
+            n += 1
+    return n
+
+
 def cost(text: str) -> float:
-    """How little the text's characters look like ordinary text in some language; 0 for ASCII."""
+    """How little the text's characters look like ordinary text in some language; 0 for ASCII without escapes."""
+    escapes = ESCAPE_COST * _escapes(text)
     if text.isascii() and "\x7f" not in text:
-        return 0.0
+        return escapes
     k = text.translate(_KINDS)
     total = sum(k.count(x) * w for x, w in KIND_COST.items()) + (RUN_COST * len(_X_RUN.findall(k)) if "x" in k else 0.0)
     total += sum(len(p.findall(k)) * w for p, w in PAIR_COST)
-    return total + 1.5 * len(_LONE.findall(text))
+    return escapes + total + 1.5 * len(_LONE.findall(text))
 
 
 def _page(codec: str) -> dict[int, str]:
@@ -139,11 +187,10 @@ WIDE = ("gbk", "cp932", "big5")
 _UTF8 = re.compile("[\xc2-\xdf][\x80-\xbf]|[\xe0-\xef][\x80-\xbf]{2}|[\xf0-\xf4][\x80-\xbf]{3}")
 TWO_BYTE_PAIRS = [(a, b) for a in WIDE for b in WIDE if a != b]
 #: One-byte pages taken for each other, as the page that was used and the one that was meant.
-SWAPS = [("koi8-r", "cp1251"), ("cp1251", "koi8-r"), ("cp866", "cp1251"), ("cp1251", "cp866"), ("mac_cyrillic", "cp1251"), ("cp1251", "cp1252"), ("mac_roman", "cp1252"), ("cp437", "cp1252"), ("cp850", "cp1252"), ("koi8-r", "cp1252"), ("cp1253", "cp1252"), ("cp1255", "cp1252")]
+SWAPS = [("koi8-r", "cp1251"), ("cp1251", "koi8-r"), ("cp866", "cp1251"), ("cp1251", "cp866"), ("mac_cyrillic", "cp1251"), ("cp1251", "cp1252"), ("mac_roman", "cp1252"), ("cp1252", "mac_roman"), ("cp437", "cp1252"), ("cp850", "cp1252"), ("koi8-r", "cp1252"), ("cp1253", "cp1252"), ("cp1255", "cp1252")]
 #: Targets of a line whose bytes were read by a one-byte page, other than UTF-8.
 LEGACY = ("gbk", "cp932", "cp1251", "big5", "koi8-r", "mac_roman", "cp850")
 _SPACED = re.compile("(?<=[ÃÂ]) ")
-_ESCAPED = re.compile(r"&(?:#\d{2,6}|#x[0-9a-fA-F]{2,5}|[A-Za-z]{2,8}\d?);|\\u[0-9a-fA-F]{4}|%[C-F][0-9A-F]%[89AB][0-9A-F]")
 _LOST = re.compile("(?<=[\u4e00-\u9fff\uff00-\uffef\ufffd])\\?")
 _ONE_BYTE = re.compile("[eEsSQqxbcCygzo]")
 _TWO_BYTE = re.compile("[hijkf]")
@@ -254,8 +301,8 @@ def steps(s: str) -> Iterator[str]:
                 if (got := _from_page(t, PAGES[name])) is not None:
                     valid |= got[1]
                     yield got[0]
-    if _ESCAPED.search(s):
-        yield html.unescape(s)
+    if _escapes(s):
+        yield from unescaped(s)
     if _TWO_BYTE.search(k):
         read = [t for a in WIDE if (t := _wide(s, a, "utf-8")) is not None]
         yield from read
@@ -277,6 +324,10 @@ def steps(s: str) -> Iterator[str]:
 
 def looks_plain(text: str) -> bool:
     """Whether no character of the text hints at a wrong encoding."""
+    if _escapes(text):
+        return False
+    if text.isascii():
+        return "\x7f" not in text
     kinds = text.translate(_KINDS)
     return not _GATE.search(kinds) and 2 * kinds.count("i") < 1 + kinds.count("h")
 
@@ -292,11 +343,13 @@ def restore_line(line: str) -> str:
     if start < MARGIN:
         return line
     best, best_cost = line, start
+    # Behind escapes there may be a garbled text, which costs more than they do.
+    slack = 2.0 if not _escapes(line) else 2.0 + 2.5 * len(line)
     queue = [(start, 0, line)]
     seen = {hash(line)}
     while queue:
         c, depth, s = heapq.heappop(queue)
-        if depth >= DEPTH or c > best_cost + 2.0:
+        if depth >= DEPTH or c > best_cost + slack:
             continue
         for t in steps(s):
             h = hash(t)
@@ -308,16 +361,16 @@ def restore_line(line: str) -> str:
                 best, best_cost = t, ct
                 if start - ct >= MARGIN and looks_plain(t):
                     return t
-            if ct < c + 2.5:
+            if ct < c + slack + 0.5:
                 heapq.heappush(queue, (ct, depth + 1, t))
     return best if start - best_cost >= MARGIN else line
 
 
 def restore(text: str | None) -> str | None:
     """text with every garbled line restored where it can be; null stays null."""
-    if text is None or text.isascii() or looks_plain(text):
+    if text is None or looks_plain(text):
         return text
-    return "\n".join(restore_line(x) if not x.isascii() else x for x in text.split("\n"))
+    return "\n".join(map(restore_line, text.split("\n")))
 
 
 def is_garbled(text: str | None) -> bool:
@@ -338,11 +391,11 @@ def is_garbled_udf(text: pd.Series) -> pd.Series:
 def garbled_fields(rows: DataFrame, key: str, fields: list[str]) -> DataFrame:
     """(key, field_name, restored): one row per field of a record that is garbled, wholly or in places.
 
-    A null or ASCII value is never garbled and does not leave the JVM. Repeated keys give repeated rows.
+    A null value and one that is ASCII without escapes is never garbled and does not leave the JVM. Repeated keys give repeated rows.
     """
     found = []
     for name in fields:
-        x = rows.select(F.col(key), F.col(name).alias("_t")).filter(F.col("_t").rlike("[^\\x00-\\x7f]"))
+        x = rows.select(F.col(key), F.col(name).alias("_t")).filter(F.col("_t").rlike("[^\\x00-\\x7e]|" + ESCAPED))
         x = x.withColumn("restored", restore_udf("_t")).filter((F.col("restored") != F.col("_t")) | F.col("_t").contains("\ufffd"))
         found.append(x.select(key, F.lit(name).alias("field_name"), "restored"))
     out = found[0]
