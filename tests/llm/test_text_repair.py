@@ -37,6 +37,37 @@ def test_genuine_text_stays(s):
     assert m.restore(s) == s and not m.is_garbled(s)
 
 
+@pytest.mark.parametrize("given,want", [
+    ("J&uuml;rgen", "Jürgen"), ("K&ouml;ln &amp;amp; Co", "Köln &amp; Co"), ("caf\\u00e9 bar", "café bar"), ("\\ud83d\\ude00 ok", "😀 ok"), ("caf%C3%A9 bar", "café bar"), ("Caf&Atilde;&copy;", "Café"), ("%C3%83%C2%A9tat", "état"),
+    ("el grupo verlŠngert den Mietvertrag", "el grupo verlängert den Mietvertrag"), ("Y. LÂvaxwim wrote", "Y. Låvaxwim wrote"), ("34777 comments ‚Äì join", "34777 comments – join"), ("deposit ¬£growth", "deposit £growth"), ("order ΓÇÿintakeΓÇÖ in", "order ‘intake’ in"),
+])
+def test_escapes_and_single_characters(spark, given, want):
+    assert m.restore(given) == want
+    df = spark.createDataFrame([(1, given), (2, want)], "k int, t string")
+    assert [(r[0], r[2]) for r in m.garbled_fields(df, "k", ["t"]).collect()] == [(1, want)]
+
+
+@pytest.mark.parametrize("s", ["Q&A and R&D; fine", "Q&amp;A", "see https://x.org/caf%C3%A9", "100%", "%20 off", "C:\\users", "a\\nb", "¥57 and £9"])
+def test_escapes_in_earnest_stay(s):
+    assert m.restore(s) == s
+
+
+def test_lines_of_the_tables_come_back(spark, small):
+    texts = [t for r in spark.read.parquet(f"{small}/raw_signal.parquet").select("title", "raw_text").collect() for t in r if t]
+    lines = sorted({x for t in texts for x in t.split("\n") if not x.isascii() and len(x) > 12 and m.looks_plain(x)})
+    for (enc, dec), least in {("utf-8", "cp1252"): 0.95, ("utf-8", "latin-1"): 0.97, ("utf-8", "mac_roman"): 0.95, ("utf-8", "koi8-r"): 0.95, ("utf-8", "gbk"): 0.85, ("cp932", "latin-1"): 0.85}.items():
+        done = tried = 0
+        for s in lines:
+            try:
+                bad = s.encode(enc).decode(dec)
+            except UnicodeError:
+                continue
+            if bad != s:
+                tried += 1
+                done += m.restore(bad) == s
+        assert tried >= 15 and done >= least * tried, (enc, dec, done, tried)
+
+
 def test_garbled_fields_and_defined_cases(spark):
     rows = [(1, "MenÃ¼ fÃ¼r alle", "fine"), (2, None, ""), (3, "ok", "a line\nKÃ¶ln liegt am Rhein\nend"), (4, "lost �ndulurd", "x" * 200_000), (5, "ok", None)]
     df = spark.createDataFrame(rows, "k int, title string, body string").withColumn("restored", F.lit("clash")).withColumn("field_name", F.lit("clash"))
@@ -49,14 +80,16 @@ def test_garbled_fields_and_defined_cases(spark):
 VARIANTS = [
     ("ra­il tonnage", "rail tonnage"), ("in Pels", "in Pels"), ("ｔｈｅ note", "the note"), ("reﬁnery", "refinery"), ("Götting", "Götting"), ("thе nоte", "the note"),
     ("Вау is near", "Bay is near"), ("Οrder of the day", "Order of the day"), ("⼯厂开工", "工厂开工"), ("ﾊﾞｯﾃﾘｰ生産は", "バッテリー生産は"), ("ждyт перeмен", "ждут перемен"), ("订单量８.５点", "订单量8.5点"),
+    ("hellո", "helln"), ("Ꭺpple", "Apple"), ("ʟabs", "Labs"), ("ɡood", "good"), ("ⅼine", "line"), ("ⓐⓑⓒ", "abc"), ("co‐op", "co-op"), ("1⁄2 cup", "1/2 cup"), ("汽⻋上牌量", "汽车上牌量"), ("Аpple 公司的净出口上升了这么多个点", "Apple 公司的净出口上升了这么多个点"), ("ԁone the work", "done the work"),
 ]
-PLAIN = ["Team 👩‍💻 met", "coefficient α stood at 0.4 and β at 1.2", "model put ΔQ near ½", "1200 m² – café", "listed as 恒衡集团（海外） there", "сказал Velmora Group в городе", "the Вельдра Жилинск desk", "点。（详见附注：第二节）！", "Öl für 3 €", "", "L’œuvre coûte"]
+PLAIN = ["Chapter Ⅷ begins", "①第一", "Yıldız", "Հայաստան", "ОАО рост", "Team 👩‍💻 met", "coefficient α stood at 0.4 and β at 1.2", "model put ΔQ near ½", "1200 m² – café", "listed as 恒衡集团（海外） there", "сказал Velmora Group в городе", "the Вельдра Жилинск desk", "点。（详见附注：第二节）！", "Öl für 3 €", "", "L’œuvre coûte"]
 
 
 @pytest.mark.parametrize("given,want", VARIANTS)
 def test_variants_become_plain(given, want):
     assert c.plain_form(given) == want and c.skeleton(given) == c.skeleton(want)
     assert c.plain_form(want) == want
+    assert c.is_variant(given) and not c.is_variant(want)
 
 
 @pytest.mark.parametrize("text", PLAIN)

@@ -16,26 +16,50 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..runtime import table
+from ..runtime import ship_package, table
 
 # Letters and the Latin letters they look like, in the same order.
-CYRILLIC_LOOK = "АВЕЅІЈКМНОРСТУХԚԜаеѕіјорсухԛԝһӏ"
-CYRILLIC_AS = "ABESIJKMHOPCTYXQWaesijopcyxqwhl"
+CYRILLIC_LOOK = "АВЕЅІЈКМНОРСТУХԚԜԌѴҮаеѕіјорсухԁԛԝһӏѵү"
+CYRILLIC_AS = "ABESIJKMHOPCTYXQWGVYaesijopcyxdqwhlvy"
 GREEK_LOOK = "ΑΒΕΖΗΙΚΜΝΟΡΤΥΧονϲϳ"
 GREEK_AS = "ABEZHIKMNOPTYXovcj"
+# The same for scripts whose letters are look-alikes only within a Latin word.
+ARMENIAN_LOOK = "ՍՏՕԼաոռսօհցզյքլ"
+ARMENIAN_AS = "USOLwnnuohgqjfl"
+CHEROKEE_LOOK = "ᎠᎡᎢᎥᎪᎫᎬᎳᎷᎻᎽᏀᏃᏏᏒᏔᏕᏙᏚᏞᏟᏢᏦᏧᏳᏴᎩᏂ"
+CHEROKEE_AS = "DRTiAJEWMHYGZbRWSVSLCPKdGBYh"
+LATIN_EXTRA_LOOK = "ɡɑɩꞬɪʏ"
+LATIN_EXTRA_AS = "gaiGIY"
 # Look-alikes that count only inside a word of the other script.
 WEAK_LOOK = "αικρυγτ"
 WEAK_AS = "aikpuyt"
 # Cyrillic letters that Latin ones stand for in Cyrillic text.
 LATIN_LOOK = "ABEKMHOPCTYXSIJaeopcyxksij"
 LATIN_CYRILLIC = "АВЕКМНОРСТУХЅІЈаеорсухкѕіј"
+# Radicals without a decomposition and the ideographs they look like.
+RADICAL_LOOK = "⺁⺂⺃⺄⺅⺆⺉⺊⺋⺒⺓⺔⺕⺖⺗⺘⺙⺛⺝⺞⺠⺡⺢⺣⺤⺦⺧⺨⺩⺪⺬⺭⺮⺯⺰⺱⺲⺳⺷⺸⺹⺺⺻⺽⺾⺿⻀⻁⻂⻃⻄⻅⻆⻇⻈⻉⻊⻋⻌⻍⻎⻏⻐⻑⻒⻓⻔⻕⻖⻗⻘⻙⻚⻛⻜⻝⻞⻟⻠⻡⻢⻣⻤⻥⻦⻧⻨⻩⻪⻫⻬⻭⻮⻯⻰⻱⻲"
+RADICAL_AS = "厂乛乚乙亻冂刂卜㔾巳幺彑彐忄㣺扌攵旡月歺民氵氺灬爫丬牛犭王疋示礻竹糹纟罓罒网羊羊耂肀聿臼艹艹艹虎衤覀西见角角讠贝足车辶辶辶阝钅長镸长门阜阝雨青韦页风飞食飠飠饣首马骨鬼鱼鸟卤麦黄黾斉齐歯齿竜龙龜亀"
+# Signs that show as a plain one.
+SIGN_LOOK = "\u2010\u2011\u2024\u037e\u0387\u1fef"
+SIGN_AS = "--.;·`"
+
+
+def _small_capitals() -> dict[int, str]:
+    """Letters of Latin named a small capital, by the capital they show as."""
+    names = ((c, unicodedata.name(chr(c), "")) for c in (*range(0x250, 0x2B0), *range(0x1D00, 0x1D26), *range(0xA730, 0xA732)))
+    return {c: n[-1] for c, n in names if n.startswith("LATIN LETTER SMALL CAPITAL ") and len(n) == 28}
+
 
 _HIDDEN = "\u00ad\u034f\u061cᅟᅠ\u17b4\u17b5\u180b-\u180e\u200b-\u200f\u202a-\u202e\u2060-\u206fㅤ\ufe00-\ufe0f\ufeffﾠ\U000e0001-\U000e01ef"
 _SPACES = "\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _MARKS = "\u0300-\u034e\u0350-\u036f\u1dc0-\u1dff\u20d0-\u20ff\u3099\u309a\ufe20-\ufe2f"
-_COMPAT = "ĲĳĿŀŉſǄ-ǌǱ-ǳᄀ-ᅞᅡ-ᇿẚẛ℀-⅏⺀-\u2fdfㄱ-ㅣㅥ-ㆎ豈-\ufaffﬀ-﷿︰-\ufe6f！-ﾟﾡ-\uffef\U0001d400-\U0001d7ff\U0001f100-\U0001f189\U0001fbf0-\U0001fbf9\U0002f800-\U0002fa1f"
-#: A text without any of these is plain already.
-SUSPECT = f"[{_HIDDEN}{_SPACES}{_MARKS}{_COMPAT}Ͱ-ϿЀ-ԯ]"
+_COMPAT = "ĲĳĿŀŉſǄ-ǌǱ-ǳᄀ-ᅞᅡ-ᇿẚẛ℀-⅏Ⅰ-ⅿ\u24b6-\u24e9⺀-\u2fdfㄱ-ㅣㅥ-ㆎ豈-\ufaffﬀ-﷿︰-\ufe6f！-ﾟﾡ-\uffef\U0001d400-\U0001d7ff\U0001f100-\U0001f189\U0001fbf0-\U0001fbf9\U0002f800-\U0002fa1f"
+_EXTRA = {**{ord(a): b for look, as_ in ((ARMENIAN_LOOK, ARMENIAN_AS), (CHEROKEE_LOOK, CHEROKEE_AS)) for a, b in zip(look, as_, strict=True)}, **_small_capitals(), **{ord(a): b for a, b in zip(LATIN_EXTRA_LOOK, LATIN_EXTRA_AS, strict=True)}}
+_RADICALS = {ord(a): b for a, b in zip(RADICAL_LOOK, RADICAL_AS, strict=True)}
+_SIGNS = {ord(a): b for a, b in zip(SIGN_LOOK, SIGN_AS, strict=True)}
+_EXTRA_CLASS = "".join(map(chr, sorted(_EXTRA)))
+#: A text without any of these is plain already: made of the tables and classes above.
+SUSPECT = f"[{_HIDDEN}{_SPACES}{_MARKS}{_COMPAT}Ͱ-ϿЀ-ԯ{_EXTRA_CLASS}{SIGN_LOOK}]|[0-9]\u2044[0-9]"
 _SUSPECT_RE = re.compile(SUSPECT)
 _HIDDEN_RE = re.compile(f"[{_HIDDEN}]")
 _SPACES_RE = re.compile(f"[{_SPACES}]")
@@ -44,7 +68,11 @@ _COMPAT_RE = re.compile(f"[{_COMPAT}]+")
 _LATIN = "A-Za-zªºÀ-ÖØ-öø-ɏḀ-ỿ"
 _CJK = "⺀-\u2fdf\u3040-ヿ㐀-䶿一-鿿豈-\ufaffｦ-ﾟ\U00020000-\U0003ffff"
 _SCRIPTS = {"latin": re.compile(f"[{_LATIN}]"), "cyrillic": re.compile("[Ѐ-ԯ]"), "greek": re.compile("[Ͱ-Ͽ]"), "cjk": re.compile(f"[{_CJK}]")}
-_WORD_RE = re.compile(f"[{_LATIN}Ͱ-ԯ{_MARKS}]+")
+_WORD_RE = re.compile(f"[{_LATIN}Ͱ-ԯ{_MARKS}{_EXTRA_CLASS}]+")
+_EXTRA_RE = re.compile(f"[{_EXTRA_CLASS}]")
+_SIGN_RE = re.compile(f"[{SIGN_LOOK}]|(?<=[0-9])\u2044(?=[0-9])")
+_LETTER_FORMS = re.compile("[Ⅰ-ⅿ\u24b6-\u24e9]")
+_LOOK_RE = re.compile(f"[Ͱ-ԯ{_EXTRA_CLASS}]")
 _EMOJI = re.compile("[←-⇿⌀-⏿①-➿〰〽㊗㊙\U0001f000-\U0001faff©®\ufe0f\u20e3]")
 _JOINING = re.compile("[\u0590-\u08ff\u0900-\u0dff\u0e00-\u0effက-႟ក-\u18afיִ-﷿ﹰ-ﻼ]")
 
@@ -73,14 +101,21 @@ def _drop_hidden(text: str) -> str:
     return _HIDDEN_RE.sub(keep, text)
 
 
+#: Character to prototype: one table for all scripts; small к stands for k within Cyrillic words only.
+_PROTOTYPE = {**_EXTRA, **_RADICALS, **_SIGNS, **_TO_LATIN, ord("к"): "k", 0x2044: "/", **dict.fromkeys([0x1680, 0x2028, 0x2029], " ")}
+
+
 def skeleton(text: str | None) -> str | None:
-    """The text's skeleton: equal for texts that look equal. Null stays null."""
+    """The text's skeleton: equal for texts that look equal. Null stays null.
+
+    Decompose, replace every character by its prototype, decompose again.
+    """
     if text is None:
         return None
     if text.isascii():
         return text
     x = unicodedata.normalize("NFKD", _drop_hidden(text))
-    return unicodedata.normalize("NFKD", x.translate(_TO_LATIN))
+    return unicodedata.normalize("NFKD", x.translate(_PROTOTYPE))
 
 
 @functools.lru_cache(maxsize=65536)
@@ -113,7 +148,15 @@ def main_script(text: str) -> str:
 
 
 def _word_plain(word: str, script: str, genuine: bool) -> str:
-    """word in the script, if all that keeps it from it are look-alikes; genuine: foreign words beside it are meant so."""
+    """The member of the word's skeleton class that its script writes plainly; the word itself if there is none. genuine: foreign words beside it are meant so."""
+    if _EXTRA_RE.search(word) and re.search("[A-Za-z]", word):
+        word = word.translate(_EXTRA)
+    plain = _reading(word, script, genuine)
+    return plain if plain == word or skeleton(plain) == skeleton(word) else word
+
+
+def _reading(word: str, script: str, genuine: bool) -> str:
+    """word read in the script, if all that keeps it from it are look-alikes."""
     have = {k for k in ("latin", "cyrillic", "greek") if _SCRIPTS[k].search(word)}
     if len(have) == 1:
         kind = have.pop()
@@ -158,6 +201,7 @@ def plain_form(text: str | None) -> str | None:
 
     y = _SPACES_RE.sub(space, x)
     y = _MARKED_RE.sub(lambda m: unicodedata.normalize("NFC", m[0]), y)
+    y = _SIGN_RE.sub(lambda m: m[0].translate(_PROTOTYPE), y).translate(_RADICALS)
 
     def compat(m: re.Match) -> str:
         # Half-width kana and their sound marks are one letter.
@@ -165,12 +209,17 @@ def plain_form(text: str | None) -> str | None:
             return unicodedata.normalize("NFKC", m[0])
         out = []
         for i, ch in enumerate(m[0], m.start()):
+            if _LETTER_FORMS.match(ch):
+                # Numerals and enclosed letters by themselves are symbols; beside letters they are letters.
+                near = y[max(0, i - 1) : i] + y[i + 1 : i + 2]
+                out.append(unicodedata.normalize("NFKC", ch) if any(z.isalpha() and _SCRIPTS["latin"].match(z) or _LETTER_FORMS.match(z) and "\u24b6" <= ch for z in near) else ch)
+                continue
             beside = any(_SCRIPTS["cjk"].match(z) and not "\uff00" < z < "\uff66" for z in y[max(0, i - 1) : i] + y[i + 1 : i + 2])
             out.append(_compat_plain(ch, script == "cjk", beside))
         return "".join(out)
 
     y = _COMPAT_RE.sub(compat, y)
-    if script == "cjk" or not re.search("[Ͱ-ԯ]", y):
+    if not _LOOK_RE.search(y):
         return y
     spans = [(m.start(), m.end(), m[0]) for m in _WORD_RE.finditer(y)]
     other = []
@@ -188,9 +237,17 @@ def plain_form(text: str | None) -> str | None:
     return "".join([*out, y[last:]])
 
 
+def is_variant(text: str | None) -> bool:
+    """Whether the text's skeleton class has a plain member that is another text."""
+    if text is None or text.isascii():
+        return False
+    plain = plain_form(text)
+    return plain != text and skeleton(plain) == skeleton(text)
+
+
 @F.pandas_udf(T.BooleanType())
 def _is_variant(text: pd.Series) -> pd.Series:
-    return pd.Series([t is not None and plain_form(t) != t for t in text], dtype="boolean")
+    return pd.Series([is_variant(t) for t in text], dtype="boolean")
 
 
 @F.pandas_udf(T.StringType())
@@ -204,12 +261,13 @@ def skeleton_udf(text: pd.Series) -> pd.Series:
 
 
 def confusable_rows(docs: DataFrame, text: str) -> DataFrame:
-    """The rows of docs whose text differs from its plain form; all columns stay.
+    """The rows of docs whose text is not the plain member of its skeleton class; all columns stay.
 
-    Null and empty texts are none. Texts without a suspect character are passed over by the scan, inside
-    the JVM; the others are analysed whole.
+    Null and empty texts are none. ASCII texts don't leave the JVM; of the others one pass over the whole text finds
+    the suspect characters, and those that have some are analysed.
     """
-    return docs.filter(F.col(text).rlike(SUSPECT)).filter(_is_variant(F.col(text)))
+    ship_package(docs.sparkSession)
+    return docs.filter(F.octet_length(text) > F.length(text)).filter(_is_variant(F.col(text)))
 
 
 def skeleton_groups(docs: DataFrame, key: str, text: str) -> DataFrame:
