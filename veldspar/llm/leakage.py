@@ -31,7 +31,9 @@ PAIR_SHARE = 0.83
 BETWEEN = 700
 #: Folded bytes by which hits on one diagonal may be apart.
 GAP = 48
-#: Test fingerprints, 8 bytes each, up to which the tasks drop what no test sentence has before the join.
+#: Folded bytes of test sentences up to which their index is broadcast; a larger test set is joined by shuffles.
+INDEX_BYTES = 8_000_000
+#: Test fingerprints, 8 bytes each, up to which the tasks drop what no test sentence has before the shuffled join.
 FILTER_HASHES = 4_000_000
 
 _FOLD = {ord(a.lower()): b.lower() for look, as_ in ((CYRILLIC_LOOK, CYRILLIC_AS), (GREEK_LOOK, GREEK_AS), (WEAK_LOOK, WEAK_AS)) for a, b in zip(look, as_, strict=True)}
@@ -101,6 +103,121 @@ def sentences(text: str) -> list[str]:
     return out
 
 
+class PassageIndex:
+    """Inverted index of the winnowed fingerprints of test passages, by sentence; equal sentences are one entry."""
+
+    def __init__(self, rows: list[tuple]):
+        """rows: (item, passage, no, n, b), the sentences of all passages."""
+        self.size, self.small = [], []
+        #: Items of one sentence, by sentence; items with the second sentence of a pair after the first, by first and second.
+        self.alone: dict[int, set] = {}
+        self.pairs: dict[int, dict[int, set]] = {}
+        hashes, owner, place = [], [], []
+        known: dict[bytes, int] = {}
+        before = None
+        for item, passage, _, n, f in sorted(rows, key=lambda r: (r[1], str(r[0]), r[2])):
+            i = known.get(f)
+            if i is None:
+                b = np.frombuffer(f, np.uint8)
+                h = gram_hashes(b, GRAM)
+                i = known[f] = len(self.size)
+                p = winnow(h)
+                hashes.append(h[p])
+                owner.append(np.full(len(p), i))
+                place.append(p)
+                self.size.append(len(b))
+                self.small.append(np.unique(gram_hashes(b, SMALL)))
+            if n == 1:
+                self.alone.setdefault(i, set()).add(item)
+            if before is not None and before[:2] == (item, passage):
+                self.pairs.setdefault(before[2], {}).setdefault(i, set()).add(item)
+            before = (item, passage, i)
+        h = np.concatenate(hashes) if hashes else np.empty(0, np.uint64)
+        order = np.argsort(h, kind="stable")
+        self.hash = h[order]
+        self.owner = np.concatenate(owner)[order] if hashes else np.empty(0, np.int64)
+        self.place = np.concatenate(place)[order] if hashes else np.empty(0, np.int64)
+        self.keys, self.start, self.count = np.unique(self.hash, return_index=True, return_counts=True)
+        self.single = np.zeros(len(self.size), bool)
+        self.single[list(self.alone)] = True
+        both = [(s, t) for s, after in self.pairs.items() for t in after]
+        self.ahead, self.behind = np.array(both, np.int64).reshape(-1, 2).T
+
+    def leaks(self, text: str) -> set:
+        """The items that text leaks."""
+        b = np.frombuffer(fold(text), np.uint8)
+        h = gram_hashes(b, GRAM)
+        if not len(h) or not len(self.keys):
+            return set()
+        pos = winnow(h)
+        hh = h[pos]
+        at = np.minimum(np.searchsorted(self.keys, hh), len(self.keys) - 1)
+        hit = self.keys[at] == hh
+        at, pos = at[hit], pos[hit]
+        if not len(at):
+            return set()
+        # Every hit counts, however many test sentences share its fingerprint; what a stock phrase hits by
+        # itself is told apart when the sentences are held against the text.
+        n = self.count[at]
+        rep = np.repeat(np.arange(len(at)), n)
+        entry = self.start[at][rep] + np.arange(len(rep)) - np.repeat(np.cumsum(n) - n, n)
+        owner, shift = self.owner[entry], pos[rep] - self.place[entry]
+        # Of the sentences hit, those that are all of a passage or have a neighbour that is hit can make a leak.
+        here = np.zeros(len(self.size), bool)
+        here[owner] = True
+        both = here[self.ahead] & here[self.behind]
+        useful = self.single.copy()
+        useful[self.ahead[both]] = True
+        useful[self.behind[both]] = True
+        can = useful[owner]
+        owner, shift = owner[can], shift[can]
+        if not len(owner):
+            return set()
+        order = np.lexsort((shift, owner))
+        owner, shift = owner[order], shift[order]
+        cuts = np.flatnonzero((np.diff(owner) != 0) | (np.diff(shift) > GAP)) + 1
+        spans: dict[int, list[tuple[int, int]]] = {}
+        for a, z in zip([0, *cuts], [*cuts, len(owner)], strict=True):
+            s = int(owner[a])
+            spans.setdefault(s, []).append((int(shift[a]), int(shift[z - 1]) + self.size[s]))
+        grams = None
+        shares: dict[tuple[int, int], float] = {}
+
+        def share(s: int, span: tuple[int, int]) -> float:
+            nonlocal grams
+            if (s, span[0]) not in shares:
+                if grams is None:
+                    grams = gram_hashes(b, SMALL)
+                region = grams[max(0, span[0] - 24) : span[1] + 24]
+                small = self.small[s]
+                where = np.minimum(np.searchsorted(small, region), len(small) - 1)
+                there = np.zeros(len(small), bool)
+                there[where[small[where] == region]] = True
+                shares[s, span[0]] = float(there.mean())
+            return shares[s, span[0]]
+
+        def pair(s: int, t: int) -> bool:
+            for after in spans[t]:
+                for x in spans[s]:
+                    if -80 <= after[0] - x[1] <= BETWEEN and (one := share(s, x)) >= SENTENCE_SHARE and (two := share(t, after)) >= SENTENCE_SHARE:
+                        n1, n2 = len(self.small[s]), len(self.small[t])
+                        if (one * n1 + two * n2) / (n1 + n2) >= PAIR_SHARE:
+                            return True
+            return False
+
+        out: set = set()
+        for s, here in spans.items():
+            alone = self.alone.get(s)
+            if alone and not alone <= out and any(share(s, x) >= PAIR_SHARE for x in here):
+                out |= alone
+            # Only a sentence whose neighbour hits beside it is extended: one alone is no leak.
+            follow = self.pairs.get(s, {})
+            for t in follow.keys() & spans.keys():
+                if not follow[t] <= out and pair(s, t):
+                    out |= follow[t]
+        return out
+
+
 def _id(folded: bytes) -> int:
     return xxhash.xxh3_64_intdigest(folded) - (1 << 63)
 
@@ -203,13 +320,34 @@ def sentence_shares(spans: DataFrame, found: DataFrame) -> DataFrame:
 def leaked_items(docs: DataFrame, key: str, text: str, items: DataFrame, item_key: str, passage: str) -> DataFrame:
     """(key, item_key): distinct pairs of a document and a test item it leaks.
 
-    The corpus is scanned once. The fingerprints of both sides are joined by hash; where the test set has FILTER_HASHES of
-    them at most, the tasks drop what can't join before. Every hit counts, however many test sentences share its
-    fingerprint: what a stock phrase hits by itself is told apart when the sentences are held against the text. Of
-    texts without a hit nothing leaves a task. Null texts, null or empty passages leak nothing; repeated items and documents
-    count once.
+    The corpus is scanned once and its fingerprints are joined with those of the test sentences by hash: against a
+    broadcast index, where the sentences have INDEX_BYTES at most, and else by a shuffle of hits. Every hit counts,
+    however many sentences share its fingerprint: what a stock phrase hits by itself is told apart when the sentences
+    are held against the text. Null texts, null or empty passages leak nothing; repeated items and documents count once.
     """
     parts = materialize(passage_sentences(items, item_key, passage), "passages")
+    size = parts.agg(F.sum(F.length("b"))).first()[0] or 0
+    if size > INDEX_BYTES:
+        return join_leaks(docs, key, text, parts).select(F.col("key").alias(key), F.col("item").alias(item_key))
+    rows = [tuple(r) for r in parts.select("item", "passage", "no", "n", "b").collect()]
+    index = docs.sparkSession.sparkContext.broadcast(PassageIndex(rows))
+    types = dict(docs.dtypes)[key], dict(items.dtypes)[item_key]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            got = [(k, i) for k, t in zip(pdf[key], pdf[text], strict=True) if t for i in index.value.leaks(t)]
+            yield pd.DataFrame(got, columns=[key, item_key])
+
+    x = docs.select(key, text).filter(F.col(text).isNotNull() & F.col(key).isNotNull())
+    return x.mapInPandas(run, f"{key} {types[0]}, {item_key} {types[1]}").distinct()
+
+
+def join_leaks(docs: DataFrame, key: str, text: str, parts: DataFrame) -> DataFrame:
+    """(key, item): leaked_items() of sentences of any number (parts: those of passage_sentences()), by joins.
+
+    Where the test set has FILTER_HASHES fingerprints at most, the tasks drop what can't join before. Of texts without a
+    hit nothing leaves a task.
+    """
     known = parts.groupBy("sid").agg(F.first("b").alias("s"), F.first(F.length("b")).alias("size"), F.first("grams").alias("grams"))
     prints = materialize(sentence_fingerprints(known.select("sid", F.col("s").alias("b"))), "prints")
     hashes = prints.select("h").distinct().limit(FILTER_HASHES + 1).toArrow()
@@ -241,7 +379,7 @@ def leaked_items(docs: DataFrame, key: str, text: str, items: DataFrame, item_ke
     leaks = held.select("did", "s", "t").distinct().join(pairs, ["s", "t"]).select("did", "item")
     whole = shares.filter(F.col("share") >= PAIR_SHARE).select("did", "sid").distinct().join(alone, "sid").select("did", "item")
     leaks = materialize(leaks.unionByName(whole).distinct(), "leaks")
-    return found.select("key", "did").join(leaks, "did").select(F.col("key").alias(key), F.col("item").alias(item_key)).distinct()
+    return found.select("key", "did").join(leaks, "did").select("key", "item").distinct()
 
 
 def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
