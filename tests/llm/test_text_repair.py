@@ -78,7 +78,7 @@ def test_garbled_fields_and_defined_cases(spark):
 
 
 VARIANTS = [
-    ("ra­il tonnage", "rail tonnage"), ("in Pels", "in Pels"), ("ｔｈｅ note", "the note"), ("reﬁnery", "refinery"), ("Götting", "Götting"), ("thе nоte", "the note"),
+    ("ra­il tonnage", "rail tonnage"), ("in Pels", "in Pels"), ("ｔｈｅ note", "the note"), ("reﬁnery", "refinery"), ("Go\u0308tting", "Götting"), ("thе nоte", "the note"),
     ("Вау is near", "Bay is near"), ("Οrder of the day", "Order of the day"), ("⼯厂开工", "工厂开工"), ("ﾊﾞｯﾃﾘｰ生産は", "バッテリー生産は"), ("ждyт перeмен", "ждут перемен"), ("订单量８.５点", "订单量8.5点"),
     ("hellո", "helln"), ("Ꭺpple", "Apple"), ("ʟabs", "Labs"), ("ɡood", "good"), ("ⅼine", "line"), ("ⓐⓑⓒ", "abc"), ("co‐op", "co-op"), ("1⁄2 cup", "1/2 cup"), ("汽⻋上牌量", "汽车上牌量"), ("Аpple 公司的净出口上升了这么多个点", "Apple 公司的净出口上升了这么多个点"), ("ԁone the work", "done the work"),
 ]

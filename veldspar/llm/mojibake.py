@@ -96,6 +96,8 @@ class _Kinds(dict):
             return "z"
         if c in "\ufb01\ufb02":
             return "s"
+        if 0x1F000 <= code < 0x1FB00:
+            return "S"
         if c in "©€£¥°™®§±½¼¾²³×÷":
             return "S"
         if cat[0] in "SP" or cat in ("No", "Lo", "Lm") and code < 256:
