@@ -59,7 +59,7 @@ def test_filenames_and_cells(spark):
 
 def test_markdown_and_tags(spark):
     md = "# T\n\n**b** and *i* [l](u) ![i](u) `c`\n```\ncode\n```\nend"
-    assert column(spark, [md], text.markdown_to_text)[0] == "T\n\nb and i l  c\n\nend"
+    assert column(spark, [md], text.markdown_to_text)[0] == "T b and i l end"
     assert column(spark, ["<p>a</p><p>b  c</p>", None], text.strip_tags) == ["a b c", None]
 
 
@@ -73,8 +73,14 @@ def test_counts(spark):
 
 
 def test_dates(spark):
-    assert column(spark, ["https://x/2024/05/7/a", "https://x/2024-05-17", "https://x/20240517", "https://x/2024/05/", "https://x/1999/01/02/", None], dates.date_in_url) == ["2024-05-07", "2024-05-17", "2024-05-17", "2024-05-01", None, None]
-    assert column(spark, ["1700000000000", "1700000000", "2024/03/04", "x", None], dates.epoch_or_date) == ["2023-11-14", "2023-11-14", "2024-03-04", None, None]
+    assert column(spark, ["https://x/2024/05/7/a", "https://x/2024-05-17", "https://x/20240517", "https://x/2024/05/", "https://x/1999/01/02/", None, "https://x/2024/01/15-slug", "https://x/2024-1-5", "https://x/slug-2024-7", "https://x/202405179"], dates.date_in_url) == ["2024-05-07", "2024-05-17", "2024-05-17", "2024-05-01", None, None, "2024-01-15", "2024-01-05", "2024-07-01", None]
+    around = lambda c: dates.inferred_date(F.lit("https://x/a"), c)
+    assert column(spark, ["on 15 Jan 2024", "January 5, 2024", "at 2024-03-04.", "none", None], around) == ["15-Jan-2024", "Jan-05-2024", "2024-03-04", None, None]
+    assert column(spark, ["Jun 15, 2026 or 2026-06-16", "7月1日 22:16", "x 07-01 y", "3 小时前", "at 9:15", "34 min read", "", None], dates.first_date_text) == ["Jun 15, 2026", "7月1日 22:16", "07-01", "3 小时前", "9:15", None, None, None]
+    assert column(spark, ["05/06/2024", "2024-06-05T00:00", "5-6-2024", "2024年6月5日", "2024年06月05日", "x", None], dates.listed_date) == ["2024-06-05", "2024-06-05", "2024-06-05", "2024-06-05", None, None, None]
+    fresh = lambda c: dates.freshness_of_text(c, F.lit("2025-06-01"))
+    assert column(spark, ["5月20日", "1月2日 10:00", "12月20日", "昨天", "14:30", "05-20", "01-02", "12-20", "2025-05-30", "20240101", "2025-06-02", "", None], fresh) == ["fresh", "stale", "stale", "fresh", "unknown", "fresh", "unknown", "stale", "fresh", "stale", "unknown", "unknown", "unknown"]
+    assert column(spark, ["1700000000000", "1700000000", "2024/03/04", "x", None, "20240304", "04/03/2024", "2024-03-04 10:00:00"], dates.epoch_or_date) == ["2023-11-14", "2023-11-14", "2024-03-04", None, None, "1970-08-23", None, "2024-03-04"]
     got = column(spark, ["2024-01-02T03:04:05Z", "2024-01-02T03:04:05+02:00", "bad", None], lambda c: F.date_format(dates.parse_iso(c), "yyyy-MM-dd HH:mm"))
     assert got == ["2024-01-02 03:04", "2024-01-02 01:04", None, None]
 
@@ -82,7 +88,23 @@ def test_dates(spark):
 def test_cascade_order_decides(spark):
     rules = [("a", ["x"]), ("b", ["x", "y"])]
     assert column(spark, ["x y", "Y", "z", "", None], lambda c: classify.cascade(c, rules)) == ["a", "b", "unknown", "unknown", "unknown"]
-    assert column(spark, ["Read timed out", "HTTP 404", None, ""], classify.error_class) == ["timeout", "not_found", None, None]
+    messages = ["Unsupported source_type: x", "config error", "connector error", "HTTP 404", "read timeout", "cannot parse", "extract failed", "bad io", "empty list", "Read timed out", None, ""]
+    want = ["unsupported_source_type", "config_error", "connector_error", "fetch_error", "fetch_error", "parse_error", "extract_error", "storage_error", "empty_source", "unknown_error", None, None]
+    assert column(spark, messages, classify.error_class) == want
+    net = lambda c: classify.network_error(c, F.lit(None).cast("int"))
+    assert column(spark, ["getaddrinfo failed", "TLSv1 alert", "Connection reset", "Read timed out", "hostname mismatch", "got 404", "HTTP Error: 418", "HTTP error: 503", "", None], net) == ["dns_resolution_failed", "tls_handshake_failed", "connection_reset", "timeout", "ssl_certificate_error", "http_404", "http_4xx", "http_5xx", "unknown", "unknown"]
+    assert column(spark, ["HK$5", "RMB 3", "$4", "x", None], classify.currency) == ["HKD", "CNY", "USD", "unknown", "unknown"]
+    assert column(spark, ["Analyst x. analyst Jane Doe and strategist Bob Li Wang, analyst Jane Doe", None], lambda c: F.array_join(classify.people(c), "|")) == ["Jane Doe|Bob Li Wang", ""]
+
+
+def test_noise_flags(spark):
+    body = "A long enough body text of an article about copper and freight that goes on. " * 4
+    rows = [("Access denied", "x", 200), (body, "Three other words", 404), (body, "Copper and freight", 503), ("<a href=x>Home</a>", "t", None), ("sign in with your password or username. " + body, "copper", 200), ("x" * 11 + body, "copper", 200), (None, None, None)]
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "i int, t string, h string, s int")
+    got = [r[0] for r in df.orderBy("i").select(F.array_join(classify.noise_flags(F.col("t"), F.col("h"), F.col("s")), ",")).collect()]
+    assert got == ["blocked_page,empty_page", "unrelated_page", "blocked_page", "navigation_only,empty_page", "login_page", "garbled_text", "empty_page"]
+    links = spark.createDataFrame([(0, "Home", None), (1, "Sign in", "https://x/cookie"), (2, "Copper rises", "https://x/a")], "i int, t string, u string")
+    assert [r[0] for r in links.orderBy("i").select(F.array_join(classify.link_noise(F.col("t"), F.col("u")), ",")).collect()] == ["", "cookie,login", ""]
 
 
 def test_maps_and_arrays(spark):

@@ -7,6 +7,8 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .text import collapse_ws
+
 
 def cascade(text: Column, rules: list[tuple[str, list[str]]], otherwise: str = "unknown", empty: str | None = None) -> Column:
     """The label of the first rule one of whose words occurs in the text, letter case aside.
@@ -30,33 +32,69 @@ def all_matches(text: Column, pattern: str, group: int = 0) -> Column:
     return F.array_distinct(F.regexp_extract_all(text, F.lit(pattern), group))
 
 
-# Words of an error message by class, in the order that decides.
-ERROR_RULES = [
-    ("timeout", ["timeout", "timed out", "deadline"]),
-    ("dns_error", ["name or service not known", "getaddrinfo", "nodename", "dns"]),
-    ("tls_error", ["ssl", "tls", "certificate"]),
-    ("connection_error", ["connection refused", "connection reset", "connection aborted", "unreachable"]),
-    ("access_denied", ["403", "forbidden", "access denied", "401", "unauthorized"]),
-    ("not_found", ["404", "not found"]),
-    ("rate_limited", ["429", "too many requests", "rate limit"]),
-    ("http_error", ["http", "status code", "500", "502", "503", "504"]),
-    ("parse_error", ["parse", "decode", "json", "xml", "invalid syntax"]),
-    ("empty", ["empty", "no content", "no candidates"]),
+def mentions(low: Column, *words: str) -> Column:
+    """Whether any of the words is in a text given in lower case."""
+    out = F.lit(False)
+    for w in words:
+        out = out | F.contains(low, F.lit(w))
+    return out
+
+
+def error_class(message: Column) -> Column:
+    """The class of a failed document, by the first rule that holds; null without a message.
+
+    The rules are words of the message in lower case, in the order of the pipeline's own steps.
+    """
+    low = F.lower(message)
+    rule = F.when(mentions(low, "unsupported source_type"), "unsupported_source_type").when(mentions(low, "config") & mentions(low, "error"), "config_error")
+    for label, words in STEP_ERRORS:
+        rule = rule.when(mentions(low, *words), label)
+    return F.when(message != "", rule.otherwise("unknown_error"))
+
+
+# Words that name the step that failed, in the order that decides.
+STEP_ERRORS = [
+    ("connector_error", ["connector 异常", "connector error"]),
+    ("fetch_error", ["抓取失败", "fetch", "http", "timeout"]),
+    ("parse_error", ["解析", "parse", "beautifulsoup"]),
+    ("extract_error", ["正文抽取", "extract"]),
+    ("storage_error", ["写入", "storage", "io"]),
+    ("empty_source", ["内容为空", "empty"]),
 ]
 
 
-def error_class(message: Column, status: Column | None = None) -> Column:
-    """The class of a failure, by its message and then by its HTTP status; null without either."""
-    by_text = cascade(message, ERROR_RULES, otherwise="other", empty="")
-    if status is None:
-        return F.when(message.isNotNull() & (message != ""), by_text)
-    by_status = F.when(status.isin(401, 403), "access_denied").when(status == 404, "not_found").when(status == 429, "rate_limited").when(status >= 400, "http_error")
-    return F.coalesce(F.when(by_text.isin("", "other"), None).otherwise(by_text), by_status, F.when(by_text == "other", "other"))
+def filing_error_class(message: Column) -> Column:
+    """fetch, parse or connector, the last for whatever names neither."""
+    low = F.lower(F.coalesce(message, F.lit("")))
+    return F.when(mentions(low, "fetch", "http", "network", "timeout"), "fetch").when(mentions(low, "parse", "syntax", "html", "json"), "parse").otherwise("connector")
+
+
+def network_error(message: Column, status: Column) -> Column:
+    """What broke a request: name resolution, handshake, reset, time-out or certificate by the message, else the HTTP status of either."""
+    low = F.lower(F.coalesce(message, F.lit("")))
+    named = F.regexp_extract(low, r"http error:\s*(\d+)", 1).try_cast("int")
+    by_number = lambda c: F.when(c == 404, "http_404").when(c == 403, "http_403").when(c == 401, "http_401").when(c.between(400, 499), "http_4xx").when(c.between(500, 599), "http_5xx")
+    out = F.lit(None).cast("string")
+    for label, words in NETWORK_ERRORS:
+        out = F.coalesce(out, F.when(mentions(low, *words), label))
+    for code in (404, 403, 401):
+        out = F.coalesce(out, F.when((status == code) | mentions(low, str(code)), f"http_{code}"))
+    return F.coalesce(out, by_number(status), by_number(named), F.lit("unknown"))
+
+
+# Words of a message by what broke, in the order that decides.
+NETWORK_ERRORS = [
+    ("dns_resolution_failed", ["getaddrinfo", "nodename nor servname", "dns"]),
+    ("tls_handshake_failed", ["ssl: unexpected_eof", "ssl_error_syscall", "tlsv1", "sslv3", "handshake"]),
+    ("connection_reset", ["connection reset", "远程主机强迫关闭", "winerror 10054"]),
+    ("timeout", ["timed out", "timeout"]),
+    ("ssl_certificate_error", ["certificate_verify_failed", "certificate verify failed", "hostname mismatch"]),
+]
 
 
 def is_retryable(status: Column, kind: Column) -> Column:
     """429, server errors, time-outs and broken connections may be tried again."""
-    return F.coalesce((status == 429) | (status >= 500), F.lit(False)) | F.coalesce(kind.isin("timeout", "connection_error", "dns_error", "rate_limited"), F.lit(False))
+    return F.coalesce((status == 429) | (status >= 500), F.lit(False)) | F.coalesce(kind.isin("timeout", "connection_error", "connection_reset"), F.lit(False))
 
 
 def keyword_flags(text: Column, rules: list[tuple[str, list[str], int]]) -> Column:
@@ -69,26 +107,82 @@ def keyword_flags(text: Column, rules: list[tuple[str, list[str], int]]) -> Colu
     return F.array_compact(F.array(*flags))
 
 
-# What marks a page as something else than an article, and how many marks it takes.
-NOISE_RULES = [
-    ("blocked", ["access denied", "forbidden", "blocked", "verify you are human", "captcha", "访问被拒绝", "验证码"], 1),
-    ("login", ["log in", "login", "sign in", "password", "forgot", "register", "登录", "注册", "密码"], 3),
-    ("paywall", ["subscribe to read", "subscribers only", "premium content", "付费阅读", "订阅后"], 1),
-    ("cookie", ["cookie", "consent", "accept all", "privacy settings", "gdpr"], 3),
-    ("marketing", ["free trial", "sign up", "newsletter", "limited offer", "buy now", "promo"], 3),
-    ("app", ["download the app", "open in app", "下载app", "打开app"], 1),
-]
+# Words that mark a page as something else than an article.
+BLOCKED_WORDS = ["access denied", "forbidden", "blocked", "access restricted", "service unavailable", "you don't have permission"]
+LOGIN_WORDS = ["sign in", "sign-in", "signin", "log in", "log-in", "login", "password", "username", "email address", "remember me", "forgot password", "create account"]
+PAYWALL_WORDS = ["paywall", "premium", "subscription required", "subscribe to continue", "subscribe to read", "subscribe now to access", "members only", "upgrade to access", "sign up to continue", "free trial", "subscribe to unlock"]
+COOKIE_WORDS = ["cookie consent", "accept cookies", "cookie policy", "manage cookies", "we use cookies", "this site uses cookies", "cookie preferences", "gdpr consent"]
+APP_WORDS = ["download our app", "download the app", "get the app", "app store", "google play", "available on the app store", "open in app", "install app", "mobile app"]
+MARKETING_WORDS = ["pricing", "plans starting at", "free trial", "request a demo", "book a demo", "schedule a demo", "get started", "try for free", "start free trial", "enterprise pricing", "contact sales"]
+
+
+def _hits(low: Column, words: list[str]) -> Column:
+    return sum((F.contains(low, F.lit(w)).cast("int") for w in words), F.lit(0))
+
 
+def noise_flags(text: Column, title: Column, status: Column) -> Column:
+    """array<string>: what a page is besides or instead of an article, each flag once, in a fixed order.
 
-def noise_flags(text: Column, title: Column) -> Column:
-    """array<string>: blocked, login, paywall, cookie, marketing, app, empty, garbled and unrelated, as far as they apply."""
-    t = F.coalesce(text, F.lit(""))
-    replaced = F.length(t) - F.length(F.replace(t, F.lit("�"), F.lit("")))
-    garbled = (replaced > 5) | t.rlike(r"(.)\1{10,}")
-    words = F.array_distinct(F.regexp_extract_all(F.lower(F.coalesce(title, F.lit(""))), F.lit("[a-z]{3,}"), 0))
-    unrelated = (F.size(words) > 2) & ~F.exists(words, lambda w: F.contains(F.lower(t), w))
-    own = F.array_compact(F.array(F.when(F.length(t) < 50, "empty"), F.when(garbled, "garbled"), F.when((t != "") & unrelated, "unrelated")))
-    return F.concat(keyword_flags(t, NOISE_RULES), own)
+    Short cookie notices, pages of links and empty pages go by the length of the text with its white space
+    collapsed. Null texts and titles count as empty, a null status as none.
+    """
+    t, head = F.coalesce(text, F.lit("")), F.lower(F.coalesce(title, F.lit("")))
+    low = F.lower(t)
+    n = F.length(collapse_ws(low))
+    status = F.coalesce(status, F.lit(0))
+    control = F.length(t) - F.length(F.regexp_replace(t, r"[\x00-\x08\x0B\x0C\x0E-\x1F]", ""))
+    lost = F.length(t) - F.length(F.replace(t, F.lit("\ufffd"), F.lit("")))
+    words = lambda x: F.array_distinct(F.regexp_extract_all(x, F.lit("[a-z]{3,}"), F.lit(0)))
+    flags = {
+        "blocked_page": status.isin(403, 451, 503) | (status >= 500) | (_hits(low, BLOCKED_WORDS) > 0),
+        "login_page": _hits(low, LOGIN_WORDS) >= 3,
+        "paywall": _hits(low, PAYWALL_WORDS) > 0,
+        "cookie_only": (_hits(low, COOKIE_WORDS) >= 3) & (n < 500),
+        "app_download_page": _hits(low, APP_WORDS) > 0,
+        "navigation_only": (n < 200) & t.rlike(r"<a\s"),
+        "marketing_only": _hits(low, MARKETING_WORDS) >= 3,
+        "empty_page": n < 50,
+        "garbled_text": (control > F.length(t) * 0.05) | t.rlike(r"(.)\1{10,}") | (lost > 5),
+        "unrelated_page": (n > 100) & (F.size(words(head)) > 2) & ~F.arrays_overlap(words(head), words(low)),
+    }
+    return F.array_compact(F.array(*[F.when(holds, F.lit(name)) for name, holds in flags.items()]))
+
+
+# Patterns that mark a link as none of an article, by kind.
+LINK_NOISE = {
+    "login": r"sign\s*in|log\s*in|login|signin|account|password|email|username",
+    "cookie": r"cookie|consent|privacy\s*policy|accept\s*cookies|gdpr|ccpa",
+    "navigation": r"^home$|^about$|^contact$|^careers$|^menu$|^subscribe$|^search$",
+    "empty": r"no\s*content|empty|404|not\s*found",
+}
+
+
+def link_noise(title: Column, url: Column) -> Column:
+    """array<string>: the kinds of noise that a link's title and address together show, as a set in order of name."""
+    low = F.lower(F.concat_ws(" ", F.coalesce(title, F.lit("")), F.coalesce(url, F.lit(""))))
+    return F.array_sort(F.array_compact(F.array(*[F.when(low.rlike(p), F.lit(k)) for k, p in LINK_NOISE.items()])))
+
+
+def currency(text: Column) -> Column:
+    """HKD, CNY, USD or unknown; HK$ is looked for before the bare dollar it contains."""
+    low = F.lower(F.coalesce(text, F.lit("")))
+    return F.when(mentions(low, "hk$", "hkd"), "HKD").when(mentions(low, "rmb", "cny", "¥"), "CNY").when(mentions(low, "$", "usd"), "USD").otherwise("unknown")
+
+
+# Institutions as they are written.
+INSTITUTIONS = ["Goldman Sachs", "Morgan Stanley", "J.P. Morgan", "JPMorgan", "Bank of America", "BofA", "Citi", "Citigroup", "UBS", "Barclays", "Deutsche Bank", "Bernstein", "Jefferies", "Mizuho", "Evercore", "Needham", "Wedbush"]
+
+
+def people(text: Column, tagged: Column | None = None, roles: tuple[str, ...] = ("analyst", "strategist", "economist")) -> Column:
+    """array<string>: names of two or more capitalised words after a role, after those that markup names, each once."""
+    found = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(rf"(?<![A-Za-z0-9_])(?:{'|'.join(roles)})\s+([A-Z][a-z]+(?:\s+[A-Z][a-z]+)+)"), F.lit(1))
+    return F.array_distinct(F.concat(F.coalesce(tagged, F.array().cast("array<string>")), found) if tagged is not None else found)
+
+
+def document_kind(text: Column) -> Column:
+    """transcript, webcast, presentation or event, by the words of an event page."""
+    low = F.lower(F.coalesce(text, F.lit("")))
+    return F.when(mentions(low, "transcript"), "transcript").when(mentions(low, "webcast"), "webcast").when(mentions(low, "presentation", "slides"), "presentation").otherwise("event")
 
 
 def clamp(x: Column, low: float, high: float) -> Column:

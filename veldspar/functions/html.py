@@ -93,8 +93,8 @@ def find(root: Node, tag: str) -> list[Node]:
     return [n for n in root.walk() if n.tag == tag]
 
 
-#: Containers of the body in the order they are tried, by words of class or id.
-BODY_WORDS = ("article-body", "article__body", "post-content", "entry-content", "article-content", "story-body", "main-content", "page-content", "content-body", "rich-text", "post-body", "article", "content", "body-text", "text-body")
+# Words of class or id of the body's container, in the order they are tried.
+BODY_WORDS = ("media-mention", "news-article", "story-body", "market-news", "analyst-action", "analyst-rating", "rating-detail", "action-detail", "transcript", "event-transcript", "conference-transcript", "webcast-transcript", "presentation", "event-body", "article-body", "content", "body")
 
 
 def main_text(markup: str | None) -> str:

@@ -38,16 +38,19 @@ def strip_tags(html: Column) -> Column:
     return collapse_ws(F.regexp_replace(html, "<[^>]+>", " "))
 
 
+# Marks of Markdown and what stands for them, in this order.
+MARKDOWN = [
+    (r"```[\s\S]*?```", " "), (r"`[^`]+`", " "), (r"!\[.*?\]\(.*?\)", " "), (r"\[([^\]]+)\]\([^)]+\)", "$1"),
+    (rf"#{{1,6}}[{WS}]+", " "), (r"[*_]{1,2}([^*_]+)[*_]{1,2}", "$1"),
+]
+
+
 def markdown_to_text(md: Column) -> Column:
-    """Plain text of Markdown: fences, code, images, links, headings, emphasis, blank lines, in this order."""
-    steps = [
-        (r"```[\s\S]*?```", ""), (r"`([^`]*)`", "$1"), (r"!\[([^\]]*)\]\([^)]*\)", ""), (r"\[([^\]]*)\]\([^)]*\)", "$1"),
-        (r"(?m)^#{1,6}\s+", ""), (r"(\*\*|__)(.*?)\1", "$2"), (r"(\*|_)(.*?)\1", "$2"), (r"\n{3,}", "\n\n"),
-    ]
+    """Plain text of Markdown: fences, code and images become a space, links and emphasis their text, headings lose their marks, white space collapses."""
     x = md
-    for pattern, new in steps:
+    for pattern, new in MARKDOWN:
         x = F.regexp_replace(x, pattern, new)
-    return trim_u(x)
+    return collapse_ws(x)
 
 
 def char_count(x: Column) -> Column:
@@ -86,6 +89,11 @@ def table_cell(x: Column, width: int = 60) -> Column:
     return F.when(F.length(t) > width, F.concat(F.substring(t, 1, width - 3), F.lit("..."))).otherwise(t)
 
 
+def content_hash(*parts: Column, n: int = 32) -> Column:
+    """Key of a record's content: SHA-256 over its parts joined by two bars, null as empty."""
+    return short_sha(F.concat_ws("||", *[F.coalesce(p, F.lit("")) for p in parts]), n)
+
+
 def json_from_text(x: Column) -> Column:
     """The JSON part of free text: fences go, then from the first bracket to the last of its kind; null without one."""
     t = trim_u(F.regexp_replace(x, r"(?m)^\s*```[a-zA-Z]*\s*$", ""))

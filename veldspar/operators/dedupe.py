@@ -14,11 +14,20 @@ ROUNDS, ON_DRIVER = 8, 100_000
 def mark_first(df: DataFrame, key: Column, order: list[str], flag: str = "is_first") -> DataFrame:
     """df with a flag: true on the first row of each key by order, and on every row without a key.
 
-    Rows without a key are ranked by their own value, so they form no group of their own.
+    The first of a key is found with partial aggregation and joined back by order and key, so a key of any number of rows
+    is never one task's; of rows that are equal in both one is the first. df is read twice: it should be a table or cheap.
     """
-    k = F.coalesce(F.concat(F.lit("k"), key.cast("string")), F.concat(F.lit("n"), F.concat_ws("|", *[F.col(c).cast("string") for c in order])))
-    rn = F.row_number().over(Window.partitionBy(k).orderBy(*order))
-    return df.withColumn(flag, key.isNull() | (rn == 1))
+    x = df.withColumn("_mk", key.cast("string")).select("*", *[F.col(c).alias(f"_mo{i}") for i, c in enumerate(order)])
+    place = [f"_mo{i}" for i in range(len(order))]
+    firsts = x.filter(F.col("_mk").isNotNull()).groupBy("_mk").agg(F.min(F.struct(*place)).alias("_m"))
+    firsts = firsts.select(F.col("_mk").alias("_fk"), *[F.col(f"_m.{c}").alias(f"_f{c}") for c in place], F.lit(True).alias("_hit"))
+    same = F.col("_mk") == F.col("_fk")
+    for c in place:
+        same = same & F.col(c).eqNullSafe(F.col(f"_f{c}"))
+    # Rows of one key part by their order values; only those that tie meet.
+    rn = F.row_number().over(Window.partitionBy("_mk", *place).orderBy(F.lit(1)))
+    x = x.join(firsts, same, "left").withColumn("_rn", F.when(F.col("_hit"), rn))
+    return x.select(*df.columns, (F.col("_mk").isNull() | F.coalesce(F.col("_rn") == 1, F.lit(False))).alias(flag))
 
 
 def first_wins(df: DataFrame, key: Column, order: list[str]) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import text as tx
 from ..functions import urls
 from ..operators import dedupe, filters, joins, state
-from ..runtime import table
+from ..runtime import materialize, table
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -38,7 +38,7 @@ def dedupe_source_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many unique, non-trivial documents each source contributes."""
     d = table(spark, sf_dir, "documents").select("doc_id", "source", tx.hash_text(F.col("text")).alias("k"), filters.quality_gate(F.col("text")).alias("ok"))
     # The window sees keys only; a document that fails the gate has none and stands alone.
-    x = dedupe.mark_first(d, F.when(F.col("ok"), F.col("k")), ["doc_id"])
+    x = dedupe.mark_first(materialize(d, "keys"), F.when(F.col("ok"), F.col("k")), ["doc_id"])
     return x.groupBy("source").agg(
         F.count(F.lit(1)).alias("docs"), F.count_if("ok").alias("passed"), F.count_if(F.col("ok") & F.col("is_first")).alias("unique_docs"), F.count_if(F.col("ok") & ~F.col("is_first")).alias("duplicates")
     )
@@ -106,7 +106,15 @@ def seen_anti_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r.select("ingest_seq", "signal_id")
 
 
-@query("seen_greedy")
+SEEN_GREEDY_SQL = """
+WITH RECURSIVE h AS (SELECT 'u' || url_hash AS k FROM seen_signal WHERE url_hash IS NOT NULL UNION SELECT 'c' || content_hash FROM seen_signal WHERE content_hash IS NOT NULL),
+r AS (SELECT row_number() OVER (ORDER BY ingest_seq) AS i, ingest_seq, signal_id, coalesce('u' || url_hash, 'u#' || ingest_seq) AS u, coalesce('c' || content_hash, 'c#' || ingest_seq) AS c FROM raw_signal WHERE batch_no > 0 AND coalesce('u' || url_hash, '') NOT IN (SELECT k FROM h) AND coalesce('c' || content_hash, '') NOT IN (SELECT k FROM h)),
+step AS (SELECT CAST(0 AS BIGINT) AS i, CAST([] AS VARCHAR[]) AS taken, CAST(NULL AS BIGINT) AS won UNION ALL
+ SELECT r.i, CASE WHEN list_contains(taken, r.u) OR list_contains(taken, r.c) THEN taken ELSE list_concat(taken, [r.u, r.c]) END, CASE WHEN list_contains(taken, r.u) OR list_contains(taken, r.c) THEN NULL ELSE r.ingest_seq END FROM step JOIN r ON r.i = step.i + 1)
+SELECT ingest_seq, signal_id FROM r WHERE ingest_seq IN (SELECT won FROM step)"""
+
+
+@query("seen_greedy", SEEN_GREEDY_SQL)
 def seen_greedy(spark: SparkSession, sf_dir: str) -> DataFrame:
     """New signals one after the other: none of their keys was seen before or came with an earlier new one."""
     r = table(spark, sf_dir, "raw_signal").filter("batch_no > 0").select("ingest_seq", "signal_id", "url_hash", "content_hash")
@@ -187,9 +195,10 @@ def group_join_drop_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return s.join(n, s.s_nationkey == n.n_nationkey).join(r, n.n_regionkey == r.r_regionkey).groupBy("r_name", "n_name").agg(F.count(F.lit(1)).alias("suppliers"))
 
 
-@query("set_difference_both", "SELECT c_custkey AS k, 'left' AS side FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders) UNION ALL SELECT DISTINCT o_custkey, 'right' FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer)")
+@query("set_difference_both", "SELECT DISTINCT url_hash AS k, 'left' AS side FROM raw_signal WHERE url_hash IS NOT NULL AND url_hash NOT IN (SELECT url_hash FROM seen_signal WHERE url_hash IS NOT NULL) UNION ALL SELECT DISTINCT url_hash, 'right' FROM seen_signal WHERE url_hash IS NOT NULL AND url_hash NOT IN (SELECT url_hash FROM raw_signal WHERE url_hash IS NOT NULL)")
 def set_difference_both(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return joins.differences(table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("k")), table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("k")), "k")
+    keys = lambda name: table(spark, sf_dir, name).select(F.col("url_hash").alias("k")).dropna()
+    return joins.differences(keys("raw_signal"), keys("seen_signal"), "k")
 
 
 @query(
