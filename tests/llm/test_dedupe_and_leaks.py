@@ -34,6 +34,15 @@ def test_gram_hashes_equal_for_equal_grams_only():
 PASSAGE = "The lender in Quilstad raised its forecast by 41.7 points on Monday. Two buyers of Velmor Freight told R. Oskban that chip demand would slow down. Copper stocks near Tovhaven grew for the third month in a row. The auditor of Brizan Mutual left after the holiday."
 
 
+@pytest.fixture(params=["broadcast index", "shuffled join", "join without filter"])
+def way(request, monkeypatch):
+    """Each way the fingerprints are joined must give the same."""
+    if request.param != "broadcast index":
+        monkeypatch.setattr(lk, "INDEX_BYTES", -1)
+    if request.param == "join without filter":
+        monkeypatch.setattr(lk, "FILTER_HASHES", 3)
+
+
 def leaks(spark, texts, items):
     """The items that each text leaks."""
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
@@ -42,7 +51,7 @@ def leaks(spark, texts, items):
     return [{r["item_id"] for r in got if r["doc_id"] == i} for i in range(len(texts))]
 
 
-def test_leaks_and_near_misses(spark):
+def test_leaks_and_near_misses(spark, way):
     s = lk.sentences(PASSAGE)
     assert len(s) == 4
     yes = ["Intro. " + PASSAGE + " Outro.", "x " + s[1] + s[2], "x " + s[1].upper() + " An extra sentence is put in between them here. " + s[2].replace("month", "mоnth"), s[1].replace("buyers", "also buyers") + s[2].replace("third", "fourth")]
@@ -51,7 +60,7 @@ def test_leaks_and_near_misses(spark):
     assert leaks(spark, yes + no, items) == [{1}] * len(yes) + [set()] * len(no)
 
 
-def test_leaked_items_table(spark):
+def test_leaked_items_table(spark, way):
     docs = spark.createDataFrame([(1, PASSAGE), (2, None), (3, ""), (4, "word " * 60_000 + PASSAGE), (1, PASSAGE)], "doc_id long, text string").withColumn("item_id", F.lit("clash"))
     items = spark.createDataFrame([(7, PASSAGE), (8, None), (9, ""), (7, PASSAGE)], "item_id long, passage string")
     got = sorted(tuple(r) for r in lk.leaked_items(docs.select("doc_id", "text"), "doc_id", "text", items, "item_id", "passage").collect())
@@ -61,19 +70,21 @@ def test_leaked_items_table(spark):
 
 
 @pytest.mark.parametrize("n", [1, 4, 50, 1000])
-def test_passages_that_many_items_share_leak_all_of_them(spark, monkeypatch, n):
+def test_passages_that_many_items_share_leak_all_of_them(spark, way, n):
     other = "A wholly different opening stands before it in this one of the suites. "
     data = [*[(i, PASSAGE) for i in range(n)], *[(n, PASSAGE)] * 5, *[(i, other + PASSAGE) for i in range(n + 1, n + 6)], (n + 6, lk.sentences(PASSAGE)[1])]
     texts = ["Intro. " + PASSAGE, "Nothing of it. " * 9]
     want = [set(range(n + 7)), set()]
     assert leaks(spark, texts, data) == want
-    if n == 50:
-        # Beyond the bound of the tasks' filter the join does all.
-        monkeypatch.setattr(lk, "FILTER_HASHES", 3)
-        assert leaks(spark, texts, data) == want
 
 
-def test_a_stock_phrase_of_many_items_is_no_leak(spark):
+def test_the_ways_agree_on_the_tables(spark, small, monkeypatch):
+    want = {tuple(r) for r in lk.p9_found(spark, small).collect()}
+    monkeypatch.setattr(lk, "INDEX_BYTES", -1)
+    assert {tuple(r) for r in lk.p9_found(spark, small).collect()} == want != set()
+
+
+def test_a_stock_phrase_of_many_items_is_no_leak(spark, way):
     stock = "Choose the one answer that fits the text above best. "
     items = [(i, stock + w + " grew for a third month in a row near the old harbour. " + w[::-1] + " fell again on the day after.") for i, w in enumerate(("Copperstocks", "Wheatprices", "Steelorders", "Chipdemand", "Shipfreights"))]
     assert leaks(spark, ["Intro words. " + stock + "And then something else that no test has ever said follows here.", "Intro words. " + items[2][1]], items) == [set(), {2}]
