@@ -5,7 +5,7 @@ from __future__ import annotations
 import html as entities
 import re
 from html.parser import HTMLParser
-from urllib.parse import urljoin
+from urllib.parse import urljoin, urlsplit
 
 import pandas as pd
 from pyspark.sql import functions as F
@@ -259,12 +259,97 @@ def rewrite_images(markdown: str | None, mapping: dict[str, str] | None) -> str
     return re.sub(r"(!\[[^\]]*\]\()([^)\s]+)(\))", lambda m: m[1] + mapping.get(m[2], m[2]) + m[3], markdown)
 
 
+def rewrite_html_images(markup: str | None, mapping: dict[str, str] | None) -> str | None:
+    """The same for src and data-src of img elements; a lazy address becomes the shown one."""
+    if not markup or not mapping:
+        return markup
+
+    def one(m: re.Match) -> str:
+        tag = m[0]
+        for name in ("data-src", "src"):
+            if (a := re.search(rf"(?<![\w-]){name}\s*=\s*([\"'])(.*?)\1", tag, re.I)) and a[2] in mapping:
+                plain = re.sub(r"\s(?:data-)?src\s*=\s*([\"']).*?\1", "", tag, flags=re.I)
+                return plain[:4] + f' src="{mapping[a[2]]}"' + plain[4:]
+        return tag
+
+    return re.sub(r"<img\b[^>]*>", one, markup, flags=re.I)
+
+
+#: What an item of a typed list page carries besides title, address, date, summary and author, by words of class.
+TYPED_FIELDS = {
+    "podcast": {"duration": ("duration",), "episode_id": ("episode-id", "episode-number")},
+    "conference": {"event_name": ("event-name",), "event_date": ("event-date",), "company": ("company",), "speaker": ("speaker",)},
+    "analyst": {"company": ("company",), "ticker": ("ticker",), "broker": ("broker",), "analyst": ("analyst",), "rating_from": ("rating-from",), "rating_to": ("rating-to",), "target_from": ("target-from",), "target_to": ("target-to",)},
+    "mention": {"outlet": ("media-outlet",), "analyst": ("analyst",)},
+}
+TYPED_CONTAINERS = ("article", "card", "item", "event", "episode", "story", "post", "action", "mention")
+
+
+def typed_items(markup: str | None, base: str | None, kind: str) -> list[dict]:
+    """Items of a podcast, conference, analyst or mention page: what list_items() gives, the fields of the kind, document_kind and the addresses of transcript, webcast and PDF.
+
+    A page of another kind gives no items. Each address counts once.
+    """
+    root = parse(markup)
+    out, seen, inside = [], set(), set()
+    for n in root.walk():
+        if id(n) in inside or not (n.tag == "article" or (n.tag in ("div", "li", "section", "tr") and any(n.has(w) for w in TYPED_CONTAINERS))):
+            continue
+        anchors = [a for a in find(n, "a") if a.attrs.get("href", "").strip()]
+        if not anchors or any(c is not n and c.tag == "article" for c in n.walk()):
+            continue
+        url = urljoin(base or "", anchors[0].attrs["href"].strip())
+        inside |= {id(c) for c in n.walk()}
+        if url in seen:
+            continue
+        seen.add(url)
+        pick = lambda *ws, n=n: next((" ".join(x.text().split()) for x in n.walk() if x is not n and any(x.has(w) for w in ws) and x.text()), None)
+        head = next((" ".join(h.text().split()) for tag in ("h1", "h2", "h3", "h4") for h in find(n, tag)), None)
+        time = next((t.attrs.get("datetime") or t.text() for t in find(n, "time")), None)
+        to = lambda *ws, anchors=anchors: next((urljoin(base or "", a.attrs["href"]) for a in anchors if any(w in (a.attrs["href"] + " " + a.text()).lower() for w in ws)), None)
+        text = n.text().lower()
+        what = next((k for k, ws in (("transcript", ("transcript",)), ("webcast", ("webcast",)), ("presentation", ("presentation", "slides"))) if any(w in text for w in ws)), "event")
+        item = {"title": head or " ".join(anchors[0].text().split()), "url": url, "published": time or pick("date", "time"), "summary": pick("summary", "excerpt", "desc"), "author": pick("author", "byline"), "document_kind": what, "transcript_url": to("transcript"), "webcast_url": to("webcast"), "pdf_url": to(".pdf")}
+        item["fields"] = {f: v for f, ws in TYPED_FIELDS[kind].items() if (v := pick(*ws))}
+        out.append(item)
+    return out
+
+
+TYPED = T.ArrayType(T.StructType([*(T.StructField(k, T.StringType()) for k in ("title", "url", "published", "summary", "author", "document_kind", "transcript_url", "webcast_url", "pdf_url")), T.StructField("fields", T.MapType(T.StringType(), T.StringType()))]))
+
+
+def typed_items_udf(kind: str):
+    """typed_items() of a kind as a column function of markup and base address."""
+
+    @F.pandas_udf(TYPED)
+    def run(markup: pd.Series, base: pd.Series) -> pd.Series:
+        return pd.Series([typed_items(m, b, kind) for m, b in zip(markup, base, strict=True)])
+
+    return run
+
+
 #: Path segments that lead to a site's own pages rather than to articles.
 NAV_SEGMENTS = frozenset("about contact login signin signup register privacy terms cookie cookies help faq careers jobs subscribe newsletter rss tag tags category categories author authors search sitemap".split())
 _DATE_NEAR = re.compile(r"\d{4}[-/.]\d{1,2}[-/.]\d{1,2}|\d{4}年\d{1,2}月\d{1,2}日|(?:Jan|Feb|Mar|Apr|May|Jun|Jul|Aug|Sep|Oct|Nov|Dec)[a-z]*\.? \d{1,2},? \d{4}|\d{1,2} (?:Jan|Feb|Mar|Apr|May|Jun|Jul|Aug|Sep|Oct|Nov|Dec)[a-z]*\.? \d{4}")
 _ANCHOR = re.compile(r"<a\b[^>]*?href\s*=\s*[\"']?([^\"'\s>]+)[^>]*>(.*?)</a\s*>", re.I | re.S)
 
 
+def investor_items(markup: str | None, base: str, hosts: tuple[str, ...], segments: tuple[str, ...], least: int = 15, after: int = 500) -> list[dict]:
+    """Anchors to allowed hosts and path segments with titles of `least` characters, and a date of the title, else of the address, else of the `after` characters behind."""
+    out, seen = [], set()
+    for m in _ANCHOR.finditer(markup or ""):
+        url = urljoin(base, entities.unescape(m[1]).strip())
+        title = " ".join(entities.unescape(re.sub(r"<[^>]+>", " ", m[2])).split())
+        host, path = urlsplit(url).hostname or "", urlsplit(url).path.lower().split("/")
+        if not any(host == h or host.endswith("." + h) for h in hosts) or not set(path) & set(segments) or set(path) & NAV_SEGMENTS or len(title) < least or url in seen:
+            continue
+        seen.add(url)
+        in_path = re.search(r"(20\d{2})[/-](\d{1,2})[/-](\d{1,2})", url)
+        near = _DATE_NEAR.search(title) or in_path or _DATE_NEAR.search(markup, m.end(), min(len(markup), m.end() + after))
+        out.append({"title": title[:200], "url": url, "published": near[0] if near else None})
+    return out
+
+
 def dated_anchors(markup: str | None, base: str | None = None, window: int = 100, limit: int | None = None) -> list[dict]:
     """Anchors with the first date in the markup so many characters around them.
 

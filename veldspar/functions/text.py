@@ -110,3 +110,16 @@ def snippet_around(text: Column, keywords: list[str], before: int = 40, after: i
         start = F.greatest(at - before, F.lit(1))
         out = F.when(at > 0, F.substring(text, start, at - start + len(k) + after)).otherwise(out)
     return out
+
+
+def checked_json(x: Column, schema: str, required: list[str]) -> Column:
+    """struct<value, error> of the JSON in free text: the value by its schema, or no_json, invalid_json or missing:field."""
+    found = json_from_text(x)
+    value = F.from_json(found, schema)
+    gone = F.concat(F.lit("missing:"), F.array_join(F.array_compact(F.array(*[F.when(value[f].isNull(), F.lit(f)) for f in required])), ","))
+    lacking = F.lit(False)
+    for f in required:
+        lacking = lacking | value[f].isNull()
+    valid = F.is_valid_utf8(found) & F.try_parse_json(found).isNotNull()
+    error = F.when(found.isNull(), "no_json").when(~valid, "invalid_json").when(lacking, gone)
+    return F.struct(F.when(error.isNull(), value).alias("value"), error.alias("error"))

@@ -139,3 +139,15 @@ def record_extension(explicit: Column, paths: list[Column], raw_json: Column, mi
 def request_key(fields: dict[str, object]) -> str:
     """SHA-256 of a request's fields as JSON with sorted keys: the exact key of a response cache."""
     return hashlib.sha256(json.dumps(fields, sort_keys=True).encode()).hexdigest()
+
+
+def image_name(url: Column, kind: Column | None = None) -> Column:
+    """The file name of a downloaded image: 16 digits of the address's hash and the extension of the address or, without one, of the media type; .jpg else."""
+    known = F.create_map(*[F.lit(v) for kv in {"image/png": ".png", "image/gif": ".gif", "image/webp": ".webp", "image/jpeg": ".jpg"}.items() for v in kv])
+    named = F.when(file_extension(url).isin(".jpg", ".jpeg", ".png", ".gif", ".webp"), file_extension(url))
+    return F.concat(short_sha(url), F.coalesce(named, known[kind] if kind is not None else F.lit(None), F.lit(".jpg")))
+
+
+def distinct_images(pages: Column) -> Column:
+    """array<string>: the addresses of an article's images, each once, in order; empty ones are left out."""
+    return F.array_distinct(F.filter(F.coalesce(pages, F.array().cast("array<string>")), lambda u: u != ""))

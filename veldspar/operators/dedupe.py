@@ -123,3 +123,12 @@ def seen_keys(df: DataFrame, **columns: str) -> DataFrame:
 def duplicates_by_host(df: DataFrame, key: str, hosts: Column) -> DataFrame:
     """(key, n, duplicates): how many of an array's entries repeat an earlier one."""
     return df.select(key, F.size(hosts).alias("n"), (F.size(hosts) - F.size(F.array_distinct(hosts))).alias("duplicates"))
+
+
+def known_files(files: DataFrame, source: str, content: Column, order: str, index: DataFrame | None = None) -> DataFrame:
+    """files with file_key (source::SHA-256 of the bytes) and is_duplicate: in the index (file_key) or earlier by order."""
+    x = mark_first(files.withColumn("file_key", F.concat_ws("::", source, F.sha2(content, 256))), F.col("file_key"), [order], "_first")
+    if index is None:
+        return x.withColumn("is_duplicate", ~F.col("_first")).drop("_first")
+    old = index.select(F.col("file_key").alias("_old")).distinct()
+    return x.join(old, F.col("file_key") == F.col("_old"), "left").withColumn("is_duplicate", ~F.col("_first") | F.col("_old").isNotNull()).drop("_first", "_old")

@@ -78,3 +78,40 @@ def orphans(child: DataFrame, column: str, parent: DataFrame, parent_key: str) -
 def prefix_limit(df: DataFrame, by: list[str], order: list[str], n: int) -> DataFrame:
     """The first n rows of each group; the limit is the feature."""
     return df.withColumn("_rn", F.row_number().over(Window.partitionBy(*by).orderBy(*order))).filter(F.col("_rn") <= n).drop("_rn")
+
+
+def keyword_hits(text: Column, keywords: list[str]) -> Column:
+    """array<string>: the keywords that occur in the text, letter case aside, in the order of the list; null has none."""
+    low = F.lower(F.coalesce(text, F.lit("")))
+    return F.filter(F.array(*map(F.lit, keywords)), lambda k: F.contains(low, F.lower(k)))
+
+
+def only_listed(df: DataFrame, key: str, allowed: DataFrame, allowed_key: str) -> DataFrame:
+    """Rows whose key is on a list; null keys are not. Repeats on the list repeat no row."""
+    return df.join(allowed.select(F.col(allowed_key).alias(key)).distinct(), key, "left_semi")
+
+
+def records_of_kind(df: DataFrame, column: str, kind: str, time: Column, prefix: str) -> DataFrame:
+    """Rows of a log of one kind whose time, as text, begins with the prefix."""
+    return df.filter((F.col(column) == kind) & F.coalesce(time.cast("string").startswith(prefix), F.lit(False)))
+
+
+def by_status(df: DataFrame, column: str, order: list[str], wanted: str | None = None) -> DataFrame:
+    """df with position: rows of a status, letter case aside, or of all, ranked by the fixed order of statuses; others come last (null and unknown: 99)."""
+    low = F.lower(F.col(column))
+    x = df.filter(low == wanted.lower()) if wanted else df
+    place = F.create_map(*[F.lit(v) for i, k in enumerate(order) for v in (k.lower(), i)])[low]
+    return x.withColumn("position", F.coalesce(place, F.lit(99)))
+
+
+def missing_references(df: DataFrame, key: str, references: str, known: DataFrame, known_key: str) -> DataFrame:
+    """(key, reference): what an array column names that the listing of known names lacks; empty and null names are none."""
+    x = df.select(key, F.explode(F.array_distinct(references)).alias("reference")).filter("reference <> ''")
+    return x.join(known.select(F.col(known_key).alias("reference")).distinct(), "reference", "left_anti").select(key, "reference")
+
+
+def prefix_then_distinct(df: DataFrame, by: list[str], order: list[str], n: int, key: str) -> DataFrame:
+    """The first n rows of each group and, of these, the first of each key in it: repeats use up the limit, which is the feature."""
+    x = prefix_limit(df, by, order, n)
+    rn = F.row_number().over(Window.partitionBy(*by, key).orderBy(*order))
+    return x.withColumn("_rn", rn).filter("_rn = 1").drop("_rn")

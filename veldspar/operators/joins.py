@@ -53,3 +53,37 @@ def first_available(requests: DataFrame, providers: DataFrame) -> DataFrame:
     chosen = F.when(F.col("provider").isNull(), F.col("_best")).otherwise(F.col("_p"))
     out = x.withColumn("chosen", chosen)
     return out.withColumn("error", F.when(F.col("chosen").isNull(), "no_provider")).drop("_p", "_best")
+
+
+def audited(inventory: DataFrame, audits: DataFrame, key: str, position: str, columns: dict[str, str], operational: DataFrame) -> DataFrame:
+    """inventory with is_operational, scope and the columns of each entry's last audit, by position.
+
+    Only operational entries have an audit; columns gives what stands in place of one that is missing.
+    """
+    last = latest_last_wins(audits, [key], position).select(F.col(key).alias("_k"), *[F.col(c).alias(f"_a_{c}") for c in columns])
+    ops = operational.select(F.col(key).alias("_o")).distinct()
+    x = inventory.join(ops, inventory[key] == F.col("_o"), "left").join(last, (inventory[key] == F.col("_k")) & F.col("_o").isNotNull(), "left")
+    values = [F.coalesce(F.col(f"_a_{c}"), F.lit(v)).alias(c) for c, v in columns.items()]
+    scope = F.when(F.col("_o").isNull(), "inventory").when(F.col("_k").isNull(), "pending").otherwise("deep")
+    return x.select(*[F.col(c) for c in inventory.columns], F.col("_o").isNotNull().alias("is_operational"), scope.alias("scope"), *values)
+
+
+def bound_records(bindings: DataFrame, records: DataFrame, record: str) -> DataFrame:
+    """(capability_id, record, binds_all): the records of each binding (capability_id, file_extensions, source_types, source_ids: arrays).
+
+    Extensions bind strictly: none that fits means no record. Else types narrow all records, and ids what is left, but each
+    only where it leaves any. A binding that is narrowed by neither has all records: it has one row with a null
+    record and binds_all, so pairs with every record are never made. records: (record, extension, source_type, source_id).
+    """
+    b = bindings.select("capability_id", *[F.coalesce(c, F.array().cast("array<string>")).alias(c) for c in ("file_extensions", "source_types", "source_ids")])
+    hard, soft = b.filter(F.size("file_extensions") > 0), b.filter(F.size("file_extensions") == 0)
+    by_extension = hard.select("capability_id", F.explode("file_extensions").alias("extension")).join(records, "extension").select("capability_id", record).distinct()
+    typed = soft.select("capability_id", F.explode("source_types").alias("source_type")).join(records, "source_type").select("capability_id", record, "source_id").distinct()
+    plain = soft.select("capability_id").join(typed.select("capability_id").distinct(), "capability_id", "left_anti")
+    ids = soft.select("capability_id", F.explode("source_ids").alias("source_id")).distinct()
+    narrowed = typed.join(ids, ["capability_id", "source_id"], "left_semi").select("capability_id", record)
+    wide = typed.select("capability_id", record).join(narrowed.select("capability_id").distinct(), "capability_id", "left_anti").distinct()
+    by_id = plain.join(ids, "capability_id").join(records.select(record, "source_id"), "source_id").select("capability_id", record).distinct()
+    every = plain.join(by_id.select("capability_id").distinct(), "capability_id", "left_anti").select("capability_id", F.lit(None).cast(dict(records.dtypes)[record]).alias(record))
+    some = by_extension.unionByName(narrowed.distinct()).unionByName(wide).unionByName(by_id).withColumn("binds_all", F.lit(False))
+    return some.unionByName(every.withColumn("binds_all", F.lit(True)))

@@ -94,3 +94,54 @@ def day_rollup(df: DataFrame, keys: list[str], day: Column, measures: dict[str,
     """One row per key and day: the greatest of each measure, whether any row has each flag, and the number of rows."""
     aggs = [F.max(c).alias(n) for n, c in measures.items()] + [F.coalesce(F.bool_or(c), F.lit(False)).alias(n) for n, c in flags.items()]
     return df.groupBy(*keys, day.alias("day")).agg(F.count(F.lit(1)).alias("runs"), *aggs)
+
+
+def zero_filled(groups: DataFrame, key: str, df: DataFrame, counts: dict[str, Column]) -> DataFrame:
+    """(key, counts): conditional counts for every configured group, with zeros for those without a row."""
+    n = df.groupBy(F.col(key).alias("_k")).agg(*[F.count_if(c).alias(name) for name, c in counts.items()])
+    g = groups.select(key).distinct()
+    return g.join(n, F.col(key) == F.col("_k"), "left").select(key, *[F.coalesce(name, F.lit(0)).cast("long").alias(name) for name in counts])
+
+
+def average(df: DataFrame, value: Column, name: str = "average") -> DataFrame:
+    """One row: the mean, 0.0 for no rows; nulls don't count."""
+    return df.agg(F.coalesce(F.avg(value), F.lit(0.0)).alias(name))
+
+
+def latest_overall(df: DataFrame, field: str, position: str) -> DataFrame:
+    """The one row of the greatest field as text, null as empty; of equal ones the first by position."""
+    return df.orderBy(F.coalesce(F.col(field).cast("string"), F.lit("")).desc(), F.col(position).asc()).limit(1)
+
+
+def last_rows_summary(df: DataFrame, position: str, status: str, values: list[str], key: str, n: int = 8) -> DataFrame:
+    """One row: how many of the last n rows have each status, the number of distinct keys of all rows, and the last position."""
+    last = df.orderBy(F.col(position).desc()).limit(n).agg(*[F.count_if(F.col(status) == v).alias(f"{v}_count") for v in values])
+    whole = df.agg(F.count_distinct(key).alias("keys"), F.max(position).alias("last_position"))
+    return last.join(whole, F.lit(True))
+
+
+def yield_metrics(fetched: DataFrame, key: str, unique: Column, extracted: Column) -> DataFrame:
+    """(key, total_fetched, total_after_dedupe, total_extracted, yield_rate, status) by source: failed with nothing extracted, partial with less than was unique."""
+    x = fetched.groupBy(key).agg(F.count(F.lit(1)).alias("total_fetched"), F.count_if(unique).alias("total_after_dedupe"), F.count_if(unique & extracted).alias("total_extracted"))
+    rate = F.round(F.col("total_extracted") / F.col("total_fetched"), 6)
+    status = F.when(F.col("total_extracted") == 0, "failed").when(F.col("total_extracted") < F.col("total_after_dedupe"), "partial").otherwise("success")
+    return x.withColumn("yield_rate", rate).withColumn("status", status)
+
+
+def provider_summary(providers: DataFrame) -> DataFrame:
+    """One row of (name, priority, available): how many there are, are available and are missing, and the available one of the lowest priority."""
+    return providers.agg(F.count(F.lit(1)).alias("total"), F.count_if("available").alias("available"), F.count_if(~F.col("available")).alias("missing"), F.min_by(F.when(F.col("available"), F.col("name")), F.when(F.col("available"), F.col("priority"))).alias("preferred"))
+
+
+def state_rollup(df: DataFrame, state: str, values: list[str], flags: dict[str, Column], used: Column) -> DataFrame:
+    """One row: total, count and percent (one decimal) of each state, count of each flag, used and unused."""
+    total = F.count(F.lit(1))
+    counts = [c for v in values for n in [F.count_if(F.col(state) == v)] for c in (n.alias(f"{v}_count"), F.when(total > 0, F.round(n / total * 100, 1)).otherwise(0.0).alias(f"{v}_pct"))]
+    return df.agg(total.alias("total"), *counts, *[F.count_if(c).alias(f"{name}_count") for name, c in flags.items()], F.count_if(used).alias("used_count"), F.count_if(~used).alias("unused_count"))
+
+
+def day_report(log: DataFrame, time: Column, status: str, queue: DataFrame, queue_time: Column, day: str, missing: str = "saved") -> DataFrame:
+    """(status, n) of the log's rows of one day, a missing status counting as `missing`, and of the queue's rows of the day as 'queued'."""
+    on = lambda t: F.substring(t.cast("string"), 1, 10) == day
+    rows = log.filter(on(time)).groupBy(F.coalesce(F.nullif(F.col(status), F.lit("")), F.lit(missing)).alias("status")).agg(F.count(F.lit(1)).alias("n"))
+    return rows.unionByName(queue.filter(on(queue_time)).agg(F.lit("queued").alias("status"), F.count(F.lit(1)).alias("n")))

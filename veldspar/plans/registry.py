@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from ..operators import timestamps
-from . import dedupe_queries, rollup_queries, scalar_queries
+from . import dedupe_queries, report_queries, rollup_queries, scalar_queries
 
-QUERIES = {**dedupe_queries.QUERIES, **rollup_queries.QUERIES, **scalar_queries.QUERIES, "p4_found": timestamps.p4_found, "p4_normalized": timestamps.p4_normalized}
+_MODULES = (dedupe_queries, rollup_queries, scalar_queries, report_queries)
 
-SQL: dict[str, str] = {**dedupe_queries.SQL, **rollup_queries.SQL, **scalar_queries.SQL}
+QUERIES = {name: f for m in _MODULES for name, f in m.QUERIES.items()} | {"p4_found": timestamps.p4_found, "p4_normalized": timestamps.p4_normalized}
+
+SQL: dict[str, str] = {name: text for m in _MODULES for name, text in m.SQL.items()}

@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 import os
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -53,21 +53,21 @@ def read_csv(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_url_list(spark: SparkSession, path: str) -> DataFrame:
-    """(url, pos): trimmed lines without comments and blanks, each address once, at its first line."""
-    lines = spark.read.text(path, wholetext=True).select(F.posexplode(F.split("value", "\n")).alias("pos", "line"))
-    x = lines.select("pos", trim_u(F.col("line")).alias("url")).filter("url <> '' and not startswith(url, '#')")
-    return x.groupBy("url").agg(F.min("pos").alias("pos"))
+    """(url, pos): trimmed lines without comments and blanks, each address once, at its first line; pos rises with the lines."""
+    # Blocks of a file are read by many tasks; an id rises along the file, so it orders the lines.
+    lines = spark.read.text(path).select(F.monotonically_increasing_id().alias("pos"), trim_u(F.col("value")).alias("url"))
+    return lines.filter("url <> '' and not startswith(url, '#')").groupBy("url").agg(F.min("pos").alias("pos"))
 
 
 def read_config(spark: SparkSession, path: str, key: str) -> DataFrame:
     """The list under a key of a small JSON or YAML file as a table; configuration is read on the driver."""
-    with open(path, encoding="utf-8") as f:
-        if path.endswith((".yaml", ".yml")):
-            import yaml
+    text = "\n".join(r[0] for r in spark.read.text(path, wholetext=True).collect())
+    if path.endswith((".yaml", ".yml")):
+        import yaml
 
-            data = yaml.safe_load(f)
-        else:
-            data = json.load(f)
+        data = yaml.safe_load(text)
+    else:
+        data = json.loads(text) if text.strip() else None
     rows = (data or {}).get(key) or []
     return spark.createDataFrame([json.dumps(r) for r in rows], "string").select(F.from_json("value", F.schema_of_json(F.lit(json.dumps(rows[0])))).alias("r")).select("r.*") if rows else spark.createDataFrame([], T.StructType([]))
 
@@ -93,9 +93,7 @@ def scan_documents(spark: SparkSession, path: str, glob: str = "*", max_document
     name = F.regexp_extract("path", r"([^/]+)$", 1)
     x = x.select("path", F.regexp_replace(name, r"\.[^.]+$", "").alias("stem"), file_extension(F.col("path")).alias("extension"), F.col("length").alias("size"), F.col("modificationTime").alias("modified"), F.sha2("content", 256).alias("sha256"), "content")
     x = x.withColumn("media_type", media_type(F.col("extension")))
-    if max_documents:
-        x = x.withColumn("_n", F.row_number().over(Window.orderBy("path"))).filter(F.col("_n") <= max_documents).drop("_n")
-    return x
+    return x.orderBy("path").limit(max_documents) if max_documents else x
 
 
 def latest_file(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
@@ -111,3 +109,30 @@ def signals_of_urls(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     some = lambda *c: F.coalesce(*[F.nullif(trim_u(F.col(n)), F.lit("")) for n in c])
     x = rows.withColumn("problem", url_problem_udf("url")).withColumn("raw_text", some("text", "notes", "url"))
     return x.filter("problem is null").drop("problem"), x.filter("problem is not null").select("url", "problem")
+
+
+def line_counts(spark: SparkSession, path: str) -> DataFrame:
+    """(path, lines): the non-blank lines of each file; a file without any has none and no row."""
+    return spark.read.text(path).select(F.input_file_name().alias("path"), "value").filter(trim_u(F.col("value")) != "").groupBy("path").agg(F.count(F.lit(1)).alias("lines"))
+
+
+def missing_files(spark: SparkSession, wanted: DataFrame, path: str, root: str) -> DataFrame:
+    """Rows of wanted whose path, relative to the root, names no file below it."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(root)
+    base = folder.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(folder).toString().rstrip("/")
+    there = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).select(F.regexp_replace("path", "^[a-z0-9]+:/+", "/").alias("_p"))
+    plain = F.regexp_replace(F.lit(base), "^[a-z0-9]+:/+", "/")
+    return wanted.withColumn("_w", F.concat(plain, F.lit("/"), F.col(path))).join(there, F.col("_w") == F.col("_p"), "left_anti").drop("_w")
+
+
+def archive_candidates(log: DataFrame, max_items: int | None = None) -> DataFrame:
+    """Candidates (source_id, pos, title, url, published_at, author, summary, content_hash) of an article log (article_id, source, title, url, canonical_url, captured_at, pos).
+
+    Rows without an address go; the first max_items valid ones of each source stay, the limit being the feature.
+    """
+    from ..operators.filters import prefix_limit
+
+    some = lambda *c: F.coalesce(*[F.nullif(F.trim(F.col(n)), F.lit("")) for n in c if n in log.columns], F.lit(None).cast("string"))
+    x = log.select(F.col("source").alias("source_id"), "pos", some("title").alias("title"), some("canonical_url", "url").alias("url"), some("published_at", "captured_at").alias("published_at"), some("author", "account_name").alias("author"), some("digest").alias("summary"), some("content_hash").alias("content_hash"))
+    x = x.filter("url is not null")
+    return prefix_limit(x, ["source_id"], ["pos"], max_items) if max_items else x

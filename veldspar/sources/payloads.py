@@ -6,7 +6,7 @@ import re
 import xml.etree.ElementTree as ET
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,9 +14,10 @@ from ..functions.collections import json_first
 from ..functions.dates import epoch_or_date
 from ..functions.html import table_udf
 from ..functions.text import strip_tags
-from ..functions.urls import domain
+from ..functions.urls import domain, is_example_domain, url_hash
+from ..operators.dedupe import first_wins
 
-ENTRY = T.StructType([T.StructField(n, T.StringType()) for n in ("title", "link", "summary", "published", "author", "guid", "enclosure")])
+ENTRY = T.StructType([T.StructField(n, T.StringType()) for n in ("title", "link", "summary", "published", "author", "guid", "enclosure", "transcript", "duration")])
 FEED = T.StructType([T.StructField("entries", T.ArrayType(ENTRY)), T.StructField("error", T.StringType())])
 _NS = re.compile(r"^\{[^}]*\}")
 
@@ -38,6 +39,8 @@ def parse_feed(body: str | None) -> dict:
                 tag, text = _NS.sub("", c.tag), " ".join("".join(c.itertext()).split()) or None
                 if tag == "link":
                     href = c.attrib.get("href") or text
+                    if href and c.attrib.get("type", "").startswith("text/") and not got["transcript"]:
+                        got["transcript"] = href
                     if href and (not got["link"] or c.attrib.get("rel", "alternate") == "alternate"):
                         got["link"] = href
                 elif tag == "enclosure":
@@ -46,6 +49,7 @@ def parse_feed(body: str | None) -> dict:
                     name = {"description": "summary", "content": "summary", "pubDate": "published", "updated": "published", "creator": "author", "id": "guid"}.get(tag, tag)
                     if name in got and not got[name]:
                         got[name] = text
+            got["transcript"] = got["transcript"] or got["link"]
             entries.append(got)
             e.clear()
 
@@ -144,3 +148,37 @@ def story_signals(df: DataFrame, body: str) -> DataFrame:
     x = df.select(F.explode(F.from_json(F.get_json_object(body, "$.hits"), item)).alias("h"))
     some = lambda *c: F.coalesce(*[F.nullif(F.col(f"h.{n}"), F.lit("")) for n in c])
     return x.select(F.col("h.objectID").alias("id"), "h.title", F.coalesce(some("url"), F.concat(F.lit("item:"), F.col("h.objectID"))).alias("url"), some("story_text", "comment_text", "title").alias("raw_text"), F.col("h.created_at").alias("published_at"), "h.author")
+
+
+def normalised_results(results: DataFrame) -> DataFrame:
+    """Search results (rank, url, ...) with domain and result_id: documentation domains go, each address stays at its first rank, ranks stay as they were."""
+    x = results.withColumn("domain", domain(F.col("url"))).withColumn("result_id", url_hash(F.col("url")))
+    return first_wins(x.filter(~is_example_domain(F.col("domain"))), F.col("result_id"), ["rank"])
+
+
+# Words of a column's head by the field it names, in the order that decides.
+HEADS = [("date", "date|time"), ("company", "company"), ("ticker", "ticker|symbol"), ("broker", "broker|firm"), ("analyst", "analyst"), ("action", "action"), ("rating", "rating"), ("price_target", "target|price"), ("url", "url|link|detail"), ("title", "title|headline")]
+TABLE_FIELDS = ["date", "company", "ticker", "broker", "analyst", "action", "rating", "rating_from", "rating_to", "price_target", "price_target_from", "price_target_to", "url", "title"]
+
+
+def head_field(head: Column) -> Column:
+    """The field that a column's head names; ratings and targets part into from and to."""
+    low = F.lower(F.trim(head))
+    out = F.lit(None).cast("string")
+    for name, words in reversed(HEADS):
+        value = F.lit(name)
+        if name in ("rating", "price_target"):
+            value = F.when(low.contains("from"), f"{name}_from").when(low.contains("to"), f"{name}_to").otherwise(name)
+        out = F.when(low.rlike(words), value).otherwise(out)
+    return out
+
+
+def named_table_rows(df: DataFrame, keys: list[str], body: str) -> DataFrame:
+    """(keys, table, row, TABLE_FIELDS, href): rows of every table by the names of its first header row; empty cells and unknown heads give nulls."""
+    x = df.select(*keys, F.explode(table_udf(body)).alias("t")).select(*keys, "t.*")
+    heads = x.filter("header").groupBy(*keys, "table").agg(F.min_by("cells", "row").alias("heads"))
+    heads = heads.select(*keys, "table", F.transform("heads", head_field).alias("heads"))
+    rows = x.filter("not header").join(heads, [*keys, "table"])
+    # Of two columns of one name the last counts.
+    cell = lambda name: F.nullif(F.try_element_at("cells", F.greatest(F.size("heads") - F.array_position(F.reverse("heads"), name) + 1, F.lit(1)).cast("int")), F.lit(""))
+    return rows.select(*keys, "table", "row", *[F.when(F.array_contains("heads", n), cell(n)).alias(n) for n in TABLE_FIELDS], "href")
