@@ -46,3 +46,18 @@ def test_extra_columns_and_repeats_stay(spark):
     df = spark.createDataFrame([("be", "2024-01-01", 1, "c"), ("be", "2024-01-01", 1, "c")], "source string, value string, offset int, letters string")
     out = ts.normalize_timestamps(df, src)
     assert out.columns == ["source", "value", "offset", "letters", "canonical", "reason"] and out.count() == 2
+
+
+def test_years_beyond_the_joined_intervals(spark):
+    src = spark.createDataFrame([*SOURCES, *((f"z{i}", f"No/Zone{i}", "dmy") for i in range(3000))], "source string, zone string, date_order string")
+    cases = [
+        ("be", "14 May 1920", "1920-05-14"), ("be", "2150-02-03", "2150-02-03"), ("be", "1920-05-14 12:00", "1920-05-14T11:00:00Z"), ("ny", "2150-07-01 12:00", "2150-07-01T16:00:00Z"), ("be", "2150-01-01 12:00 CET", "2150-01-01T11:00:00Z"),
+        ("ny", "2024-07-01 12:00", "2024-07-01T16:00:00Z"), ("z7", "2150-01-01 12:00", None), ("z7", "2024-01-01 12:00", None), ("no", "1920-01-01 12:00", None), ("be", "0000-01-01", None),
+    ]
+    df = spark.createDataFrame([(i, s, v) for i, (s, v, _) in enumerate(cases)], "i int, source string, value string")
+    got = {r["i"]: r["canonical"] for r in ts.normalize_timestamps(df, src).collect()}
+    assert [got[i] for i in range(len(cases))] == [c[2] for c in cases]
+    zone, clock = "Europe/Berlin", datetime(2150, 3, 29, 2, 30)
+    while ts.far_instant(zone, int((clock - datetime(1970, 1, 1)).total_seconds()), None)[0] != "nonexistent":
+        clock += timedelta(days=1)
+        assert clock.year == 2150 and clock.month < 5

@@ -11,15 +11,16 @@ import datetime as dt
 import functools
 import re
 import unicodedata
-from zoneinfo import ZoneInfo
+from zoneinfo import ZoneInfo, available_timezones
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..runtime import bounded_broadcast, first_rows, table
+from ..runtime import bounded_broadcast, first_rows, ship_package, table
 
+#: Years whose zone intervals are exploded and joined; local times beyond are settled as they are parsed.
 FIRST_YEAR, LAST_YEAR = 1950, 2100
 
 # Month names and their usual short forms by language.
@@ -113,8 +114,6 @@ def parse_timestamp(value: str | None, date_order: str | None) -> tuple[str | No
             y += 2000 if y < 70 else 1900 if y < 100 else 0
         else:
             return nothing
-        if not FIRST_YEAR < y < LAST_YEAR:
-            return nothing
         at = dt.datetime(y, mo, d)
         if g.get("H") is None:
             return ("day", int((at - _EPOCH).total_seconds()), None, y)
@@ -147,9 +146,30 @@ def parse_timestamp(value: str | None, date_order: str | None) -> tuple[str | No
         return nothing
 
 
+def far_instant(zone: str | None, secs: int, letters: str | None) -> tuple[str, int | None]:
+    """('instant', seconds) of a local time of any year, or why it has none: ambiguous, nonexistent or local (no such zone or letters)."""
+    try:
+        tz = ZoneInfo(zone or "")
+        clock = _EPOCH + dt.timedelta(seconds=secs)
+        found = set()
+        for fold in (0, 1):
+            at = clock.replace(tzinfo=tz, fold=fold)
+            utc = (clock - at.utcoffset()).replace(tzinfo=dt.timezone.utc)
+            if utc.astimezone(tz).replace(tzinfo=None) == clock and letters in (None, (at.tzname() or "").upper()):
+                found.add(int(at.utcoffset().total_seconds()))
+    except Exception:
+        return ("local", secs)
+    if len(found) == 1:
+        return ("instant", secs - found.pop())
+    return ("local", secs) if letters else ("ambiguous" if found else "nonexistent", None)
+
+
 @F.pandas_udf(PARSED)
-def _parse(value: pd.Series, date_order: pd.Series) -> pd.DataFrame:
-    rows = [parse_timestamp(v if isinstance(v, str) else None, o) for v, o in zip(value, date_order)]
+def _parse(value: pd.Series, date_order: pd.Series, zone: pd.Series) -> pd.DataFrame:
+    rows = [parse_timestamp(v if isinstance(v, str) else None, o) for v, o in zip(value, date_order, strict=True)]
+    for i, (kind, secs, letters, year) in enumerate(rows):
+        if kind == "local" and not FIRST_YEAR < year < LAST_YEAR:
+            rows[i] = (*far_instant(zone.iloc[i], secs, letters), letters, year)
     out = pd.DataFrame(rows, columns=[f.name for f in PARSED])
     return out.astype({"secs": "Int64", "year": "Int32"})
 
@@ -197,8 +217,8 @@ def offset_table(spark: SparkSession, zones: list[str]) -> DataFrame:
 
 
 def _named_zones(zones: DataFrame) -> list[str]:
-    """The distinct zone names of the sources; IANA has some 600, so more than that are unknown names."""
-    return [r[0] for r in zones.select("zone").filter("zone is not null").distinct().limit(2000).collect()]
+    """The distinct names of zones of the sources that there are: some 600 at most, however many others are named."""
+    return [r[0] for r in zones.select("zone").filter(F.col("zone").isin(*available_timezones())).distinct().collect()]
 
 
 def normalize_timestamps(records: DataFrame, sources: DataFrame) -> DataFrame:
@@ -210,9 +230,10 @@ def normalize_timestamps(records: DataFrame, sources: DataFrame) -> DataFrame:
     A source that is missing from sources has no zone and no date order.
     """
     spark = records.sparkSession
+    ship_package(spark)
     src = bounded_broadcast(sources.select(F.col("source").alias("_src"), F.col("zone").alias("_zone"), F.col("date_order").alias("_order")).dropDuplicates(["_src"]))
     zones = offset_table(spark, _named_zones(sources))
-    x = records.join(src, records["source"] == F.col("_src"), "left").withColumn("_p", _parse("value", "_order"))
+    x = records.join(src, records["source"] == F.col("_src"), "left").withColumn("_p", _parse("value", "_order", "_zone"))
     x = x.select("*", *[F.col(f"_p.{f.name}").alias(f"_{f.name}") for f in PARSED]).drop("_p", "_src", "_order")
     # The interval table has zones x years rows with one list of intervals each: the join keeps one row per record.
     grouped = zones.groupBy(F.col("zone").alias("z_zone"), F.col("year").alias("z_year")).agg(
@@ -233,6 +254,7 @@ def normalize_timestamps(records: DataFrame, sources: DataFrame) -> DataFrame:
     utc = F.when(F.col("_kind") == "instant", F.col("_secs")).when(local, F.col("_secs") - offset)
     reason = (
         F.when(F.col("_kind").isNull(), "unreadable")
+        .when(F.col("_kind").isin("ambiguous", "nonexistent"), F.col("_kind"))
         .when(F.col("_kind").isin("instant", "day"), "ok")
         .when(offset.isNotNull(), "ok")
         .when(F.col("_zone").isNull() | F.col("_iv").isNull() | F.col("_letters").isNotNull(), "no_zone")
