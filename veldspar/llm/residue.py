@@ -136,6 +136,10 @@ SLOT = re.compile(
 #: Program values that are also words: residue where they interrupt a sentence of another kind.
 VALUE = re.compile(r"(?<![\w-])undefined(?![\w-])|(?<![\w-])null(?![\w-])|\bnil\b|\(null\)")
 _RUN = re.compile(r"(?:\b([xX])\1{2,}\b[\s.,]*){3,}|(?:\b(?:asdf|qwerty|blah|test)\b[\s.,]*){3,}", re.I)
+#: What each of these patterns needs to be in a text: looked for before the pattern is.
+_SLOT_SIGNS = ("{", "<%", "<?", "%%", "[%", "[[", "*|", "@@", "__", "[object", "NaN", "%(")
+_RUN_SIGNS = ("xxx", "asdf", "qwerty", "blah", "test")
+_VALUE_SIGNS = ("undefined", "null", "nil")
 _NOISE = re.compile(r"\bhttp/[\d.]+|https?://\S+|\S+\.(?:example|com|org|net|html?|php|py|js)\b\S*|/\S+|#?\b(?=\w*\d)\w+\b|\[[0-9a-f]+\]")
 _TOKEN = re.compile("[\u3040-ヿ㐀-鿿]+|[^\\W\\d_\u3040-ヿ㐀-鿿]+(?:['’][^\\W\\d_\u3040-ヿ㐀-鿿]+)?")
 _WIDE = re.compile("[\u3040-ヿ㐀-鿿]")
@@ -143,6 +147,19 @@ _WINDOW = re.compile(r"(?<=[.!?…])\s+|(?<=[。！？])|\n+|\s[-–|]\s|:\s")
 _HEX = re.compile(r"\b[0-9a-f]{6,}\b")
 
 
+def holds_slot(text: str) -> bool:
+    """Whether the text has an unfilled slot, a raw value or a run of filler."""
+    if any(x in text for x in _SLOT_SIGNS) and SLOT.search(text):
+        return True
+    low = text.lower()
+    return any(x in low for x in _RUN_SIGNS) and _RUN.search(text) is not None
+
+
+def holds_value(text: str) -> bool:
+    """Whether a program's value stands where a word should, and isn't used as one."""
+    return any(x in text for x in _VALUE_SIGNS) and VALUE.search(text) is not None and not _USED.search(text)
+
+
 def _clean(text: str) -> str:
     """text in lower case without numbers, codes and addresses."""
     return _NOISE.sub(" ", _HEX.sub(" ", text.lower()))
@@ -224,7 +241,7 @@ class ExemplarIndex:
             if len(self._asides) > 100_000:
                 self._asides.clear()
             plain = re.sub(re.escape(name), "\n", line, flags=re.I) if name and len(name) > 2 else line
-            got = self._asides[line, name] = (self._hits(plain), bool(SLOT.search(line) or _RUN.search(line)))
+            got = self._asides[line, name] = (self._hits(plain), holds_slot(line))
         return got
 
     def is_residue(self, text: str | None, name: str | None = None, aside: str | None = None) -> bool:
@@ -236,7 +253,7 @@ class ExemplarIndex:
         text, aside = text or "", aside or ""
         if not text.strip() and not aside.strip():
             return False
-        if SLOT.search(text) or _RUN.search(text):
+        if holds_slot(text):
             return True
         hit = 0
         for line in aside.split("\n"):
@@ -258,7 +275,7 @@ class ExemplarIndex:
                 break
         if hit and hit >= COVERAGE * whole:
             return True
-        return any(VALUE.search(x) and not _USED.search(x) for x in (text, aside))
+        return any(map(holds_value, (text, aside)))
 
 
 #: The same words used as words.
