@@ -68,7 +68,13 @@ def url_hash_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedupe.first_wins(c, F.col("url_hash"), ["ingest_seq"])
 
 
-@query("url_without_tracking")
+#: Parameters in order of name, those of one name as they came, without values that are empty; plain ones need no decoding.
+UNTRACKED = r"""SELECT ingest_seq, item_id, source, title, base || CASE WHEN len(ps) > 0 THEN '?' || array_to_string(list_transform(list_sort(list_transform(range(1, len(ps) + 1), lambda i: {'k': string_split(ps[i], '=')[1], 'i': i, 'p': ps[i]})), lambda x: x.p), '&') ELSE '' END AS url
+FROM (SELECT ingest_seq, item_id, source, title, regexp_replace(HEAD, '\?.*$', '') AS base, list_filter(string_split(regexp_extract(HEAD, '\?(.*)$', 1), '&'), lambda p: regexp_matches(p, '=.') AND NOT list_contains(['utm_source', 'utm_medium', 'utm_campaign', 'utm_term', 'utm_content', 'fbclid', 'gclid', 'gbraid', 'wbraid', 'ref', 'ref_src', 'spm', 'from', 'scenes', 'clicktime', 'enterid', 'forceh5'], lower(string_split(p, '=')[1]))) AS ps
+FROM (SELECT *, regexp_replace(trim(url), '#.*$', '') AS u FROM candidate_item))""".replace("HEAD", f"regexp_replace(lower({HEAD}) || substring(u, length({HEAD}) + 1), '/+$', '')")
+
+
+@query("url_without_tracking", f"SELECT ingest_seq, url, CASE WHEN NOT regexp_matches(url, '^https?://') THEN 'scheme' END AS problem FROM ({UNTRACKED})")
 def url_without_tracking(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "candidate_item").select("ingest_seq", urls.url_without_tracking("url").alias("url"), urls.url_problem_udf("url").alias("problem"))
 
@@ -224,7 +230,24 @@ def metadata_coalesce(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joins.coalesce_join(c, p, "url", ["title"]).select("candidate_key", "title")
 
 
-@query("archive_run_health")
+#: The run as a loop over the candidates in order: what an accepted one marks is taken for those that follow.
+ARCHIVE_SQL = f"""
+WITH RECURSIVE c AS (SELECT ingest_seq AS pos, source, title, published, substring(sha256(regexp_replace(url, '/+$', '')), 1, 16) AS uh, {TITLE_KEY} AS th FROM ({UNTRACKED}) JOIN (SELECT ingest_seq, published FROM candidate_item) USING (ingest_seq)),
+a AS (SELECT url_hash, arg_min(status, (-epoch_us(last_seen_at), status)) AS s1 FROM seen_documents WHERE url_hash IS NOT NULL GROUP BY 1),
+b AS (SELECT title_hash, arg_min(status, (-epoch_us(last_seen_at), status)) AS s2 FROM seen_documents WHERE title_hash IS NOT NULL GROUP BY 1),
+k AS (SELECT DISTINCT url_hash, title_hash FROM seen_documents WHERE url_hash IS NOT NULL),
+p AS (SELECT uh, arg_min(text, (-length(text), text)) AS text, arg_min(title, (-length(text), text)) AS title, arg_min(error, (-length(text), text)) AS error FROM (SELECT substring(sha256(regexp_replace(PURL, '/+$', '')), 1, 16) AS uh, text, title, array_to_string(errors, ';') AS error FROM extracted_page) GROUP BY 1),
+x AS (SELECT row_number() OVER (ORDER BY pos) AS i, pos, c.source, c.uh, c.th, s1 IS NOT NULL AS by_url, coalesce(nullif(p.title, ''), c.title) AS final_title, c.published,
+ CASE WHEN coalesce(coalesce(s1, s2) IN ('saved', 'partial', 'duplicate'), false) THEN 'skipped' WHEN nullif(p.error, '') IS NOT NULL OR p.text IS NULL THEN 'failed' WHEN length(regexp_replace(p.text, '^{WS}+|{WS}+$', '', 'g')) < 300 THEN 'partial' ELSE 'saved' END AS outcome
+ FROM c LEFT JOIN a ON a.url_hash = c.uh LEFT JOIN b ON b.title_hash = c.th LEFT JOIN p ON p.uh = c.uh),
+y AS MATERIALIZED (SELECT *, ['u=' || uh] || CASE WHEN by_url THEN [] ELSE ['t=' || th] END AS looks, ['u=' || uh] || CASE WHEN by_url THEN coalesce((SELECT list('t=' || title_hash) FROM k WHERE k.url_hash = x.uh AND title_hash IS NOT NULL), []) ELSE ['t=' || substring(sha256(source || '||' || final_title || '||' || coalesce(published, '')), 1, 16)] END AS marks FROM x),
+step AS (SELECT CAST(0 AS BIGINT) AS i, CAST([] AS VARCHAR[]) AS taken, CAST(NULL AS VARCHAR) AS source, CAST(NULL AS VARCHAR) AS outcome UNION ALL
+ SELECT y.i, CASE WHEN NOT list_has_any(taken, looks) AND y.outcome IN ('saved', 'partial') THEN list_concat(taken, marks) ELSE taken END, y.source, CASE WHEN list_has_any(taken, looks) THEN 'duplicate' ELSE y.outcome END FROM step JOIN y ON y.i = step.i + 1),
+n AS (SELECT source AS source_id, count(*) AS candidates, count(*) FILTER (outcome = 'saved') AS saved, count(*) FILTER (outcome = 'partial') AS partial, count(*) FILTER (outcome = 'failed') AS failed, count(*) FILTER (outcome = 'duplicate') AS duplicates, count(*) FILTER (outcome = 'skipped') AS skipped FROM step WHERE i > 0 GROUP BY 1)
+SELECT *, CASE WHEN failed = 0 THEN 'healthy' WHEN saved + partial + skipped > 0 THEN 'degraded' ELSE 'failed' END AS status, '2025-12-01' AS checked_at FROM n""".replace("PURL", f"(SELECT regexp_replace(lower({HEAD}) || substring(u, length({HEAD}) + 1), '/+$', '') FROM (SELECT regexp_replace(regexp_replace(trim(url), '#.*$', ''), '[?].*$', '') AS u))")
+
+
+@query("archive_run_health", ARCHIVE_SQL)
 def archive_run_health(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The candidate items as one archiving run against the seen documents and the extracted pages, by source."""
     from . import pipelines

@@ -135,10 +135,10 @@ def map_merge_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
     return co.merge_sum_maps(maps, ["day"], "m").select("day", co.map_text(F.col("m")).alias("counts"))
 
 
-@query("inverted_index", "SELECT event_type AS value, count(DISTINCT user_id) AS n FROM events GROUP BY 1")
+@query("inverted_index", "SELECT event_type AS value, count(DISTINCT user_id) AS n, array_to_string(list_sort(list(DISTINCT user_id)), ',') AS keys FROM events WHERE user_id IS NOT NULL GROUP BY 1")
 def inverted_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lists = table(spark, sf_dir, "events").groupBy("user_id").agg(F.collect_set("event_type").alias("types"))
-    return co.inverted_index(lists, "user_id", "types").select("value", "n")
+    lists = table(spark, sf_dir, "events").filter("user_id is not null").groupBy("user_id").agg(F.collect_set("event_type").alias("types"))
+    return co.inverted_index(lists, "user_id", "types").select("value", "n", F.array_join(F.transform("keys", lambda k: k.cast("string")), ",").alias("keys"))
 
 
 @query("latest_first_wins", "SELECT user_id, arg_min(event_id, (-epoch_us(date_trunc('day', ts)), event_id)) AS event_id FROM events WHERE user_id IS NOT NULL GROUP BY 1")

@@ -13,7 +13,7 @@ from ..functions import text as tx
 from ..operators import dedupe
 from ..runtime import scratch_root, table
 from ..streaming import seen
-from .dedupe_queries import WS
+from .dedupe_queries import UNTRACKED, WS
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -289,7 +289,15 @@ def stream_day_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return x.select("day", "event_type", "n", F.round("total", 4).alias("total"))
 
 
-@query("greedy_hosts")
+#: As a loop over the rows in order: each step's state is the set of keys taken so far.
+GREEDY_SQL = f"""
+WITH RECURSIVE r AS (SELECT row_number() OVER (ORDER BY ingest_seq) AS i, ingest_seq, item_id, 'u=' || regexp_replace(url, '/+$', '') AS u, 't=' || source || '||' || title AS t FROM ({UNTRACKED})),
+step AS (SELECT CAST(0 AS BIGINT) AS i, CAST([] AS VARCHAR[]) AS taken, CAST(NULL AS BIGINT) AS won UNION ALL
+ SELECT r.i, CASE WHEN list_contains(taken, r.u) OR list_contains(taken, r.t) THEN taken ELSE list_concat(taken, [r.u, r.t]) END, CASE WHEN list_contains(taken, r.u) OR list_contains(taken, r.t) THEN NULL ELSE r.ingest_seq END FROM step JOIN r ON r.i = step.i + 1)
+SELECT ingest_seq, item_id FROM r WHERE ingest_seq IN (SELECT won FROM step)"""
+
+
+@query("greedy_hosts", GREEDY_SQL)
 def greedy_hosts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """New candidate items in order, by address without tracking and by title key."""
     c = table(spark, sf_dir, "candidate_item").select("ingest_seq", "item_id", urls.url_hash(urls.url_without_tracking("url")).alias("u"), urls.title_key(F.col("source"), F.col("title"), F.lit("")).alias("t"))
