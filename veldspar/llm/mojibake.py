@@ -31,7 +31,7 @@ KIND_COST = {"s": 0.3, "S": 0.03, "b": 1.5, "y": 1.2, "f": 1.6, "j": 1.6, "i": 0
 PAIR_COST = [
     (re.compile("[eE](?=[sSQz])|o(?=[aAeE])|(?<=[aAeE])o"), 2.0), (re.compile("a(?=E)|[sS](?=[sS])|(?<=[hijkwxf])\\?"), 1.5), (re.compile("c(?=C)"), 1.2),
     (re.compile("[qQ](?=[qQ])|q(?=[zE] )"), 0.7), (re.compile("[hij](?=[aAeE])|[aAeE](?=[hij])"), 1.1), (re.compile("[aAeEcCy](?=[sSbx][aeEcCy])"), 1.0), (re.compile("[eE](?=[eE])"), 0.4),
-    (re.compile("(?<=[^aAeE]A)E(?=aa)|(?<=^A)E(?=aa)|(?<= )[eEs](?=0)"), 1.2), (re.compile("[sS](?=S[a0])|(?<=[ a])sE(?=e)|g(?=E[eE])"), 1.5),
+    (re.compile("(?<=[^aAeE]A)E(?=aa)|(?<=^A)E(?=aa)|(?<= )[eEscC](?=0)"), 1.2), (re.compile("[sS](?=S[a0])|(?<=[ a])sE(?=e)|g(?=E[eE])"), 1.5),
     (re.compile("[eEsS](?=q)(?!e?q )|[cCy](?=[aAeE])|[aAeE](?=[cCy])|k(?=[ijf])|[ijf](?=k)"), 0.8),
 ]
 _X_RUN = re.compile("x+")
@@ -288,6 +288,22 @@ def _swap(s: str, source: str, target: str) -> str | None:
         return None
 
 
+def _swap_words(s: str, source: str, target: str) -> Iterator[str]:
+    """s with all its words swapped; before that, if less than half of its words beyond ASCII are the better for it, with those alone."""
+    out, better, all_ = [], 0, 0
+    for w in re.split(r"(\s+)", s):
+        if not w.isascii():
+            all_ += 1
+            if (t := _swap(w, source, target)) is not None and cost(t) < cost(w):
+                better += 1
+                w = t
+        out.append(w)
+    if 0 < better < 0.5 * all_:
+        yield "".join(out)
+    if (whole := _swap(s, source, target)) is not None:
+        yield whole
+
+
 def steps(s: str) -> Iterator[str]:
     """The texts that one step leads to, the likeliest first."""
     k = s.translate(_KINDS)
@@ -320,8 +336,7 @@ def steps(s: str) -> Iterator[str]:
                     break
     if not valid:
         for a, b in SWAPS:
-            if (t := _swap(s, a, b)) is not None:
-                yield t
+            yield from _swap_words(s, a, b)
 
 
 def looks_plain(text: str) -> bool:
