@@ -169,6 +169,56 @@ def test_titles(spark, a, b, same):
     assert [r[0] for r in inc.similar_titles(df).collect()] == (["i"] if same else [])
 
 
+def edits(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+    return row[-1]
+
+
+def slipped_titles(rng):
+    """Titles of all lengths from 1, of one script and of two, each with one that is two edits away, and titles of one form with other numbers."""
+    out = ["rise of 5.1", "rise of 51", "ryse off 5.1", "ryse off 51", "rise of 5.1 or more", "a😀b", "😀b"]
+    for k in range(150):
+        pool = ("abcdefgh", "恒岚市观察订单量", "abcd恒岚市观")[k % 3]
+        t = "".join(rng.choice(pool) for _ in range(1 + k // 4))
+        out.append(t)
+        for _ in range(2):
+            i, how = rng.randrange(len(t) + 1), rng.randrange(3)
+            t = t[:i] + rng.choice(pool) * (how < 2) + t[i + (how > 0) :] or "h"
+        out.append(t)
+    return out
+
+
+def test_similar_titles_equal_the_full_join(spark):
+    rng = random.Random(4)
+    rows = [(f"i{k}", k - 1 if k else -1, k > 0, f"s{rng.randrange(2)}" if k > 6 else "s0", t, None) for k, t in enumerate(slipped_titles(rng))]
+    rows += [("d", -1, False, "s0", rows[k][4], None) for k in range(20, len(rows), 20)]
+    form = {t: inc.title_form(t, None) for *_, t, _ in rows}
+    numbers = {t: inc._NUMBER.findall(t) for t in form}
+
+    def same(a, b):
+        return form[a] == form[b] or numbers[a] == numbers[b] and abs(len(form[a]) - len(form[b])) <= inc.SLIPS and edits(form[a], form[b]) <= inc.SLIPS
+
+    want = {r[0] for r in rows if r[2] and any(o[1] < r[1] and o[3] == r[3] and same(r[4], o[4]) for o in rows)}
+    df = spark.createDataFrame(rows, "item_id string, seq long, is_new boolean, source string, title string, source_name string")
+    got = [r[0] for r in inc.similar_titles(df).collect()]
+    assert len(got) == len(set(got)) and set(got) == want and 100 < len(want) < len(rows) - 20
+    assert inc.similar_titles(df.limit(0)).count() == 0
+
+
+def test_spans_of_unlike_titles_and_of_other_places_do_not_meet():
+    rng = random.Random(6)
+    titles = ["".join(rng.choice("abcdefghijklmnop") for _ in range(k)) for k in range(24, 90) for _ in range(9)]
+    own, asked, n = inc.title_spans(titles, np.arange(len(titles)) % 2)
+    assert n.tolist() == [12] * len(titles) and len(np.unique(own)) == own.size
+    owner = {int(h): k for k, hashes in enumerate(own) for h in hashes}
+    assert all(owner.get(int(h), k) == k for h, k in zip(asked, np.repeat(np.arange(len(titles)), n), strict=True))
+    assert not set(own.ravel()) & set(inc.title_spans(titles, np.arange(len(titles)) % 2 + 2)[0].ravel())
+
+
 def test_addresses(spark):
     u = ["https://WWW.x.example/a/?utm_source=q#top", "http://x.example/a", "https://x.example/a?b=1&a=2", "https://x.example/a/?a=2&ref=z&b=1", "https://x.example/A", None, "", "nothing"]
     rows = inc.with_url_keys(spark.createDataFrame([(x,) for x in u], "u string"), "u").collect()

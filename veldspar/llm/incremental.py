@@ -203,21 +203,6 @@ def _mix(*parts: np.ndarray) -> np.ndarray:
     return h
 
 
-def _row_prefixes(row: np.ndarray, token: np.ndarray, rows: int, share: float | np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(row, token) of each row's prefix: its distinct tokens in order of hash, as many as an array says, or
-    so many that rows that share `share` of the larger set share one."""
-    order = np.lexsort((token, row))
-    row, token = row[order], token[order]
-    keep = np.ones(len(row), bool)
-    keep[1:] = (row[1:] != row[:-1]) | (token[1:] != token[:-1])
-    row, token = row[keep], token[keep]
-    n = np.bincount(row, minlength=rows)
-    rank = np.arange(len(row)) - (np.cumsum(n) - n)[row]
-    want = share if isinstance(share, np.ndarray) else n - np.ceil(share * n).astype(np.int64) + 1
-    first = rank < want[row]
-    return row[first], token[first]
-
-
 def _flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(all values, length of each list) of an Arrow list column."""
     offsets = np.asarray(column.offsets)
@@ -532,26 +517,45 @@ TITLE = T.StructType([T.StructField("form", T.StringType()), T.StructField("numb
 SLIPS = 2
 
 
-def title_grams(forms: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """(row, gram): the prefix of each title's character grams, two characters for Chinese and Japanese, four else.
+#: An odd number and its inverse modulo 2^64: powers of it hash a span of letters wherever the span stands.
+_BASE = 0x9E3779B97F4A7C15
+_INVERSE = pow(_BASE, -1, 1 << 64)
+
 
-    One slip (a letter too many, too few, wrong, or two swapped) can't take all of it away.
+def title_spans(forms: list[str], place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(own, asked, number of asked by title): hashes of the spans by which titles of one place meet that are SLIPS edits apart at most.
+
+    own has the SLIPS + 1 segments of each title, asked the spans of each title where a segment of one as long or up to
+    SLIPS shorter can stand. Some segment is unedited and has as many edits before it as segments, so it is shifted by these
+    at most, and by what the edits after it leave of the difference in length: none of the pairs is left out, whatever their
+    length or script. A segment may be empty.
     """
-    size = np.array([len(f) for f in forms])
+    size = np.array([len(f) for f in forms], np.int64)
     codes = np.frombuffer("".join(forms).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
-    row = np.repeat(np.arange(len(forms)), size)
-    wide = 2 * np.bincount(row, weights=(codes >= 0x3040) & (codes <= 0x9FFF), minlength=len(forms)) > size
-    rows, grams = [], []
-    for q, kind in ((2, wide), (4, ~wide)):
-        n = max(0, len(codes) - q + 1)
-        ok = (row[:n] == row[q - 1 :]) & kind[row[:n]]
-        rows.append(row[:n][ok])
-        grams.append(_mix(*(codes[i : n + i][ok] for i in range(q))).astype(np.int64))
-    # A title shorter than a gram is one gram itself.
-    short = np.flatnonzero(size < np.where(wide, 2, 4))
-    rows.append(short)
-    grams.append(np.array([zlib.crc32(forms[i].encode("utf-8", "surrogatepass")) for i in short], np.int64))
-    return _row_prefixes(np.concatenate(rows), np.concatenate(grams), len(forms), np.where(wide, 4, 6))
+    start = np.cumsum(size) - size
+    power, inverse = (np.cumprod(np.full(len(codes) + 1, x, np.uint64)) for x in (_BASE, _INVERSE))
+    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum((codes + np.uint64(1)) * power[:-1])])
+    parts = SLIPS + 1
+
+    def spans(length: np.ndarray, i: int, at: np.ndarray, n: np.ndarray) -> np.ndarray:
+        a = start + at
+        return _mix(place, length * parts + i, (total[a + n] - total[a]) * inverse[a]).view(np.int64)
+
+    own, asked, there = [], [], []
+    for less in range(parts):
+        length = size - less
+        for i in range(parts):
+            first = i * length // parts
+            n = (i + 1) * length // parts - first
+            if not less:
+                own.append(spans(length, i, first, n))
+            for shift in range(max(-i, less - (SLIPS - i)), min(i, less + SLIPS - i) + 1):
+                at = first + shift
+                fits = (length > 0) & (at >= 0) & (at + n <= size)
+                there.append(fits)
+                asked.append(spans(length, i, np.where(fits, at, 0), np.where(fits, n, 0)))
+    there = np.stack(there, axis=1)
+    return np.stack(own, axis=1), np.stack(asked, axis=1)[there], there.sum(axis=1)
 
 
 @F.pandas_udf(TITLE)
@@ -568,39 +572,52 @@ def letter_bits(forms: list[str]) -> np.ndarray:
     return np.bitwise_or.reduceat(np.int64(1) << (codes % 63), np.cumsum(size) - size)
 
 
-@F.pandas_udf(T.StructType([T.StructField("g", T.ArrayType(T.LongType())), T.StructField("bits", T.LongType())]))
-def _title_grams(form: pd.Series) -> pd.DataFrame:
-    forms = list(form)
-    if not forms:
-        return pd.DataFrame({"g": [], "bits": []})
-    row, gram = title_grams(forms)
-    return pd.DataFrame({"g": np.split(gram, np.cumsum(np.bincount(row, minlength=len(forms)))[:-1]), "bits": letter_bits(forms)})
+def with_spans(forms: DataFrame) -> DataFrame:
+    """forms (key, place, first, form) as (key, old, n, bits, own, asked): whether it is of history, its length, letter_bits() and title_spans()."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if not b.num_rows:
+                continue
+            form = b.column(3).to_pylist()
+            own, asked, n = title_spans(form, np.asarray(b.column(1)))
+            lists = [pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(k)]).astype(np.int32)), pa.array(x)) for x, k in ((own.ravel(), np.full(len(own), own.shape[1])), (asked, n))]
+            columns = [b.column(0), pa.array(np.asarray(b.column(2)) < 0), pa.array([len(f) for f in form], pa.int32()), pa.array(letter_bits(form)), *lists]
+            yield pa.RecordBatch.from_arrays(columns, ["key", "old", "n", "bits", "own", "asked"])
+
+    return forms.select("key", "place", "first", "form").mapInArrow(run, "key long, old boolean, n int, bits long, own array<long>, asked array<long>")
 
 
 def similar_titles(rows: DataFrame) -> DataFrame:
     """(item_id) of rows with is_new whose title an earlier row of the source has, but for slips, case, punctuation, spacing and labels.
 
-    rows: (item_id, seq, is_new, source, title, source_name). Numbers must be the same, in order. Equal
-    forms are collapsed to their earliest row before forms are compared.
+    rows: (item_id, seq, is_new, source, title, source_name). Titles of one form are the same; of other forms those with
+    the same numbers, in order, are that are SLIPS edits apart at most: all pairs of them are found. Equal forms with equal
+    numbers are collapsed to their earliest row before forms are compared.
     """
     x = rows.filter(F.col("title").isNotNull()).withColumn("p", title_parts("title", "source_name"))
     x = x.select("item_id", "seq", "is_new", "p.form", F.xxhash64("source", "p.form").alias("id"), F.xxhash64("source", "p.numbers").alias("place")).filter("form <> ''")
-    x = materialize(x, "titles")
-    forms = materialize(x.groupBy("id").agg(F.min("seq").alias("first"), F.min("form").alias("form"), F.min("place").alias("place")), "forms")
+    x = materialize(x.withColumn("key", F.xxhash64("id", "place")), "titles")
+    forms = x.groupBy("key").agg(F.min("seq").alias("first"), F.min("id").alias("id"), F.min("form").alias("form"), F.min("place").alias("place"))
+    forms = materialize(forms, "forms")
     # Hashes alone are joined; the titles of the few candidates are fetched after.
-    g = forms.select("id", "place", F.length("form").cast("short").alias("n"), _title_grams("form").alias("p"))
-    g = materialize(g.select("id", "n", "p.bits", F.explode(F.transform("p.g", lambda c: F.xxhash64("place", c))).alias("gram")), "grams")
-    o = g.select(F.col("id").alias("other"), F.col("n").alias("_n"), F.col("bits").alias("_bits"), "gram")
-    alike = (F.col("id") != F.col("other")) & (F.abs(F.col("n") - F.col("_n")) <= SLIPS) & (F.bit_count(F.col("bits").bitwiseXOR(F.col("_bits"))) <= 2 * SLIPS)
-    near = materialize(g.join(o, "gram").filter(alike).select("id", "other").distinct(), "near")
+    g = materialize(with_spans(forms), "spans")
+    o = g.select(F.col("key").alias("other"), F.col("old").alias("_old"), F.col("n").alias("_n"), F.col("bits").alias("_bits"), F.explode("own").alias("span"))
+    g = g.select("key", "old", "n", "bits", F.explode("asked").alias("span"))
+    # Each pair is met once, from the longer title or the larger key; two titles of history need no comparison.
+    once = (F.col("n") > F.col("_n")) | ((F.col("n") == F.col("_n")) & (F.col("key") > F.col("other")))
+    alike = once & ~(F.col("old") & F.col("_old")) & (F.bit_count(F.col("bits").bitwiseXOR(F.col("_bits"))) <= 2 * SLIPS)
+    near = materialize(g.join(o, "span").filter(alike).select("key", "other").distinct(), "near")
     # A small table of candidates goes to the titles, not the titles to it.
-    small = is_small(near)
-    hint = F.broadcast if small else (lambda d: d)
-    one = hint(near).join(forms.select("id", "form", "first"), "id").filter(F.col("first") >= 0)
-    near = hint(one).join(forms.select(F.col("id").alias("other"), F.col("form").alias("_form"), F.col("first").alias("_first")), "other")
-    near = near.filter(F.levenshtein("form", "_form", SLIPS).between(1, SLIPS)).groupBy("id").agg(F.min("_first").alias("near"))
-    known = forms.select("id", "first").join(near, "id", "left").select("id", F.least("first", F.coalesce("near", "first")).alias("first"))
-    return x.filter("is_new").select("item_id", "seq", "id").join(known, "id").filter(F.col("first") < F.col("seq")).select("item_id").distinct()
+    hint = F.broadcast if is_small(near) else (lambda d: d)
+    one = hint(near).join(forms.select("key", "form", "first"), "key")
+    near = hint(one).join(forms.select(F.col("key").alias("other"), F.col("form").alias("_form"), F.col("first").alias("_first")), "other")
+    near = near.filter(F.levenshtein("form", "_form", SLIPS).between(1, SLIPS))
+    near = near.select(F.when(F.col("first") > F.col("_first"), F.col("key")).otherwise(F.col("other")).alias("key"), F.least("first", "_first").alias("near"))
+    near = near.groupBy("key").agg(F.min("near").alias("near"))
+    known = forms.groupBy("id").agg(F.min("first").alias("first"))
+    new = x.filter("is_new").select("item_id", "seq", "id", "key").join(known, "id").join(hint(near), "key", "left")
+    return new.filter(F.least("first", "near") < F.col("seq")).select("item_id").distinct()
 
 
 def _key_hashes(*keys: tuple[str, Column]) -> Column:
