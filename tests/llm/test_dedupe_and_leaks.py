@@ -1,9 +1,11 @@
 import hashlib
+import os
 import random
 import shutil
 
 import numpy as np
 import pytest
+from pyspark import SparkContext
 from pyspark.sql import functions as F
 
 from veldspar.llm import incremental as inc
@@ -118,6 +120,26 @@ def test_overlapping_equals_the_full_join_on_a_narrow_vocabulary(spark, monkeypa
         assert {(r["seq"], r["other"]) for r in got} == want and len(got) == len(want) >= 40
 
 
+def test_the_driver_holds_one_chunk_of_texts_at_a_time(spark, monkeypatch):
+    made, broadcast = [], SparkContext.broadcast
+
+    def noted(sc, value):
+        assert not any(os.path.exists(b._path) for b in made)
+        made.append(broadcast(sc, value))
+        return made[-1]
+
+    monkeypatch.setattr(SparkContext, "broadcast", noted)
+    monkeypatch.setattr(inc, "CHUNK_WORDS", 20)
+    df = spark.createDataFrame([(k, list(range(10))) for k in range(12)], "seq long, w array<int>")
+    assert {(r["seq"], r["other"]) for r in inc.overlapping(df, df).collect()} == {(i, j) for i in range(12) for j in range(i)}
+    assert len(made) == 6 and not any(os.path.exists(b._path) for b in made)
+
+
+def test_p2_leaves_no_plan_of_all_its_steps_to_the_driver(spark, small):
+    plan = inc.p2_found(spark, small)._jdf.queryExecution().executedPlan().toString()
+    assert "Scan parquet" in plan and not any(step in plan for step in ("Join", "BroadcastExchange", "MapInArrow", "Window"))
+
+
 def lines_of_texts(spark, rows):
     return inc.read_lines(spark.createDataFrame(rows, "signal_id string, seq long, grp string, raw_text string"), "raw_text")
 

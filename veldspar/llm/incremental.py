@@ -20,6 +20,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -340,7 +341,7 @@ class TextIndex:
     """
 
     def __init__(self, spark: SparkSession, path: str | None = None):
-        self.spark, self.path, self.batches = spark, path or scratch_path(spark, "texts"), 0
+        self.spark, self.path, self.batches, self._ordered = spark, path or scratch_path(spark, "texts"), 0, None
         ship_package(spark)
         while self._there(f"texts/part={self.batches}"):
             self.batches += 1
@@ -362,9 +363,8 @@ class TextIndex:
         kept = n.filter("h <> 0").join(docs, "grp").filter((F.col("n") >= MIN_DOCS) & (F.col("n") >= F.col("n_docs") * F.lit(MIN_SHARE)))
         return kept.groupBy("grp").agg(F.collect_list("h").alias("tm"))
 
-    def _words(self, batch: DataFrame, order: tuple[np.ndarray, np.ndarray] | None) -> DataFrame:
+    def _words(self, batch: DataFrame, ordered: Broadcast | None) -> DataFrame:
         """(signal_id, seq, copy, w): the main words of the batch's texts: distinct and in order, where the order is known."""
-        ordered = WordOrder(*order) if order else None
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
@@ -380,11 +380,13 @@ class TextIndex:
                 size = np.array([len(c) for c in chosen])
                 flat = np.concatenate(chosen) if chosen else np.empty(0, np.int64)
                 if ordered:
-                    flat, size, *_ = ordered.sort(flat, size)
+                    flat, size = ordered.value.sort(flat, size)
                 lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(size)]).astype(np.int32)), pa.array(flat.astype(np.uint32).view(np.int32)))
                 yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), copy, lists], ["signal_id", "seq", "copy", "w"])
 
-        x = batch.join(self.templates(), "grp", "left").select("signal_id", F.col("seq").cast("long").alias("seq"), "h", "prose", "size", "w", "tm", "grp")
+        # Written first: a small table goes to the lines; else these, all that is kept of a text, are shuffled before its size is known.
+        templates = bounded_broadcast(materialize(self.templates(), "templates"))
+        x = batch.join(templates, "grp", "left").select("signal_id", F.col("seq").cast("long").alias("seq"), "h", "prose", "size", "w", "tm", "grp")
         return x.mapInArrow(run, f"signal_id {dict(batch.dtypes)['signal_id']}, seq long, copy long, w array<int>").filter("copy is not null")
 
     def order(self) -> tuple[np.ndarray, np.ndarray]:
@@ -392,6 +394,12 @@ class TextIndex:
         x = self.read("order", "x int, n long").toArrow()
         return tuple(np.asarray(x.column(c).combine_chunks()).astype(np.int64) for c in ("x", "n"))
 
+    def ordered(self) -> Broadcast:
+        """The WordOrder at the tasks: it is fixed, so all batches have the same copy."""
+        if self._ordered is None:
+            self._ordered = self.spark.sparkContext.broadcast(WordOrder(*self.order()))
+        return self._ordered
+
     def fold(self, batch: DataFrame, probe: bool = True) -> DataFrame | None:
         """Add a batch (signal_id, seq, grp and the columns of LINES) and, to probe, return its pairs.
 
@@ -404,9 +412,9 @@ class TextIndex:
         if not self._there("order"):
             words = materialize(self._words(batch, None), "words")
             self._append(word_frequencies(words, "w").orderBy(F.desc("n"), "x").limit(RANKED), "order")
-            words = WordOrder(*self.order()).apply(words)
+            words = self.ordered().value.apply(words)
         else:
-            words = self._words(batch, self.order())
+            words = self._words(batch, self.ordered())
         words = materialize(words, "words")
         firsts = words.groupBy("copy").agg(F.min("seq").alias("other")).withColumn("is_new", F.lit(True))
         if self.batches:
@@ -419,19 +427,23 @@ class TextIndex:
         if not probe:
             return None
         near = overlapping(self.read("texts", "seq long, w array<int>"), self.read(part, "seq long, w array<int>")).join(links.select("seq", "signal_id"), "seq")
-        return near.select("signal_id", "other", "overlap").unionByName(links.filter("seq > other").select("signal_id", "other", F.lit(1.0).alias("overlap")))
+        return materialize(near.select("signal_id", "other", "overlap").unionByName(links.filter("seq > other").select("signal_id", "other", F.lit(1.0).alias("overlap"))), "found")
+
+
+PAIRS = "seq long, other long, overlap double"
 
 
 def overlapping(texts: DataFrame, fresh: DataFrame) -> DataFrame:
     """(seq, other, overlap): all pairs of a text of fresh and an earlier one of texts (seq, w: distinct words in one order) that overlap by UNCHANGED of the larger set.
 
     The kept texts stay where they are and are inverted by the tasks, Arrow batch by Arrow batch; the texts of fresh, the
-    query set, go to the tasks in chunks of CHUNK_WORDS.
+    query set, go to the tasks in chunks of CHUNK_WORDS. The pairs of a chunk are written before the next is taken, so
+    driver and executors hold one chunk at a time, whatever the number of texts.
     """
     spark = texts.sparkSession
+    path = scratch_path(spark, "pairs")
     total = fresh.agg(F.sum(F.size("w"))).first()[0] or 0
     chunks = -(-total // CHUNK_WORDS) or 1
-    parts = []
     for k in range(chunks):
         rows = fresh.filter(F.pmod(F.xxhash64("seq"), F.lit(chunks)) == k).select("seq", "w").toArrow().combine_chunks()
         seq, w = (c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c for c in rows.columns)
@@ -443,8 +455,10 @@ def overlapping(texts: DataFrame, fresh: DataFrame) -> DataFrame:
                 kinds = (pa.int64(), pa.int64(), pa.float64())
                 yield pa.RecordBatch.from_arrays([pa.array([g[i] for g in got], t) for i, t in enumerate(kinds)], ["seq", "other", "overlap"])
 
-        parts.append(texts.select("seq", "w").mapInArrow(run, "seq long, other long, overlap double"))
-    return functools.reduce(DataFrame.unionByName, parts)
+        pairs = texts.select("seq", "w").mapInArrow(run, PAIRS)
+        pairs.write.mode("append").option("compression", "zstd").parquet(path)
+        asked.destroy()
+    return spark.read.schema(PAIRS).parquet(path)
 
 
 def word_frequencies(texts: DataFrame, words: str) -> DataFrame:
@@ -636,7 +650,7 @@ def _known_before(mine: DataFrame, old: DataFrame, key: str, inner: str = "keys"
     n = mine.select("seq", F.explode(inner).alias("k")).select("seq", *k)
     o = old.select(F.explode("keys").alias("k")).select(F.lit(-1).cast("long").alias("seq"), *k)
     first = n.unionByName(o).groupBy("h1", "h2").agg(F.min("seq").alias("first"))
-    return m.hint("shuffle_hash").join(first, ["h1", "h2"]).filter(F.col("first") < F.col("seq")).select(key).distinct()
+    return materialize(m.hint("shuffle_hash").join(first, ["h1", "h2"]).filter(F.col("first") < F.col("seq")).select(key).distinct(), "known")
 
 
 def repeated_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -667,10 +681,15 @@ def repeated_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = c.select("item_id", F.col("ingest_seq").alias("seq"), F.lit(True).alias("is_new"), "source", "title").unionByName(
         docs.select(F.lit(None).cast("string").alias("item_id"), F.lit(-1).cast("long").alias("seq"), F.lit(False).alias("is_new"), F.col("source_id").alias("source"), "title")
     )
-    return exact.unionByName(similar_titles(rows.join(names, "source", "left"))).distinct()
+    return exact.unionByName(materialize(similar_titles(rows.join(names, "source", "left")), "alike")).distinct()
 
 
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(item_table, item_id) of the repeats.
+
+    Each step is written before the next begins. The driver describes the whole of a plan again with each stage of it
+    that ends, and keeps what a plan broadcasts as long as the plan: one plan of all steps takes hundreds of MB there.
+    """
     s = repeated_signals(spark, sf_dir).select(F.lit("raw_signal").alias("item_table"), F.col("signal_id").alias("item_id"))
     i = repeated_items(spark, sf_dir).select(F.lit("candidate_item").alias("item_table"), "item_id")
     return s.unionByName(i)
