@@ -1,11 +1,14 @@
 import math
 import random
+import re
 from collections import Counter
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from veldspar.llm import boilerplate as bp
 from veldspar.llm import lines as ln
+from veldspar.llm import mojibake as mj
 from veldspar.llm import packing as pk
 from veldspar.llm import residue as rs
 
@@ -163,3 +166,48 @@ def test_found_queries_on_small_tables(spark, small):
     cases = {r[1] for r in p5.collect()}
     lines = [tuple(r) for r in p6.collect()]
     assert lines and len(lines) == len(set(lines)) and not cases & {x[1] for x in lines if x[0] == "extracted_page"}
+
+
+ODD = [*"aAzZ09 ?.,-“”…¿éÉßñÃÂâ€™œ†°½漢鑱銆字かナｱ、。！’приЄіΩ\u200b\u00a0\ufffd\x07\t\r&%\\\x7f\U0001f600ŠžﬁㄱA[]/#:", "&eacute;", "http/1.1 ", "https://", "abcdef12", "decade", ".com", ".py", "[10]", "\\u00e9", "%C3%A9", "Ã©", "â€œ", "aaaaa", "\n", "\n"]
+
+
+def odd_texts(n):
+    rng = random.Random(6)
+    return ["".join(rng.choice(ODD) for _ in range(rng.randrange(1, 24))) for _ in range(n)]
+
+
+def test_lines_of_a_page_are_restored_as_one_by_one():
+    for t in ["", "\n", "a\x7fb", "Il a dÃ©jÃ  dit\nQuiet line", "鑱\n漢漢漢鑱", *odd_texts(1500)]:
+        assert mj.restored_lines(t) == [mj.restore(x) for x in t.split("\n")]
+
+
+def test_plain_lines_of_a_page_are_not_searched(monkeypatch):
+    text = "“Quoted words” of the desk rose by 5 %\nCafé & Größe — Straße\nрусский текст\n这是一个句子。\nIl a dÃ©jÃ  dit"
+    seen = []
+    plain = mj.looks_plain
+    monkeypatch.setattr(mj, "looks_plain", lambda x: seen.append(x) or plain(x))
+    assert [r[0] for r in bp.parse_page(text, None)] == [1, 2, 3, 4, 5]
+    assert "Il a dÃ©jÃ  dit" in seen and not {*text.split("\n")[:1], *text.split("\n")[2:4]} & {*seen}
+
+
+def test_noise_is_taken_from_the_pieces_that_have_it(monkeypatch):
+    whole = lambda t: rs._NOISE.sub(" ", re.sub(r"\b[0-9a-f]{6,}\b", " ", t.lower()))
+    for t in odd_texts(3000):
+        assert rs._clean(t) == whole(t)
+
+    class Never:
+        def search(self, *_):
+            raise AssertionError
+
+        sub = search
+
+    monkeypatch.setattr(rs, "_NOISE", Never())
+    assert rs._clean("A plain sentence, with no codes. 这是一个句子。 5 of 7") == "a plain sentence, with no codes. 这是一个句子。   of  "
+
+
+def test_rows_of_pages_from_columns():
+    lists = [[[1, 2], None, [], [3]]] * len(bp.COLUMNS)
+    b = pa.RecordBatch.from_arrays([pa.array(["h", "h", None, "g"]), *[pa.array(x, pa.list_(pa.int64())) for x in lists], pa.array([[7], [7], None, None], pa.list_(pa.int64())), pa.array([[True], [True], None, None], pa.list_(pa.bool_()))], ["host", *bp.COLUMNS, "te", "tl"])
+    for part, want in ((b, [[(1,) * 7, (2,) * 7], [], [], [(3,) * 7]]), (b.slice(1), [[], [], [(3,) * 7]])):
+        got = list(bp.page_rows(part))
+        assert [rows for _, rows in got] == want and got[0][0].leads == {7: True} and got[-1][0].leads == {}

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..runtime import bounded_broadcast, materialize, only_first, ship_package, table
-from .mojibake import restore
+from .mojibake import restore, restored_lines
 
 #: Share of a host's pages from which an element is template, and pages it must be on at least.
 TEMPLATE_SHARE, TEMPLATE_PAGES = 0.075, 3
@@ -25,9 +25,10 @@ TEMPLATE_SHARE, TEMPLATE_PAGES = 0.075, 3
 EDGE_SHARE = 0.008
 
 _DIGITS = re.compile("[0-9]+")
-_SPACE = re.compile(r"\s+")
 _LETTER = re.compile(r"[^\W\d_]")
 SENTENCE_END = re.compile("[.!…。！；;][\"'”’»」』）)\\]]*$")
+_ENDED, _QUOTES = set(".!…。！；;"), "\"'”’»」』）)]"
+_PART_SIGNS = set("·|/»>›•–-")
 _PARTS = re.compile(r"\s+[·|/»>›•–-]\s+|\s*[|»›]\s*")
 _BULLET = re.compile(r"(?:[•*·\-–]|\d{1,2}[.)、])\s+")
 CJK = re.compile("[\u3040-ヿ㐀-鿿]")
@@ -43,7 +44,7 @@ def _hash(s: str) -> int:
 
 def line_form(line: str) -> str:
     """The line without digits, in lower case, white space trimmed and collapsed."""
-    return _SPACE.sub(" ", _DIGITS.sub("", line.lower())).strip()
+    return " ".join(_DIGITS.sub("", line.lower()).split())
 
 
 def line_kind(line: str) -> int:
@@ -52,14 +53,15 @@ def line_kind(line: str) -> int:
         return BLANK
     if "\t" in s:
         return FIGURE
-    wide = bool(CJK.search(s))
-    parts = [p for p in _PARTS.split(s) if p.strip()]
-    if len(parts) >= 3 and max(map(len, parts)) <= (14 if wide else 34) and not SENTENCE_END.search(s):
-        return NAV
-    if _BULLET.match(s) and not SENTENCE_END.search(s):
-        return BULLET
-    long = len(s) > (70 if wide else 170)
-    if long or (SENTENCE_END.search(s) and len(s) >= (16 if wide else 40)):
+    wide = not s.isascii() and CJK.search(s) is not None
+    ended = s.rstrip(_QUOTES)[-1:] in _ENDED
+    if not ended:
+        parts = [] if _PART_SIGNS.isdisjoint(s) else [p for p in _PARTS.split(s) if p.strip()]
+        if len(parts) >= 3 and max(map(len, parts)) <= (14 if wide else 34):
+            return NAV
+        if _BULLET.match(s):
+            return BULLET
+    if len(s) > (70 if wide else 170) or (ended and len(s) >= (16 if wide else 40)):
         return PARAGRAPH
     return ITEM
 
@@ -86,8 +88,9 @@ class _Elements(dict):
             self.clear()
         k, form = line_kind(line), line_form(line)
         # Notices are short; paragraphs of the article have some length.
-        long = k == PARAGRAPH and len(form) >= (45 if CJK.search(form) else 110)
-        got = (_hash(form), _hash(_group_form(line, k, form)), k, long, form)
+        long = k == PARAGRAPH and (len(form) >= 110 or (len(form) >= 45 and not form.isascii() and CJK.search(form) is not None))
+        h, group = _hash(form), _group_form(line, k, form)
+        got = (h, h if group is form else _hash(group), k, long, form)
         if len(line) <= 200:
             self[line] = got
         return got
@@ -104,9 +107,8 @@ def parse_page(text: str | None, title: str | None) -> list[tuple]:
     if not text:
         return []
     want = line_form(restore(title)) if title else None
-    lines = text.split("\n")
-    restored = lines if text.isascii() else [restore(x) for x in lines]
-    rows = [(no, *_ELEMENTS[line]) for no, line in enumerate(restored, 1) if line.strip()]
+    restored = text.split("\n") if text.isascii() else restored_lines(text)
+    rows = [(no, *_ELEMENTS[line]) for no, line in enumerate(restored, 1) if line and not line.isspace()]
     # The article begins and ends with its first and last paragraph of some length.
     paragraphs = [i for i, r in enumerate(rows) if r[4]] or [i for i, r in enumerate(rows) if r[3] == PARAGRAPH]
     first, last = (paragraphs[0], paragraphs[-1]) if paragraphs else (len(rows), -1)
@@ -214,12 +216,15 @@ class HostTemplates:
 def page_rows(batch: pa.RecordBatch) -> Iterator[tuple[HostTemplates, list[tuple]]]:
     """(templates of the host, parsed lines) of each row of with_templates()."""
     known: dict = {}
-    columns = [batch.column(c).to_pylist() for c in ("host", *COLUMNS)]
     te, tl = batch.column("te"), batch.column("tl")
-    for i, (host, *lists) in enumerate(zip(*columns, strict=True)):
+    # All lists of a column at once; a null list has no values, so its length counts as 0.
+    lists = [batch.column(c) for c in COLUMNS]
+    rows = list(zip(*(x.flatten().to_numpy().tolist() for x in lists), strict=True))
+    end = np.cumsum(lists[0].value_lengths().fill_null(0).to_numpy()).tolist()
+    for i, (host, first, last) in enumerate(zip(batch.column("host").to_pylist(), [0, *end], end)):  # noqa: B905
         if host not in known:
             known[host] = HostTemplates(te[i].as_py(), tl[i].as_py())
-        yield known[host], list(zip(*(x or [] for x in lists), strict=True))
+        yield known[host], rows[first:last]
 
 
 def boilerplate_lines(pages: DataFrame, keys: list[str], host: str, title: str, text: str) -> DataFrame:

@@ -14,6 +14,7 @@ import re
 import unicodedata
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,6 +35,8 @@ PAIR_COST = [
     (re.compile("(?<=[^aAeE]A)E(?=aa)|(?<=^A)E(?=aa)|(?<= )[eEscC](?=0)"), 1.2), (re.compile("[sS](?=S[a0])|(?<=[ a])sE(?=e)|g(?=E[eE])"), 1.5),
     (re.compile("[eEsS](?=q)(?!e?q )|[cCy](?=[aAeE])|[aAeE](?=[cCy])|k(?=[ijf])|[ijf](?=k)"), 0.8),
 ]
+#: Kinds of which each of these patterns needs one.
+_PAIR_KINDS = [set("eEo"), set("EsS?"), set("c"), set("qQ"), set("hij"), set("sSbx"), set("eE"), set("eEscC"), set("sSg"), set("qcCyk")]
 _X_RUN = re.compile("x+")
 #: What an escape that stands for a letter or sign beyond ASCII, or hides another escape, costs.
 ESCAPE_COST = 1.2
@@ -158,8 +161,11 @@ def cost(text: str) -> float:
     if text.isascii() and "\x7f" not in text:
         return escapes
     k = text.translate(_KINDS)
-    total = sum(k.count(x) * w for x, w in KIND_COST.items()) + (RUN_COST * len(_X_RUN.findall(k)) if "x" in k else 0.0)
-    total += sum(len(p.findall(k)) * w for p, w in PAIR_COST)
+    has = set(k)
+    total = sum(k.count(x) * w for x, w in KIND_COST.items() if x in has) + (RUN_COST * len(_X_RUN.findall(k)) if "x" in has else 0.0)
+    # No pattern looks further than two letters into a run of them.
+    k = k.replace("aaaa", "aa").replace("aaaa", "aa")
+    total += sum(len(p.findall(k)) * w for (p, w), need in zip(PAIR_COST, _PAIR_KINDS, strict=True) if not need.isdisjoint(has))
     return escapes + total + 1.5 * len(_LONE.findall(text))
 
 
@@ -390,6 +396,44 @@ def restore(text: str | None) -> str | None:
     return "\n".join(map(restore_line, text.split("\n")))
 
 
+#: Kinds by number, 0 for a character not met yet. A line break is a kind of its own here, so no pair runs over two lines.
+_NUMBERED = "\0aA0? x.qQshijkfwcCygeEzSbo\n"
+#: What each part of _GATE needs: a kind, or a pair of neighbours.
+_DOUBT = re.compile(r"[xfbyjo]|[eE][sSQzeE]|E[qz ]|[aAcCeE]s|s[aAeEcCsq]|[aeEcCsS]S|[aAg]E|[cCy][aAeE]|[aAeE][cCy]|cC|[hijkw]\?|[hij][aAeE]|[eEs]0")
+_DOUBTFUL = np.array([bool(_DOUBT.match(a + b)) for a in _NUMBERED.ljust(32, "\0") for b in _NUMBERED.ljust(32, "\0")])
+_RARE, _COMMON = _NUMBERED.index("i"), _NUMBERED.index("h")
+_NUMBERS = np.zeros(0x110000, np.uint8)
+_NUMBERS[10] = _NUMBERED.index("\n")
+#: The alternatives of _ESCAPED by their first sign, which a search skips to.
+_SIGNS = {"&": re.compile(r"&(?:#\d{2,6}|#[xX][0-9a-fA-F]{2,5}|[A-Za-z]{2,8}\d?);"), "\\u": re.compile(r"\\u[0-9a-fA-F]{4}"), "%": re.compile("%[C-F][0-9A-F]%[89AB][0-9A-F]")}
+
+
+def restored_lines(text: str) -> list[str]:
+    """The lines of a text, each restored as a text of its own. Only those with a doubtful kind or pair, or an escape, are looked at one by one."""
+    lines = text.split("\n")
+    doubtful: set[int] = set()
+    for sign, escape in _SIGNS.items():
+        if sign in text and escape.search(text):
+            doubtful.update(i for i, x in enumerate(lines) if sign in x)
+    if not text.isascii() or "\x7f" in text:
+        codes = np.frombuffer(f"{text}\n".encode("utf-32-le", "surrogatepass"), np.uint32)
+        kinds = _NUMBERS[codes]
+        if not kinds.all():
+            for c in np.unique(codes[kinds == 0]).tolist():
+                _NUMBERS[c] = _NUMBERED.index(_KINDS[c])
+            kinds = _NUMBERS[codes]
+        at = np.flatnonzero(_DOUBTFUL[kinds[:-1] * np.uint16(32) + kinds[1:]])
+        rare = kinds == _RARE
+        if len(at) or rare.any():
+            ends = np.flatnonzero(codes == 10)
+            doubtful.update(np.searchsorted(ends, at).tolist())
+            # Rare characters against common ones, as looks_plain() counts them in each line.
+            doubtful.update(np.flatnonzero(np.add.reduceat(2 * rare - (kinds == _COMMON).astype(np.int64), np.append(0, ends[:-1] + 1)) >= 1).tolist())
+    for i in doubtful:
+        lines[i] = restore_line(lines[i])
+    return lines
+
+
 def is_garbled(text: str | None) -> bool:
     """Whether the text, or a part of it, was decoded with a wrong encoding, restorable or not."""
     return text is not None and ("\ufffd" in text or restore(text) != text)

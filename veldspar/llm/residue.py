@@ -141,10 +141,16 @@ _SLOT_SIGNS = ("{", "<%", "<?", "%%", "[%", "[[", "*|", "@@", "__", "[object", "
 _RUN_SIGNS = ("xxx", "asdf", "qwerty", "blah", "test")
 _VALUE_SIGNS = ("undefined", "null", "nil")
 _NOISE = re.compile(r"\bhttp/[\d.]+|https?://\S+|\S+\.(?:example|com|org|net|html?|php|py|js)\b\S*|/\S+|#?\b(?=\w*\d)\w+\b|\[[0-9a-f]+\]")
+#: The same for a piece of text without such names; what noise needs to be in a piece between white space; and the names.
+_NOISE_PLAIN = re.compile(r"\bhttp/[\d.]+|https?://\S+|/\S+|#?\b(?=\w*\d)\w+\b|\[[0-9a-f]+\]")
+_NOISE_SIGN = re.compile(r"[/\[\d.](?:(?<!\.)|(?:example|com|org|net|html?|php|py|js)\b)")
+_NOISE_NAME = re.compile(r"\.(?:example|com|org|net|html?|php|py|js)\b")
+_BREAK = re.compile(r"\s")
 _TOKEN = re.compile("[\u3040-ヿ㐀-鿿]+|[^\\W\\d_\u3040-ヿ㐀-鿿]+(?:['’][^\\W\\d_\u3040-ヿ㐀-鿿]+)?")
 _WIDE = re.compile("[\u3040-ヿ㐀-鿿]")
 _WINDOW = re.compile(r"(?<=[.!?…])\s+|(?<=[。！？])|\n+|\s[-–|]\s|:\s")
-_HEX = re.compile(r"\b[0-9a-f]{6,}\b")
+_HEX = re.compile(r"[0-9a-f](?<!\w.)[0-9a-f]{5,}\b")
+_PAIRED = re.compile("[\u3040-\u9fff]")
 
 
 def holds_slot(text: str) -> bool:
@@ -161,13 +167,32 @@ def holds_value(text: str) -> bool:
 
 
 def _clean(text: str) -> str:
-    """text in lower case without numbers, codes and addresses."""
-    return _NOISE.sub(" ", _HEX.sub(" ", text.lower()))
+    """text in lower case without numbers, codes and addresses. Noise never runs over white space, so only the pieces with a sign of it are searched for it."""
+    low = _HEX.sub(" ", text.lower())
+    m = _NOISE_SIGN.search(low)
+    if not m:
+        return low
+    out, done = [], 0
+    while m:
+        start = m.start()
+        while start > done and not low[start - 1].isspace():
+            start -= 1
+        stop = _BREAK.search(low, m.end())
+        end = stop.start() if stop else len(low)
+        piece = low[start:end]
+        out += [low[done:start], (_NOISE if _NOISE_NAME.search(piece) else _NOISE_PLAIN).sub(" ", piece)]
+        done, m = end, _NOISE_SIGN.search(low, end)
+    return "".join([*out, low[done:]])
 
 
 def _words(cleaned: str) -> list[str]:
+    found = _TOKEN.findall(cleaned)
+    if cleaned.isascii():
+        return found
+    if not _PAIRED.search(cleaned):
+        return [w.replace("’", "'") for w in found] if "’" in cleaned else found
     out = []
-    for w in _TOKEN.findall(cleaned):
+    for w in found:
         if "\u3040" <= w[0] <= "\u9fff":
             out += [w[i : i + 2] for i in range(len(w) - 1)] or [w]
         else:
@@ -228,7 +253,7 @@ class ExemplarIndex:
         return covered / total if total else 0.0
 
     def _is_exemplar(self, window: list[str]) -> bool:
-        return tuple(window) in self.whole or (sum(t in self.idf for t in window) >= 0.5 * len(window) and self.containment(window) >= CONTAINMENT)
+        return tuple(window) in self.whole or (sum(map(self.idf.__contains__, window)) >= 0.5 * len(window) and self.containment(window) >= CONTAINMENT)
 
     def _hits(self, line: str) -> int:
         """Tokens of a line's windows that are residue."""
@@ -363,15 +388,15 @@ def p5_records(spark: SparkSession, sf_dir: str, parsed: DataFrame) -> DataFrame
     return bodies(parsed, KEYS, "text").unionByName(snippets).join(bounded_broadcast(names.withColumnRenamed("source_id", "host")), "host", "left").drop("host")
 
 
-def p5_index(spark: SparkSession, sf_dir: str) -> ExemplarIndex:
-    """The exemplars' index with document frequencies over the texts of both tables."""
-    texts = p5_pages(spark, sf_dir).select("text").unionByName(table(spark, sf_dir, "content_candidate").select(F.col("snippet").alias("text")))
+def p5_index(spark: SparkSession, sf_dir: str, pages: DataFrame) -> ExemplarIndex:
+    """The exemplars' index with document frequencies over the texts of both tables; pages: the extracted pages, each once, cheap to read."""
+    texts = pages.select("text").unionByName(table(spark, sf_dir, "content_candidate").select(F.col("snippet").alias("text")))
     return exemplar_index(texts, "text", exemplars(spark))
 
 
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     parsed = materialize(boilerplate.page_lines(p5_pages(spark, sf_dir), KEYS, "source_id", "title", "text", ["text"]), "pages")
-    return residue_rows(p5_records(spark, sf_dir, parsed), KEYS, "body", p5_index(spark, sf_dir), "source_name", "aside").distinct()
+    return residue_rows(p5_records(spark, sf_dir, parsed), KEYS, "body", p5_index(spark, sf_dir, parsed), "source_name", "aside").distinct()
 
 
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -383,5 +408,5 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     parsed = materialize(boilerplate.page_lines(pages, KEYS, "source_id", "title", "text", ["page_text"]), "pages")
     own = parsed.filter("item_table = 'extracted_page'").withColumnRenamed("page_text", "text")
     records = p5_records(spark, sf_dir, own).filter("item_table = 'extracted_page'")
-    cases = residue_rows(records, KEYS, "body", p5_index(spark, sf_dir), "source_name", "aside").distinct()
+    cases = residue_rows(records, KEYS, "body", p5_index(spark, sf_dir, own), "source_name", "aside").distinct()
     return boilerplate.lines_of(parsed, KEYS).join(bounded_broadcast(materialize(cases, "residue")), KEYS, "left_anti").select(*KEYS, "line_no")
