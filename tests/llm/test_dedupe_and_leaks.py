@@ -2,6 +2,7 @@ import hashlib
 import os
 import random
 import shutil
+import time
 
 import numpy as np
 import pytest
@@ -120,6 +121,58 @@ def test_overlapping_equals_the_full_join_on_a_narrow_vocabulary(spark, monkeypa
         assert {(r["seq"], r["other"]) for r in got} == want and len(got) == len(want) >= 40
 
 
+def test_distinct_words_take_about_as_long_as_sorting_them():
+    rng = np.random.default_rng(7)
+    size, words = np.full(3_000, 280), rng.integers(-(2**31), 2**31, 3_000 * 280)
+    pairs = (np.repeat(np.arange(len(size)), size) << 32) | (words & 0xFFFFFFFF)
+
+    def seconds(f, *args):
+        began = time.thread_time()
+        f(*args)
+        return time.thread_time() - began
+
+    assert inc._row_words(words, size).tolist() == sorted(set(pairs.tolist())) and inc._row_words(words[:0], size[:0]).tolist() == []
+    assert min(seconds(inc._row_words, words, size) for _ in range(5)) < 12 * min(seconds(np.sort, pairs) for _ in range(5))
+
+
+@pytest.mark.parametrize("dense,together", [(0, 1), (5, 10_000), (inc.DENSE, 10_000)])
+def test_the_search_is_exact_whichever_lists_are_marks(monkeypatch, dense, together):
+    monkeypatch.setattr(inc, "DENSE", dense)
+    monkeypatch.setattr(inc, "TOGETHER", together)
+    monkeypatch.setattr(inc, "ASKED", 7 if dense == 5 else inc.ASKED)
+    rng = np.random.default_rng(8)
+    sets = [set(rng.choice(2**32, n, replace=False).tolist()) for n in (1, 2, 3, 7, 40, 90, 1_500, 1_900)]
+    # More than 255 common words in a prefix, and many texts with the same words.
+    sets += [{w for w in sets[k] if rng.random() < share} | {int(2**31 + k)} for k in range(len(sets)) for share in (1, 0.9, 0.7, 0.6) for _ in range(3)]
+    words, size = np.concatenate([sorted(s) for s in sets]), np.array([len(s) for s in sets])
+    seq = rng.permutation(len(sets))
+    want = {(int(seq[i]), int(seq[j])) for i, a in enumerate(sets) for j, b in enumerate(sets) if seq[j] < seq[i] and like(a, b)}
+    got = inc.OverlapIndex(seq, words, size).alike(seq, words, size)
+    assert {(i, j) for i, j, _ in got} == want and len(got) == len(want) > 100
+    empty = np.empty(0, np.int64)
+    assert inc.OverlapIndex(empty, empty, empty).alike(seq, words, size) == inc.OverlapIndex(seq, words, size).alike(empty, empty, empty) == []
+
+
+def test_main_words_of_many_texts_are_those_of_each(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("veldspar.llm.incremental.MIN_DOCS", 2)
+    head = "Weekly notice\nPage 7 of the register\n"
+    texts = ["It rose by 5.1 in all of the markets that were open. ", "A short line without an end", "Weekly notice", "", "\n\n", None, "Copper fell again. And so did tin in the last week\nother words here"]
+    rows = [(f"s{i}", i, (None, "a", "b", "c")[i % 4], t if t is None or i % 3 else head + t) for i, t in enumerate(texts * 8)]
+    index = inc.TextIndex(spark, str(tmp_path / "index"))
+    lines = lines_of_texts(spark, rows)
+    index.fold(lines, probe=False)
+    templates = {r["grp"]: np.array(r["tm"]) for r in index.templates().collect()}
+    got = {r["signal_id"]: [x & 0xFFFFFFFF for x in r["w"]] for r in index._words(lines, None).collect()}
+    want = {s: [int(x) & 0xFFFFFFFF for x in inc.main_words(*(np.array(x, t) for x, t in zip(inc.text_lines(text), (np.int64, bool, np.int64, np.int64), strict=True)), templates.get(g))] for s, _, g, text in rows}
+    assert got == {s: w for s, w in want.items() if w} and templates and len({len(w) for w in got.values()}) > 3
+
+
+def test_content_keys(spark):
+    texts = ["A  b\u00a0c", " a b c ", "a\tb\n\nc", "a b c", "\u2003a\x1cb c\x85", "   ", "\n", "", "a bc", "ａ ｂ"]
+    got = [r[0] for r in spark.createDataFrame([(t,) for t in texts], "t string").select(inc.content_key(F.col("t"))).collect()]
+    assert got == [hashlib.sha256(" ".join(t.lower().split()).encode()).hexdigest()[:16] for t in texts]
+
+
 def test_the_driver_holds_one_chunk_of_texts_at_a_time(spark, monkeypatch):
     made, broadcast = [], SparkContext.broadcast
 

@@ -33,8 +33,10 @@ from .lines import MIN_DOCS, MIN_SHARE, WS
 UNCHANGED = 2 / 3
 #: Words that the prefixes of two like texts share at least: all that are needed, if these are fewer.
 SHARED = 30
-#: New texts whose lists a task counts at once, parts of a list by length of the texts, and 64-bit words of a text's signature.
-TOGETHER, PARTS, SIGNATURE = 8, 16, 8
+#: New texts and candidates that a task takes at once, parts of a list by length of the texts, and 64-bit words of a text's signature.
+ASKED, TOGETHER, PARTS, SIGNATURE = 1_000, 10_000, 16, 8
+#: Words of an index whose lists are rows of marks, a byte a text: adding rows is faster than counting the entries of long lists.
+DENSE = 2_000
 #: Most frequent words whose order is known; the others come before them, by hash.
 RANKED = 200_000
 #: Words of new texts that the tasks hold at once: a larger batch probes the index in chunks.
@@ -98,7 +100,8 @@ def with_url_keys(df: DataFrame, url: str) -> DataFrame:
 
 def content_key(text: Column) -> Column:
     """The stored kind of content hash: lower case, trimmed, white space collapsed."""
-    x = F.regexp_replace(F.regexp_replace(F.lower(text), f"[{WS}]+", " "), "^ | $", "")
+    # Single spaces, nearly all white space, stay as they are and need no replacement.
+    x = F.trim(F.regexp_replace(F.lower(text), f"[{WS}]{{2,}}|[{WS}&&[^ ]]", " "))
     return F.substring(F.sha2(x, 256), 1, 16)
 
 
@@ -192,8 +195,19 @@ def read_lines(texts: DataFrame, text: str) -> DataFrame:
 def main_words(h: np.ndarray, prose: np.ndarray, size: np.ndarray, w: np.ndarray, template: np.ndarray | None) -> np.ndarray:
     """The words of a text's paragraphs and figures outside the template lines; of its other lines where it has none."""
     own = np.ones(len(h), bool) if template is None or not len(template) else ~np.isin(h, template)
+    return w[np.repeat(_main_lines(own, prose, np.zeros(len(h), np.int64)), size)]
+
+
+def _main_lines(own: np.ndarray, prose: np.ndarray, text: np.ndarray) -> np.ndarray:
+    """Which lines main_words() takes, for lines of many texts: own are those outside the template, text has each line's text."""
     body = own & prose
-    return w[np.repeat(body if body.any() else own, size)]
+    return np.where((np.bincount(text[body], minlength=len(text) and text[-1] + 1) > 0)[text], body, own)
+
+
+def _distinct(values: np.ndarray) -> np.ndarray:
+    """The distinct values in order, by sorting: np.unique() hashes integers first, which takes far longer where most are distinct."""
+    values = np.sort(values)
+    return values[np.diff(values, prepend=values[:1] - 1) != 0]
 
 
 def _mix(*parts: np.ndarray) -> np.ndarray:
@@ -212,7 +226,7 @@ def _flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 def _row_words(words: np.ndarray, size: np.ndarray) -> np.ndarray:
     """The distinct (row, word) pairs as numbers: row above, word in the lower 32 bits."""
-    return np.unique((np.repeat(np.arange(len(size)), size) << 32) | (words & 0xFFFFFFFF))
+    return _distinct((np.repeat(np.arange(len(size)), size) << 32) | (words & 0xFFFFFFFF))
 
 
 class WordOrder:
@@ -258,12 +272,21 @@ class OverlapIndex:
         row, rank = np.repeat(place, size), np.arange(len(words)) - np.repeat(np.cumsum(size) - size, size)
         first = rank < self.prefix(self.n)[row]
         #: Lists of texts, one after the other, by word: each entry is (index of the word, text).
-        self.keys, at = np.unique(words[first], return_inverse=True)
-        lists = np.sort((at << 32) | row[first])
-        self.rows = (lists & 0xFFFFFFFF).astype(np.int32)
+        lists = np.sort((words[first].astype(np.uint64) << np.uint64(32)) | row[first].astype(np.uint64))
+        key, self.rows = (lists >> np.uint64(32)).astype(np.int64), (lists & np.uint64(0xFFFFFFFF)).astype(np.int64)
+        begins = np.flatnonzero(np.diff(key, prepend=-1))
+        self.keys, n = key[begins], np.diff(begins, append=len(key))
         #: Where each list's part of texts of a length begins.
         self.cuts = np.linspace(0, len(size), PARTS + 1).astype(np.int64)
-        self.parts = np.searchsorted(lists, (np.arange(len(self.keys))[:, None] << 32) | self.cuts)
+        part = np.repeat(np.arange(PARTS), np.diff(self.cuts))[self.rows]
+        counts = np.bincount(np.repeat(np.arange(len(n)), n) * PARTS + part, minlength=len(n) * PARTS).reshape(-1, PARTS)
+        self.parts = begins[:, None] + np.concatenate([np.zeros((len(n), 1), np.int64), np.cumsum(counts, axis=1)], axis=1)
+        #: The longest lists as marks, and which row of them is whose.
+        longest = np.argsort(-n, kind="stable")[:DENSE]
+        self.dense, self.marks = np.full(len(n), -1), np.zeros((len(longest), len(size)), np.uint8)
+        self.dense[longest] = np.arange(len(longest))
+        for i, k in enumerate(longest):
+            self.marks[i, self.rows[begins[k] : begins[k] + n[k]]] = 1
         self.start = np.cumsum(self.n) - self.n
         self.words = np.sort((row << 32) | words) & 0xFFFFFFFF
         self.signature = self.signatures(row, words, len(size))
@@ -285,38 +308,64 @@ class OverlapIndex:
         return np.minimum(n, n - cls.needed(n) + SHARED)
 
     def alike(self, seq: np.ndarray, words: np.ndarray, size: np.ndarray) -> list[tuple[int, int, float]]:
-        """(seq, other, overlap) of the texts given and the earlier ones of the index."""
-        if not len(self.keys) or not len(size):
+        """(seq, other, overlap) of the texts given and the earlier ones of the index; ASKED texts are taken at once."""
+        if not len(self.keys):
             return []
-        words = words & 0xFFFFFFFF
+        at = np.concatenate([[0], np.cumsum(size)])
+        parts = [(k, min(k + ASKED, len(size))) for k in range(0, len(size), ASKED)]
+        return [pair for k, m in parts for pair in self._alike(seq[k:m], words[at[k] : at[m]] & 0xFFFFFFFF, size[k:m])]
+
+    def _alike(self, seq: np.ndarray, words: np.ndarray, size: np.ndarray) -> list[tuple[int, int, float]]:
         start, prefix, need = np.cumsum(size) - size, self.prefix(size), self.needed(size)
         low, high = np.searchsorted(self.n, need), np.searchsorted(self.n, np.floor(size / UNCHANGED + 1e-9), "right")
         begins, ends = np.searchsorted(self.cuts, low, "right") - 1, np.searchsorted(self.cuts, high)
         signature = self.signatures(np.repeat(np.arange(len(size)), size), words, len(size))
+        # The lists of the words of the prefixes that the index has, cut to texts of about a fitting length.
+        owner = np.repeat(np.arange(len(size)), prefix)
+        head = words[np.repeat(start - (np.cumsum(prefix) - prefix), prefix) + np.arange(len(owner))]
+        at = np.minimum(np.searchsorted(self.keys, head), len(self.keys) - 1)
+        known = self.keys[at] == head
+        owner, at = owner[known], at[known]
+        dense, a, b = self.dense[at], self.parts[at, begins[owner]], self.parts[at, ends[owner]]
+        few = (dense < 0) & (a < b)
+        lists = [self.rows[i:k] for i, k in zip(a[few].tolist(), b[few].tolist(), strict=True)]
+        of = lambda owner: np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=len(size)))]).tolist()
+        lists_of, marks_of, dense = of(owner[few]), of(owner[dense >= 0]), dense[dense >= 0]
+        least = np.minimum(SHARED, need).tolist()
         out: list[tuple[int, int, float]] = []
-        for first in range(0, len(size), TOGETHER):
-            part = slice(first, first + TOGETHER)
-            # The lists of all words of the prefixes, cut to texts of about a fitting length; each entry counts for (text asked, text met).
-            owner = np.repeat(np.arange(len(size[part])), prefix[part])
-            head = words[np.repeat(start[part] - (np.cumsum(prefix[part]) - prefix[part]), prefix[part]) + np.arange(len(owner))]
-            at = np.minimum(np.searchsorted(self.keys, head), len(self.keys) - 1)
-            known = self.keys[at] == head
-            owner, at = owner[known], at[known]
-            a, b = self.parts[at, begins[part][owner]], self.parts[at, ends[part][owner]]
-            n = b - a
-            entries = np.repeat(a - (np.cumsum(n) - n), n) + np.arange(n.sum())
-            met = np.bincount(np.repeat(owner * len(self.n), n) + self.rows[entries], minlength=len(size[part]) * len(self.n)).reshape(-1, len(self.n))
-            asked, rows = np.nonzero(met >= np.minimum(SHARED, need[part])[:, None])
-            mine = first + asked
-            needed = self.needed(np.maximum(self.n[rows], size[mine]))
-            fits = (self.seq[rows] < seq[mine]) & (rows >= low[mine]) & (rows < high[mine]) & (met[asked, rows] >= np.minimum(SHARED, needed))
-            mine, rows, needed = mine[fits], rows[fits], needed[fits]
-            # What the signatures say can't overlap enough needs no comparison.
-            lacks = lambda a, b: np.bitwise_count(a & ~b).sum(axis=1, dtype=np.int64)
-            x, y = signature[mine], self.signature[rows]
-            fits = (size[mine] - lacks(x, y) >= needed) & (self.n[rows] - lacks(y, x) >= needed)
-            out += self._verified(seq, words, start, size, mine[fits], rows[fits])
-        return out
+        held: list[tuple[int, np.ndarray, np.ndarray]] = []
+        waiting = 0
+        for i, (x, y) in enumerate(zip(low.tolist(), high.tolist(), strict=True)):
+            if x >= y:
+                continue
+            met = np.zeros(y - x, np.int64)
+            if lists_of[i] < lists_of[i + 1]:
+                met += np.bincount(np.concatenate(lists[lists_of[i] : lists_of[i + 1]]), minlength=y)[x:y]
+            for k in range(marks_of[i], marks_of[i + 1], 255):  # a byte holds 255 marks
+                met += np.add.reduce(self.marks[dense[k : min(k + 255, marks_of[i + 1])], x:y], axis=0, dtype=np.uint8)
+            rows = np.flatnonzero(met >= least[i])
+            if len(rows):
+                held.append((i, rows + x, met[rows]))
+                waiting += len(rows)
+                if waiting >= TOGETHER:
+                    out += self._compared(seq, words, start, size, signature, held)
+                    held, waiting = [], 0
+        return out + self._compared(seq, words, start, size, signature, held)
+
+    def _compared(self, seq: np.ndarray, words: np.ndarray, start: np.ndarray, size: np.ndarray, signature: np.ndarray, held: list[tuple[int, np.ndarray, np.ndarray]]) -> list[tuple[int, int, float]]:
+        """(seq, other, overlap) of those (text asked, texts met, words met in the prefixes) that overlap by UNCHANGED."""
+        if not held:
+            return []
+        mine = np.repeat([i for i, _, _ in held], [len(r) for _, r, _ in held])
+        rows, met = (np.concatenate([h[k] for h in held]) for k in (1, 2))
+        needed = self.needed(np.maximum(self.n[rows], size[mine]))
+        fits = (self.seq[rows] < seq[mine]) & (met >= np.minimum(SHARED, needed))
+        mine, rows, needed = mine[fits], rows[fits], needed[fits]
+        # What the signatures say can't overlap enough needs no comparison.
+        lacks = lambda a, b: np.bitwise_count(a & ~b).sum(axis=1, dtype=np.int64)
+        x, y = signature[mine], self.signature[rows]
+        fits = (size[mine] - lacks(x, y) >= needed) & (self.n[rows] - lacks(y, x) >= needed)
+        return self._verified(seq, words, start, size, mine[fits], rows[fits])
 
     def _verified(self, seq: np.ndarray, words: np.ndarray, start: np.ndarray, size: np.ndarray, asked: np.ndarray, rows: np.ndarray) -> list[tuple[int, int, float]]:
         """(seq, other, overlap) of the candidates (text asked, text met) that overlap by UNCHANGED."""
@@ -368,17 +417,21 @@ class TextIndex:
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
-                lists = [_flat(b.column(i)) for i in range(2, 6)]
-                tm, at = b.column(6), [np.concatenate([[0], np.cumsum(size)]) for _, size in lists]
-                chosen, known = [], {}
-                for i, grp in enumerate(b.column(7).to_pylist()):
-                    if grp not in known:
-                        known[grp] = np.asarray(tm[i].values) if tm[i].is_valid else None
-                    h, prose, size, w = (x[a[i] : a[i + 1]] for (x, _), a in zip(lists, at, strict=True))
-                    chosen.append(main_words(h, prose.astype(bool), size, w, known[grp]))
-                copy = pa.array([xxhash.xxh3_64_intdigest(c.astype(np.int32).tobytes()) - (1 << 63) if len(c) else None for c in chosen], pa.int64())
-                size = np.array([len(c) for c in chosen])
-                flat = np.concatenate(chosen) if chosen else np.empty(0, np.int64)
+                (h, lines), (prose, _), (size, _), (w, _) = (_flat(b.column(i)) for i in range(2, 6))
+                text = np.repeat(np.arange(b.num_rows), lines)
+                # Lines by source, each held against the template of its own.
+                code = np.asarray(b.column(7).dictionary_encode().indices.fill_null(-1)).astype(np.int64)
+                own, order = np.ones(len(h), bool), np.argsort(code[text], kind="stable")
+                begins = np.flatnonzero(np.diff(code[text[order]], prepend=-2))
+                for i, k in zip(begins, [*begins[1:], len(order)], strict=True):
+                    tm = b.column(6)[int(text[order[i]])]
+                    if tm.is_valid:
+                        own[order[i:k]] = ~np.isin(h[order[i:k]], np.asarray(tm.values))
+                main = _main_lines(own, prose.astype(bool), text)
+                flat = w[np.repeat(main, size)]
+                size = np.bincount(text, weights=size * main, minlength=b.num_rows).astype(np.int64)
+                ends, data = np.cumsum(size).tolist(), memoryview(flat.astype(np.int32).tobytes())
+                copy = pa.array([xxhash.xxh3_64_intdigest(data[4 * i : 4 * k]) - (1 << 63) if i < k else None for i, k in zip([0, *ends], ends)], pa.int64())  # noqa: B905
                 if ordered:
                     flat, size = ordered.value.sort(flat, size)
                 lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(size)]).astype(np.int32)), pa.array(flat.astype(np.uint32).view(np.int32)))
@@ -656,9 +709,10 @@ def _known_before(mine: DataFrame, old: DataFrame, key: str, inner: str = "keys"
 def repeated_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(signal_id): signals of new batches that repeat a seen record or an earlier signal."""
     raw, seen = table(spark, sf_dir, "raw_signal"), table(spark, sf_dir, "seen_signal")
-    # Each key is made once, in a projection of its own, and then hashed.
-    x = raw.select("signal_id", "ingest_seq", "batch_no", "source_url", "url_hash", F.coalesce("content_hash", content_key(F.col("raw_text"))).alias("c"))
-    x = with_url_keys(only_first(x, "signal_id", "ingest_seq"), "source_url")
+    # Each key is made once, in a projection of its own after the first rows are chosen, and then hashed.
+    x = only_first(raw.select("signal_id", "ingest_seq", "batch_no", "source_url", "url_hash", "content_hash", "raw_text"), "signal_id", "ingest_seq")
+    x = x.select("signal_id", "ingest_seq", "batch_no", "source_url", "url_hash", F.coalesce("content_hash", content_key(F.col("raw_text"))).alias("c"))
+    x = with_url_keys(x, "source_url")
     x = x.select("signal_id", "ingest_seq", "batch_no", _key_hashes(("a", F.col("a")), ("u", F.col("url_hash")), ("u", F.col("u1")), ("u", F.col("u2")), ("c", F.col("c"))).alias("keys"))
     x = materialize(x.select("signal_id", F.col("ingest_seq").alias("seq"), (F.col("batch_no") > 0).alias("is_new"), "keys"), "signals")
     old = with_url_keys(seen.select("source_url", "url_hash", "content_hash"), "source_url").select(_key_hashes(("a", F.col("a")), ("u", F.col("url_hash")), ("c", F.col("content_hash"))).alias("keys"))
